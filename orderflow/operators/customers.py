@@ -4,86 +4,70 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 PLACE = ["c_w_id", "c_d_id"]
 NAME = [*PLACE, "c_last"]
 
-#: Groups up to this size are sorted in one task; larger ones are narrowed down by counting.
-DIRECT = 100_000
-
-
-def _narrow(
-    rows: DataFrame, keys: Sequence[str], wanted: DataFrame, levels: Sequence[Column]
-) -> tuple[DataFrame, list[str], DataFrame]:
-    """Follow position `pos` of each key down ever finer parts of the order by counts alone."""
-    part: list[str] = []
-    for i, level in enumerate(levels):
-        name = f"__level{i}"
-        rows = rows.withColumn(name, level)
-        path = [*keys, *part]
-        counts = (
-            rows.join(wanted.select(*path), path, "left_semi")
-            .groupBy(*path, name)
-            .agg(F.count(F.lit(1)).alias("__n"))
-        )
-        upto = F.sum("__n").over(
-            Window.partitionBy(*path).orderBy(name).rowsBetween(Window.unboundedPreceding, 0)
-        )
-        counts = counts.withColumn("__upto", upto)
-        wanted = (
-            wanted.join(counts, path)
-            .filter((F.col("pos") <= F.col("__upto")) & (F.col("pos") > F.col("__upto") - F.col("__n")))
-            .withColumn("pos", F.col("pos") - (F.col("__upto") - F.col("__n")))
-            .drop("__n", "__upto")
-        )
-        part.append(name)
-    return rows, [*keys, *part], wanted
-
-
-def _at_position(rows: DataFrame, keys: Sequence[str], wanted: DataFrame, order: Sequence[str]):
-    ranked = rows.join(wanted.select(*keys), list(keys), "left_semi").withColumn(
-        "__rn", F.row_number().over(Window.partitionBy(*keys).orderBy(*order))
+def _at_half(counts: DataFrame, keys: list[str], part: list[str]) -> DataFrame:
+    """Of the parts of each key, in order, the one with position `pos`, and the place in it."""
+    upto = F.sum("__n").over(
+        Window.partitionBy(*keys).orderBy(*part).rowsBetween(Window.unboundedPreceding, 0)
+    )
+    return (
+        counts.withColumn("__upto", upto)
+        .filter((F.col("pos") <= F.col("__upto")) & (F.col("pos") > F.col("__upto") - F.col("__n")))
+        .withColumn("pos", F.col("pos") - (F.col("__upto") - F.col("__n")))
+        .select(*keys, *part, "pos")
     )
-    return ranked.join(wanted, list(keys)).filter(F.col("__rn") == F.col("pos"))
 
 
-def resolve_by_last_name(
-    req: DataFrame, customer: DataFrame, *, direct: int = DIRECT
-) -> DataFrame:
+def resolve_by_last_name(req: DataFrame, customer: DataFrame) -> DataFrame:
     """(c_w_id, c_d_id, c_last, c_id): of n namesakes by first name, the one at (n + 1) div 2.
 
-    `req` holds the names asked for; equal first names are settled by c_id.
+    `req` holds the names asked for; equal first names are settled by c_id. Namesakes are not
+    sorted as a group: counts per leading characters of the first name tell where the middle one
+    is, counts per whole first name and span of ids narrow that down, and only what is left, no
+    more than one span of ids, is sorted.
     """
     names = req.filter(F.col("c_last").isNotNull()).select(*NAME).distinct()
-    rows = customer.select(*NAME, "c_first", "c_id").join(names, NAME, "left_semi")
-    sizes = rows.groupBy(*NAME).agg(F.count(F.lit(1)).alias("__size"))
-    wanted = sizes.withColumn("pos", F.expr("(__size + 1) div 2"))
-    small = wanted.filter(F.col("__size") <= direct).select(*NAME, "pos")
-    large = wanted.filter(F.col("__size") > direct).select(*NAME, "pos")
-    order = ["c_first", "c_id"]
-    found = _at_position(rows, NAME, small, order).select(*NAME, "c_id")
-    # Within a large group: three leading characters, the whole first name, a span of ids.
-    split, keys, left = _narrow(
-        rows,
-        NAME,
-        large,
-        [F.substring("c_first", 1, 3), F.col("c_first"), F.expr("c_id div 65536")],
+    rows = customer.select(
+        *NAME,
+        F.substring("c_first", 1, 3).alias("__head"),
+        "c_first",
+        F.expr("c_id div 65536").alias("__span"),
+        "c_id",
+    )
+    one = F.count(F.lit(1)).alias("__n")
+    heads = rows.join(names, NAME, "left_semi").groupBy(*NAME, "__head").agg(one)
+    size = F.sum("__n").over(Window.partitionBy(*NAME))
+    heads = heads.withColumn("__size", size).withColumn("pos", F.expr("(__size + 1) div 2"))
+    head = _at_half(heads, NAME, ["__head"])
+    keys = [*NAME, "__head"]
+    spans = rows.join(head, keys).groupBy(*keys, "pos", "c_first", "__span").agg(one)
+    span = _at_half(spans, keys, ["c_first", "__span"])
+    keys = [*keys, "c_first", "__span"]
+    nth = F.row_number().over(Window.partitionBy(*keys).orderBy("c_id"))
+    return (
+        rows.join(span, keys)
+        .withColumn("__nth", nth)
+        .filter(F.col("__nth") == F.col("pos"))
+        .select(*NAME, "c_id")
     )
-    return found.unionByName(_at_position(split, keys, left, order).select(*NAME, "c_id"))
 
 
-def resolve_customer(req: DataFrame, customer: DataFrame, *, direct: int = DIRECT) -> DataFrame:
+def resolve_customer(req: DataFrame, customer: DataFrame) -> DataFrame:
     """`req` (c_w_id, c_d_id, c_id, c_last) with c_id filled in where a last name was given.
 
     A name nobody has leaves c_id null.
     """
-    by_name = req.filter(F.col("c_last").isNotNull()).drop("c_id")
-    by_id = req.filter(F.col("c_last").isNull())
-    found = resolve_by_last_name(by_name, customer, direct=direct)
-    named = by_name.join(found, NAME, "left")
-    return by_id.unionByName(named.select(*by_id.columns))
+    found = resolve_by_last_name(req, customer).withColumnRenamed("c_id", "__found")
+    return (
+        req.join(found, NAME, "left")
+        .withColumn("c_id", F.when(F.col("c_last").isNull(), F.col("c_id")).otherwise(F.col("__found")))
+        .drop("__found")
+    )
 
 
 def lookup_customer(req: DataFrame, customer: DataFrame, cols: Sequence[str]) -> DataFrame:

@@ -166,7 +166,7 @@ def delivery(
     *,
     districts: int = DISTRICTS,
     width: int = CHUNK,
-    cut: bool = False,
+    cut: bool = True,
 ) -> Applied:
     """Apply all deliveries. With `cut`, the claims are written once for all outputs."""
     claims = claim_customer(claim_oldest(req, tables["new_order"], width), tables["oorder"])

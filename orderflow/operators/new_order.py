@@ -303,47 +303,44 @@ def _starts(parts: Column, part: str, start: Column, low: Column) -> Column:
 def scan_stock(steps: DataFrame, stock: DataFrame, fan: int = FAN, width: int = CHUNK) -> DataFrame:
     """Every step with the quantity it saw and left: (s_w_id, s_i_id, req_seq, seen, after).
 
-    The rule is not a sum, so running totals do not give it. Stock rows with up to `fan` steps are
-    folded in one list. For busier rows the steps are cut into lists of `fan`, and these into groups
-    of `fan` lists; a list is first reduced to its outcome for every quantity it could start from
-    (a small range), outcomes are chained to find where each list really starts, and only then are
-    the lists walked, each in its own task.
+    The rule is not a sum, so running totals do not give it. The steps of a stock row are cut into
+    lists of `fan`; a row with one list starts it from its quantity. For busier rows a list is
+    first reduced to its outcome for every quantity it could start from (a small range), outcomes
+    are chained in groups of `fan` to find where each list starts, and only then are the lists
+    walked, each on its own.
     """
     held = stock.select(*STOCK, F.col("s_quantity").alias("q0"))
-    sizes = steps.groupBy(*STOCK).agg(F.count(F.lit(1)).alias("__n"))
-    busy = sizes.filter(F.col("__n") > fan).select(*STOCK)
-    quiet_steps = steps.join(busy, STOCK, "left_anti")
-    busy_steps = steps.join(busy, STOCK, "left_semi")
-
-    def listed(df: DataFrame, *keys: str) -> DataFrame:
-        return df.groupBy(*keys).agg(
-            F.array_sort(F.collect_list(F.struct("req_seq", "qty"))).alias("steps")
-        )
-
-    quiet = (
-        listed(quiet_steps, *STOCK)
-        .join(held, STOCK)
-        .select(*STOCK, F.inline(_walk(F.col("steps"), F.col("q0"))))
-    )
-
     ranked = (
-        running(busy_steps, STOCK, "req_seq", rank="__r", width=width)
+        running(
+            steps,
+            STOCK,
+            "req_seq",
+            rank="__r",
+            total="__n",
+            width=width,
+        )
         .withColumn("list", F.expr(f"(__r - 1) div {fan}"))
         .withColumn("group", F.expr(f"(__r - 1) div {fan * fan}"))
     )
-    spans = (
-        busy_steps.groupBy(*STOCK)
-        .agg(F.max("qty").alias("most"))
-        .join(held, STOCK)
-        .select(
-            *STOCK,
-            "q0",
-            F.least(F.col("q0"), F.lit(RESERVE)).alias("low"),
-            F.greatest(F.col("q0"), F.col("most") + RESERVE + REFILL - 1).alias("high"),
+    lists = (
+        ranked.groupBy(*STOCK, "__n", "group", "list")
+        .agg(
+            F.array_sort(F.collect_list(F.struct("req_seq", "qty"))).alias("steps"),
+            F.max("qty").alias("most"),
         )
+        .join(held, STOCK)
+    )
+
+    busy = lists.filter(F.col("__n") > fan)
+    # The quantity stays between the reserve (or a lower start) and a refill on top of the largest
+    # quantity that triggers one (or a higher start).
+    most = busy.groupBy(*STOCK, "q0").agg(F.max("most").alias("most"))
+    spans = most.select(
+        *STOCK,
+        F.least(F.col("q0"), F.lit(RESERVE)).alias("low"),
+        F.greatest(F.col("q0"), F.col("most") + RESERVE + REFILL - 1).alias("high"),
     )
-    lists = listed(ranked, *STOCK, "group", "list").join(spans, STOCK)
-    outcomes = lists.select(
+    outcomes = busy.join(spans, STOCK).select(
         *STOCK,
         "q0",
         "low",
@@ -359,23 +356,23 @@ def scan_stock(steps: DataFrame, stock: DataFrame, fan: int = FAN, width: int =
     groups = outcomes.groupBy(*STOCK, "q0", "low", "high", "group").agg(
         F.array_sort(F.collect_list(F.struct("list", "outcome"))).alias("parts")
     )
-    group_outcomes = groups.select(
-        *STOCK,
-        "q0",
-        "low",
-        "group",
-        F.aggregate(
-            "parts",
-            F.sequence("low", "high"),
-            lambda acc, s: F.transform(acc, lambda q: F.get(s["outcome"], q - F.col("low"))),
-        ).alias("outcome"),
-    )
     group_starts = (
-        group_outcomes.groupBy(*STOCK, "q0", "low")
-        .agg(F.array_sort(F.collect_list(F.struct("group", "outcome"))).alias("parts"))
-        .select(
-            *STOCK, F.inline(_starts(F.col("parts"), "group", F.col("q0"), F.col("low")))
+        groups.select(
+            *STOCK,
+            "q0",
+            "low",
+            F.struct(
+                "group",
+                F.aggregate(
+                    "parts",
+                    F.sequence("low", "high"),
+                    lambda acc, s: F.transform(acc, lambda q: F.get(s["outcome"], q - F.col("low"))),
+                ).alias("outcome"),
+            ).alias("whole"),
         )
+        .groupBy(*STOCK, "q0", "low")
+        .agg(F.array_sort(F.collect_list("whole")).alias("wholes"))
+        .select(*STOCK, F.inline(_starts(F.col("wholes"), "group", F.col("q0"), F.col("low"))))
         .withColumnRenamed("part", "group")
     )
     list_starts = (
@@ -383,10 +380,9 @@ def scan_stock(steps: DataFrame, stock: DataFrame, fan: int = FAN, width: int =
         .select(*STOCK, F.inline(_starts(F.col("parts"), "list", F.col("start"), F.col("low"))))
         .withColumnRenamed("part", "list")
     )
-    busy_walked = lists.join(list_starts, [*STOCK, "list"]).select(
-        *STOCK, F.inline(_walk(F.col("steps"), F.col("start")))
-    )
-    return quiet.unionByName(busy_walked)
+    started = lists.join(list_starts, [*STOCK, "list"], "left")
+    start = F.coalesce("start", "q0")
+    return started.select(*STOCK, F.inline(_walk(F.col("steps"), start)))
 
 
 def apply_stock_quantity(
@@ -542,7 +538,7 @@ def new_order(
     max_item: int = MAX_ITEM,
     fan: int = FAN,
     width: int = CHUNK,
-    cut: bool = False,
+    cut: bool = True,
 ) -> Applied:
     """Apply all requests. With `cut`, the checked requests are written once for all outputs."""
     checked = check_requests(tables, req, max_item)
@@ -550,6 +546,8 @@ def new_order(
         checked = cut_lineage(checked)
     placed, _, errors = split_valid(checked)
     numbered = allocate_order_ids(placed, width)
+    if cut:
+        numbered = cut_lineage(numbered)
     stock = apply_stock_counters(
         apply_stock_quantity(tables["stock"], placed, fan, width), placed
     )

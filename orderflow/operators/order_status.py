@@ -5,7 +5,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from .customers import DIRECT, lookup_customer, resolve_customer
+from ..session import cut_lineage
+from .customers import lookup_customer, resolve_customer
 from .errors import ROW_NOT_FOUND, message
 
 # Line slots of an order, and the carrier shown while there is none.
@@ -16,9 +17,7 @@ ORDER = ["w_id", "d_id", "o_id"]
 _LINE = ["ol_i_id", "ol_supply_w_id", "ol_quantity", "ol_amount", "ol_delivery_d"]
 
 
-def order_status_customer(
-    req: DataFrame, customer: DataFrame, *, direct: int = DIRECT
-) -> DataFrame:
+def order_status_customer(req: DataFrame, customer: DataFrame) -> DataFrame:
     """Add c_id where a last name was given, and the customer's names and balance."""
     asked = req.select(
         "*",
@@ -26,7 +25,7 @@ def order_status_customer(
         F.col("d_id").alias("c_d_id"),
         F.col("c_last").alias("asked_last"),
     )
-    resolved = resolve_customer(asked, customer, direct=direct).drop("c_last")
+    resolved = resolve_customer(asked, customer).drop("c_last")
     cols = ["c_first", "c_middle", "c_last", "c_balance"]
     return lookup_customer(resolved, customer, cols)
 
@@ -105,15 +104,20 @@ def order_lines(req: DataFrame, order_line: DataFrame) -> DataFrame:
 
 
 def order_status(
-    tables: dict[str, DataFrame], req: DataFrame, *, direct: int = DIRECT
+    tables: dict[str, DataFrame], req: DataFrame, *, cut: bool = True
 ) -> DataFrame:
-    """The full answer per request; `code` and `message` are set where a row is missing."""
-    found = order_lines(
-        last_order(
-            order_status_customer(req, tables["customer"], direct=direct), tables["oorder"]
-        ),
-        tables["order_line"],
-    )
+    """The full answer per request; `code` and `message` are set where a row is missing.
+
+    With `cut`, the customers found and their orders are written once, since each is used both to
+    narrow the next table and to join to it.
+    """
+    asked = order_status_customer(req, tables["customer"])
+    if cut:
+        asked = cut_lineage(asked)
+    last = last_order(asked, tables["oorder"])
+    if cut:
+        last = cut_lineage(last)
+    found = order_lines(last, tables["order_line"])
     by_last = message("customers_by_last", c_last=F.col("asked_last"))
     error = (
         F.when(F.col("asked_last").isNotNull() & F.col("c_id").isNull(), by_last)

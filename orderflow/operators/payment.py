@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 from ..functions.scan import CHUNK, running, trailing
 from ..session import cut_lineage
 from ..sources.schemas import conform_like
-from .customers import DIRECT, PLACE, lookup_customer, resolve_customer
+from .customers import PLACE, lookup_customer, resolve_customer
 from .errors import ROW_NOT_FOUND, message
 from .new_order import Applied
 
@@ -50,12 +50,10 @@ def lookup_addresses(req: DataFrame, district: DataFrame, warehouse: DataFrame)
     return req.join(d, ["w_id", "d_id"], "left").join(w, "w_id", "left")
 
 
-def check_payments(
-    tables: dict[str, DataFrame], req: DataFrame, *, direct: int = DIRECT
-) -> DataFrame:
+def check_payments(tables: dict[str, DataFrame], req: DataFrame) -> DataFrame:
     """Requests with addresses, customer row and error; the first thing missing decides."""
     named = req.select("*", F.col("c_last").alias("asked_last"))
-    resolved = resolve_customer(named, tables["customer"], direct=direct).drop("c_last")
+    resolved = resolve_customer(named, tables["customer"]).drop("c_last")
     full = lookup_customer(
         lookup_addresses(resolved, tables["district"], tables["warehouse"]),
         tables["customer"],
@@ -188,41 +186,42 @@ def append_history(
 
 
 def payment_results(checked: DataFrame, as_of: str, width: int = CHUNK) -> DataFrame:
-    """Per request: addresses and the customer as it stood right after that payment."""
-    paid = checked.filter(F.col("code").isNull())
+    """Per request: addresses and the customer as it stood right after that payment.
+
+    Failed requests stay in, but add nothing to what the others see: they keep the number of the
+    payment before them and carry neither an amount nor a record.
+    """
+    done = F.col("code").isNull()
+    bad = done & (F.col("c_credit") != GOOD_CREDIT)
+    kind = checked.schema["c_balance"].dataType
     owed = running(
-        paid,
-        CUSTOMER,
+        checked.withColumn("__who", F.coalesce("c_id", F.lit(-1))),
+        [*PLACE, "__who"],
         "req_seq",
-        rank="__nth",
-        sums={"__paid": F.col("h_amount")},
+        sums={
+            "__nth": done.cast("bigint"),
+            "__paid": F.when(done, F.col("h_amount")).otherwise(F.lit(0).cast("decimal(6,2)")),
+        },
         width=width,
-    ).withColumn(
-        "c_balance",
-        (F.col("c_balance") - F.col("__paid")).cast(checked.schema["c_balance"].dataType),
-    )
-    out = [c for c in checked.columns if c != "c_data"]
-    good = owed.filter(F.col("c_credit") == GOOD_CREDIT).select(
-        *out, F.lit("").alias("c_data")
-    )
-    bad = trailing(
-        owed.filter(F.col("c_credit") != GOOD_CREDIT).withColumn("record", payment_record()),
-        CUSTOMER,
+    ).withColumn("c_balance", (F.col("c_balance") - F.col("__paid")).cast(kind))
+    seen = trailing(
+        owed.withColumn("__record", F.when(bad, payment_record())),
+        [*PLACE, "__who"],
         "__nth",
         RECORDS,
-        {"__records": F.collect_list("record")},
-        rows=True,
+        {"__records": F.collect_list(F.when(F.col("__record").isNotNull(), F.struct("__nth", "__record")))},
         width=max(width, RECORDS),
     )
-    front = F.array_join(F.reverse("__records"), "")
-    bad = bad.select(
+    newest_first = F.array_join(
+        F.transform(F.sort_array("__records", asc=False), lambda r: r["__record"]), ""
+    )
+    data = F.substring(F.concat(newest_first, F.coalesce("c_data", F.lit(""))), 1, KEPT)
+    out = [c for c in checked.columns if c != "c_data"]
+    return seen.select(
         *out,
-        F.substring(F.concat(front, F.coalesce("c_data", F.lit(""))), 1, KEPT).alias("c_data"),
+        F.when(bad, data).when(done, F.lit("")).alias("c_data"),
+        F.when(done, F.lit(as_of).cast("timestamp")).alias("h_date"),
     )
-    failed = checked.filter(F.col("code").isNotNull()).select(*out, F.lit(None).cast("string").alias("c_data"))
-    done = good.unionByName(bad).unionByName(failed)
-    at = F.when(F.col("code").isNull(), F.lit(as_of).cast("timestamp"))
-    return done.withColumn("h_date", at)
 
 
 def payment(
@@ -230,12 +229,11 @@ def payment(
     req: DataFrame,
     as_of: str,
     *,
-    direct: int = DIRECT,
     width: int = CHUNK,
-    cut: bool = False,
+    cut: bool = True,
 ) -> Applied:
     """Apply all payments. With `cut`, the checked requests are written once for all outputs."""
-    checked = check_payments(tables, req, direct=direct)
+    checked = check_payments(tables, req)
     if cut:
         checked = cut_lineage(checked)
     paid = checked.filter(F.col("code").isNull())

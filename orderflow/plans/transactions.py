@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from ..operators import customers, delivery, errors, new_order, order_status, payment, stock_level
+from ..session import cut_lineage
 from .catalog import register
 
 AT = "2024-02-01 00:00:00"
@@ -138,6 +139,11 @@ def _placed(b):
     return new_order.split_valid(checked)[0]
 
 
+def _steps(b):
+    """What requests do to stock, written once: the scan goes over it several times."""
+    return cut_lineage(new_order.stock_steps(_placed(b)))
+
+
 def _numbered(b):
     return new_order.allocate_order_ids(_placed(b))
 
@@ -225,7 +231,7 @@ def _(b):
     "select *, case when seen >= qty + 10 then seen - qty else seen + 91 end as after from no_seen",
 )
 def _(b):
-    return new_order.scan_stock(new_order.stock_steps(_placed(b)), b.stock())
+    return new_order.scan_stock(_steps(b), b.stock())
 
 
 _STOCK_AFTER = (
@@ -239,7 +245,7 @@ _STOCK_AFTER = (
 
 @register("no_stock_quantity", "s_w_id:i s_i_id:i s_quantity:i", _STOCK_AFTER)
 def _(b):
-    return new_order.apply_stock_quantity(b.stock(), _placed(b))
+    return new_order.apply_stock_quantity(b.stock(), cut_lineage(_placed(b)))
 
 
 @register(
@@ -314,6 +320,7 @@ PAY_TABLES = ["district", "warehouse", "customer"]
 
 
 def _paid(b):
+    """Payments that go through, written once: the tables they change start from it."""
     checked = payment.check_payments(b.tables(*PAY_TABLES), b.payment_req())
     return checked.filter(F.col("code").isNull())
 

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import os
+import uuid
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -35,17 +36,34 @@ def local_session(cores: int | str = 8, app: str = "orderflow") -> SparkSession:
 
 def checkpoint_root(spark: SparkSession) -> str:
     """The shared folder the cluster names; a folder under the warehouse only where none is set."""
-    named = spark.conf.get("spark.checkpoint.dir", None)
     current = spark.sparkContext.getCheckpointDir()
     if current:
         return current
+    named = spark.conf.get("spark.checkpoint.dir", None)
     if not named:
-        named = os.path.join(spark.conf.get("spark.sql.warehouse.dir"), "_checkpoints")
+        named = spark.conf.get("spark.sql.warehouse.dir").rstrip("/") + "/_checkpoints"
     spark.sparkContext.setCheckpointDir(named)
     return spark.sparkContext.getCheckpointDir()
 
 
+_CUTS: list[str] = []
+
+
 def cut_lineage(df: DataFrame) -> DataFrame:
-    """Write `df` once to reliable storage, so that several outputs do not recompute it."""
-    checkpoint_root(df.sparkSession)
-    return df.checkpoint(eager=True)
+    """Write `df` once as a table in the shared folder and go on from there.
+
+    For intermediates that several outputs start from: they are neither computed again nor lost
+    with an executor, and later steps read only the columns they use.
+    """
+    path = f"{checkpoint_root(df.sparkSession)}/cut-{uuid.uuid4().hex}"
+    df.write.parquet(path)
+    _CUTS.append(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
+def drop_cuts(spark: SparkSession) -> None:
+    """Delete what `cut_lineage` has written in this process, once its readers are done."""
+    jvm = spark.sparkContext._jvm
+    while _CUTS:
+        path = jvm.org.apache.hadoop.fs.Path(_CUTS.pop())
+        path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(path, True)
