@@ -285,6 +285,10 @@ NET = {
 }
 
 
+#: Milliseconds of samples that are put in order together: about 19 hours.
+SAMPLE_CHUNK = 1 << 26
+
+
 def _means(log: DataFrame, run_info: DataFrame, cols: list[str], per: list[str]) -> DataFrame:
     return (
         bucketed(log, run_info)
@@ -326,7 +330,7 @@ def net_kbps(net: DataFrame, run_info: DataFrame) -> DataFrame:
     return _means(net, run_info, ["rxkbps", "txkbps"], ["device"])
 
 
-def cpu_fractions(raw: DataFrame, mode: str = "since_start", width: int = 1 << 16) -> DataFrame:
+def cpu_fractions(raw: DataFrame, mode: str = "since_start", width: int = SAMPLE_CHUNK) -> DataFrame:
     """Counters to shares of all processor time; the run's first sample is only the baseline.
 
     `since_start` compares each sample with the first, `interval` with the one before. Where no
@@ -372,11 +376,11 @@ def _rates(raw: DataFrame, spec: dict, interval: float, width: int) -> DataFrame
     )
 
 
-def blk_rates(raw: DataFrame, interval: float = 1.0, width: int = 1 << 16) -> DataFrame:
+def blk_rates(raw: DataFrame, interval: float = 1.0, width: int = SAMPLE_CHUNK) -> DataFrame:
     """Block device counters to operations, merges and KB per second."""
     return _rates(raw, BLOCK, interval, width)
 
 
-def net_rates(raw: DataFrame, interval: float = 1.0, width: int = 1 << 16) -> DataFrame:
+def net_rates(raw: DataFrame, interval: float = 1.0, width: int = SAMPLE_CHUNK) -> DataFrame:
     """Network counters to packets and KB per second."""
     return _rates(raw, NET, interval, width)

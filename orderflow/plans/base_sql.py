@@ -266,7 +266,7 @@ CTES: dict[str, str] = {
     ),
     # logs
     "ev": (
-        "select *, epoch_ms(ts) - epoch_ms(timestamp '2024-01-01 00:00:00') as elapsed, "
+        "select *, (epoch_us(ts) - epoch_us(timestamp '2024-01-01 00:00:00')) // 1000 as elapsed, "
         f"{_cents('value')} as cents, 'dev_' || (user_id % 3) as device from events"
     ),
     "result": (
@@ -280,10 +280,10 @@ CTES: dict[str, str] = {
     ),
     "front": "select *, elapsed // 600000 * 600000 as bucket from result where ttype <> 'DELIVERY_BG'",
     "raw_cpu": (
-        f"select 1 as run, event_id as elapsed, {_cum(CPU, 11, '1')}, cents % 1000 as vm_nr_dirty from ev"
+        f"select 1 as run, event_id * 60000 as elapsed, {_cum(CPU, 11, '1')}, cents % 1000 as vm_nr_dirty from ev"
     ),
-    "raw_blk": f"select 1 as run, event_id as elapsed, device, {_cum(BLOCK, 101, 'device')} from ev",
-    "raw_net": f"select 1 as run, event_id as elapsed, device, {_cum(NET, 1001, 'device')} from ev",
+    "raw_blk": f"select 1 as run, event_id * 60000 as elapsed, device, {_cum(BLOCK, 101, 'device')} from ev",
+    "raw_net": f"select 1 as run, event_id * 60000 as elapsed, device, {_cum(NET, 1001, 'device')} from ev",
     "cpu_first": (
         "select elapsed, vm_nr_dirty, "
         + ", ".join(f"{c} - first_value({c}) over (order by elapsed) as {c}" for c in CPU)

@@ -410,6 +410,7 @@ class Bridge:
         )
 
     def _counters(self, keys: list[str], cols: dict[str, Column]) -> DataFrame:
+        """Cumulative counters sampled once a minute, event by event."""
         base = self.raw("events").select(
             F.lit(1).alias("run"),
             "event_id",
@@ -425,7 +426,7 @@ class Bridge:
         c = F.col("cents")
         counted = self._counters(["run"], {n: c % (11 + i) for i, n in enumerate(CPU)})
         return counted.select(
-            "run", F.col("event_id").alias("elapsed"), *CPU, (c % 1000).alias("vm_nr_dirty")
+            "run", (F.col("event_id") * 60000).alias("elapsed"), *CPU, (c % 1000).alias("vm_nr_dirty")
         )
 
     @cache
@@ -435,7 +436,7 @@ class Bridge:
         names = [c for c, _ in BLOCK.values()]
         c = F.col("cents")
         counted = self._counters(["run", "device"], {n: c % (101 + i) for i, n in enumerate(names)})
-        return counted.select("run", F.col("event_id").alias("elapsed"), "device", *names)
+        return counted.select("run", (F.col("event_id") * 60000).alias("elapsed"), "device", *names)
 
     @cache
     def raw_net(self) -> DataFrame:
@@ -444,4 +445,4 @@ class Bridge:
         names = [c for c, _ in NET.values()]
         c = F.col("cents")
         counted = self._counters(["run", "device"], {n: c % (1001 + i) for i, n in enumerate(names)})
-        return counted.select("run", F.col("event_id").alias("elapsed"), "device", *names)
+        return counted.select("run", (F.col("event_id") * 60000).alias("elapsed"), "device", *names)
