@@ -200,13 +200,18 @@ def check_requests(
     )
 
 
+def placed_requests(checked: DataFrame) -> DataFrame:
+    return checked.filter(F.col("status") == PLACED)
+
+
+def failed_requests(checked: DataFrame) -> DataFrame:
+    return checked.filter(F.col("code").isNotNull()).select("req_seq", "code", "message")
+
+
 def split_valid(checked: DataFrame) -> tuple[DataFrame, DataFrame, DataFrame]:
     """Requests that are placed, those rejected for their item, and errors."""
-    return (
-        checked.filter(F.col("status") == PLACED),
-        checked.filter(F.col("status") == REJECTED),
-        checked.filter(F.col("code").isNotNull()).select("req_seq", "code", "message"),
-    )
+    rejected = checked.filter(F.col("status") == REJECTED)
+    return placed_requests(checked), rejected, failed_requests(checked)
 
 
 def allocate_order_ids(placed: DataFrame, width: int = CHUNK) -> DataFrame:
@@ -544,7 +549,7 @@ def new_order(
     checked = check_requests(tables, req, max_item)
     if cut:
         checked = cut_lineage(checked)
-    placed, _, errors = split_valid(checked)
+    placed = placed_requests(checked)
     numbered = allocate_order_ids(placed, width)
     if cut:
         numbered = cut_lineage(numbered)
@@ -558,4 +563,4 @@ def new_order(
         **append_orders(tables, numbered, as_of),
     }
     result = order_results(checked, numbered, tables["stock"], fan, width)
-    return Applied(after, result, errors)
+    return Applied(after, result, failed_requests(checked))

@@ -40,7 +40,7 @@ class Query:
         return [tuple(c.split(":")) for c in self.columns.split()]
 
     def run(self, spark: SparkSession, folder: str) -> DataFrame:
-        df = self.build(Bridge(spark, folder))
+        df = self.build(Bridge.of(spark, folder))
         return df.select(*[_SPARK[k](c).alias(c) for c, k in self.parts()])
 
     def oracle(self) -> str | None:

@@ -174,7 +174,7 @@ def _(b):
 
 @register(
     "net_rates",
-    "run:i elapsed:i device:s rxpktsps:r rxkbps:r txpktsps:r txkbps:r",
+    "run:i elapsed:i device:s rxpktsps:f rxkbps:f txpktsps:f txkbps:f",
     "select 1 as run, * from net",
 )
 def _(b):
@@ -213,7 +213,7 @@ def _(b):
 def _device(name: str, source: str, first: str, second: str, build) -> None:
     register(
         name,
-        f"run:i device:s elapsed:i {first}:r {second}:r",
+        f"run:i device:s elapsed:i {first}:f {second}:f",
         f"select 1 as run, device, {_BUCKET} as elapsed, {_avg(first, second)} from {source} group by 2, 3",
     )(build)
 

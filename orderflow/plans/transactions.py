@@ -136,7 +136,7 @@ NO_TABLES = ["district", "customer", "warehouse", "item", "stock"]
 
 def _placed(b):
     checked = new_order.check_requests(b.tables(*NO_TABLES), b.new_order_req())
-    return new_order.split_valid(checked)[0]
+    return new_order.placed_requests(checked)
 
 
 def _steps(b):
@@ -528,7 +528,7 @@ def _(b):
 def _(b):
     req = b.stray(b.new_order_req())
     checked = new_order.check_requests(b.tables(*NO_TABLES), req)
-    return new_order.split_valid(checked)[2]
+    return new_order.failed_requests(checked)
 
 
 @register(
@@ -542,7 +542,7 @@ def _(b):
 def _(b):
     tables = b.tables(*NO_TABLES)
     tables["stock"] = tables["stock"].filter(F.col("s_i_id") % 17 != 5)
-    return new_order.split_valid(new_order.check_requests(tables, b.new_order_req()))[2]
+    return new_order.failed_requests(new_order.check_requests(tables, b.new_order_req()))
 
 
 @register(

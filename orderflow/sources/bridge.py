@@ -6,7 +6,7 @@ districts of the given data outgrow 32 bits.
 
 from __future__ import annotations
 
-from functools import cache
+from functools import cache, lru_cache
 
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
@@ -35,6 +35,34 @@ def _address(prefix: str, key: str, *parts: Column) -> list[Column]:
     ]
 
 
+# Columns of the given tables, declared so that no file is opened to find them out.
+GIVEN = {
+    "region": "r_regionkey int, r_name string",
+    "nation": "n_nationkey int, n_name string, n_regionkey int",
+    "customer": (
+        "c_custkey bigint, c_name string, c_nationkey int, c_acctbal double, c_mktsegment string"
+    ),
+    "supplier": "s_suppkey bigint, s_name string, s_nationkey int, s_acctbal double",
+    "part": (
+        "p_partkey bigint, p_name string, p_brand string, p_type string, p_size int, "
+        "p_retailprice double"
+    ),
+    "orders": (
+        "o_orderkey bigint, o_custkey bigint, o_orderstatus string, o_totalprice double, "
+        "o_orderdate timestamp_ntz, o_orderpriority string"
+    ),
+    "lineitem": (
+        "l_orderkey bigint, l_partkey bigint, l_suppkey bigint, l_linenumber int, "
+        "l_quantity double, l_extendedprice double, l_discount double, l_tax double, "
+        "l_returnflag string, l_linestatus string, l_shipdate timestamp_ntz"
+    ),
+    "events": (
+        "event_id bigint, ts timestamp_ntz, user_id bigint, event_type string, value double, "
+        "props string"
+    ),
+}
+
+
 class Bridge:
     """Lazy views over one folder of the given tables."""
 
@@ -42,8 +70,15 @@ class Bridge:
         self.spark = spark
         self.folder = folder
 
+    @classmethod
+    @lru_cache(maxsize=4)
+    def of(cls, spark: SparkSession, folder: str) -> Bridge:
+        """The views of a session, built once: they are plans and hold no data."""
+        return cls(spark, folder)
+
+    @cache
     def raw(self, name: str) -> DataFrame:
-        return self.spark.read.parquet(f"{self.folder}/{name}.parquet")
+        return self.spark.read.schema(GIVEN[name]).parquet(f"{self.folder}/{name}.parquet")
 
     # --- bases ---
 

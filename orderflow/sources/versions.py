@@ -34,13 +34,25 @@ class TableVersions:
     def has(self, version: int) -> bool:
         return self._fs().exists(self._path("current", f"v={version}"))
 
+    def stage(self, version: int, tables: dict[str, DataFrame]) -> dict[str, DataFrame]:
+        """Write tables of a version that is not yet complete, and read them back."""
+        out = {}
+        for name, df in tables.items():
+            path = f"{self.root}/v={version}/{name}"
+            df.write.mode("overwrite").parquet(path)
+            out[name] = self.spark.read.schema(df.schema).parquet(path)
+        return out
+
+    def finish(self, version: int) -> None:
+        """Mark a version complete."""
+        self._fs().create(self._path("current", f"v={version}"), True).close()
+
     def write(self, version: int, tables: dict[str, DataFrame]) -> None:
         """Write a version once; a version left half-written is written over, a complete one kept."""
         if self.has(version):
             return
-        for name, df in tables.items():
-            df.write.mode("overwrite").parquet(f"{self.root}/v={version}/{name}")
-        self._fs().create(self._path("current", f"v={version}"), True).close()
+        self.stage(version, tables)
+        self.finish(version)
 
     def read(self, names: Iterable[str], before: int | None = None) -> dict[str, DataFrame]:
         """The tables as of the newest complete version, or the newest one before a number."""

@@ -61,31 +61,31 @@ def open_envelope(batch: DataFrame, ttype: str) -> DataFrame:
 
 
 def apply_batch(
-    tables: dict[str, DataFrame], batch: DataFrame, as_of: str, types: Iterable[str]
-) -> tuple[dict[str, DataFrame], dict[str, DataFrame]]:
-    """Apply a batch in the order new orders, payments, deliveries, reads: (tables, results).
+    tables: dict[str, DataFrame], batch: DataFrame, as_of: str, types: Iterable[str], settle
+) -> None:
+    """Apply a batch in the order new orders, payments, deliveries, reads.
 
-    Only the types present are applied, so that untouched tables are not rewritten.
+    `settle` writes tables or results and gives them back as written. Only the types present are
+    applied, so that untouched tables are not rewritten; reads look at the tables as written.
     """
     types = set(types)
+    before = dict(tables)
     results: dict[str, DataFrame] = {}
-    before = tables
     for ttype, step in (("NEW_ORDER", new_order), ("PAYMENT", payment), ("DELIVERY", delivery)):
-        if ttype not in types:
-            continue
-        done = step(tables, open_envelope(batch, ttype), as_of)
-        # Each step's tables are written before the next reads them more than once.
-        tables = {
-            n: (cut_lineage(df) if df is not tables[n] else df) for n, df in done.tables.items()
-        }
-        results[f"result_{ttype.lower()}"] = done.result
-        results[f"errors_{ttype.lower()}"] = done.errors
+        if ttype in types:
+            done = step(tables, open_envelope(batch, ttype), as_of)
+            tables = done.tables
+            results[f"result_{ttype.lower()}"] = done.result
+            results[f"errors_{ttype.lower()}"] = done.errors
+    changed = {n: df for n, df in tables.items() if df is not before[n]}
+    tables = {**tables, **settle(changed)}
+    settle(results)
     if "ORDER_STATUS" in types:
-        results["result_order_status"] = order_status(tables, open_envelope(batch, "ORDER_STATUS"))
+        asked = open_envelope(batch, "ORDER_STATUS")
+        settle({"result_order_status": order_status(tables, asked)})
     if "STOCK_LEVEL" in types:
-        results["result_stock_level"] = stock_level(tables, open_envelope(batch, "STOCK_LEVEL"))
-    changed = {n: df for n, df in tables.items() if df is not before[n]}
-    return changed, results
+        asked = open_envelope(batch, "STOCK_LEVEL")
+        settle({"result_stock_level": stock_level(tables, asked)})
 
 
 def stream_apply(
@@ -112,8 +112,8 @@ def stream_apply(
         batch = cut_lineage(batch)
         types = [r[0] for r in batch.select("ttype").distinct().take(len(REQUEST_COLUMNS))]
         tables = versions.read(TABLES, before=version)
-        changed, results = apply_batch(tables, batch, as_of, types)
-        versions.write(version, {**changed, **results})
+        apply_batch(tables, batch, as_of, types, lambda t: versions.stage(version, t))
+        versions.finish(version)
 
     stream = (
         spark.readStream.schema(ENVELOPE).option("maxFilesPerTrigger", files_per_batch).parquet(requests)
