@@ -33,15 +33,21 @@ def _stream(longest: int, *key) -> Column:
     """At least `longest` letters and digits: base64 of hashes, less its two other symbols."""
     blocks = -(-(longest + 16 + longest // 16) // 42)
     digest = F.concat(*[F.sha2(key_of(*key, b), 256) for b in range(blocks)])
-    return F.translate(F.base64(F.unhex(digest)), "+/=\r\n", "")
+    text = F.base64(F.unhex(digest))
+    for other in "+/=":
+        text = F.replace(text, F.lit(other), F.lit(""))
+    return text
+
+
+def _text(length: Column, longest: int, key) -> Column:
+    first = F.substr(F.lit(LETTERS), uniform(1, len(LETTERS), *key, "first").cast("int"), F.lit(1))
+    return F.rpad(F.concat(first, _stream(longest, *key)), length.cast("int"), F.lit("a"))
 
 
 def a_string_of(length, longest: int, *key) -> Column:
     """Letters and digits, a letter first, of a given length; empty where the length is 0."""
     length = _col(length)
-    first = F.substr(F.lit(LETTERS), uniform(1, len(LETTERS), *key, "first").cast("int"), F.lit(1))
-    text = F.rpad(F.concat(first, _stream(longest, *key)), length.cast("int"), F.lit("a"))
-    return F.when(length > 0, text).otherwise(F.lit(""))
+    return F.when(length > 0, _text(length, longest, key)).otherwise(F.lit(""))
 
 
 def a_string(shortest: int, longest: int, *key) -> Column:
@@ -49,9 +55,9 @@ def a_string(shortest: int, longest: int, *key) -> Column:
     if longest <= 0:
         return F.lit("")
     if shortest == longest:
-        return a_string_of(longest, longest, *key)
+        return _text(F.lit(longest), longest, key)
     drawn = uniform(shortest, longest, *key, "len")
-    return a_string_of(F.greatest(drawn, F.lit(1)), longest, *key)
+    return _text(drawn if shortest > 0 else F.greatest(drawn, F.lit(1)), longest, key)
 
 
 def n_string(shortest: int, longest: int, *key) -> Column:

@@ -1,4 +1,4 @@
-"""Registered queries over the generators, with row numbers taken from the keys of the given tables."""
+"""Registered queries over the generators, with as many rows as the given tables have."""
 
 from __future__ import annotations
 
@@ -18,8 +18,9 @@ C_LAST, C_CUSTOMER, C_ITEM = 123, 77, 4242
 W = 100
 
 
-def _ids(b, table: str, col: str):
-    return b.raw(table).select(F.col(col).cast("bigint").alias("id"))
+def _ids(b, table: str):
+    """As many row numbers as the table has rows; the tables are keyed by just these numbers."""
+    return b.spark.range(0, b.raw(table).count())
 
 
 def _columns(table: str) -> str:
@@ -52,7 +53,7 @@ _VALUES = (
 )
 def _(b):
     k = (1, "vals", F.col("id"))
-    return _ids(b, "orders", "o_orderkey").select(
+    return _ids(b, "orders").select(
         "id",
         V.uniform(5, 5000, *k, "u").alias("u"),
         V.a_string(0, 30, *k, "a").alias("a"),
@@ -77,7 +78,7 @@ _I = ("1", q("item"), "id")
     f"{D.uniform(1, 10000, *_I, q('im'))} as i_im_id from (select p_partkey as id from part)",
 )
 def _(b):
-    return generate.gen_item(_ids(b, "part", "p_partkey"))
+    return generate.gen_item(_ids(b, "part"))
 
 
 _WK = ("1", q("warehouse"), "id")
@@ -91,7 +92,7 @@ _WK = ("1", q("warehouse"), "id")
     "(select s_suppkey as id from supplier)",
 )
 def _(b):
-    return generate.gen_warehouse(_ids(b, "supplier", "s_suppkey"))
+    return generate.gen_warehouse(_ids(b, "supplier"))
 
 
 _DK = ("1", q("district"), "id")
@@ -106,7 +107,7 @@ _DK = ("1", q("district"), "id")
     "(select c_custkey as id from customer)",
 )
 def _(b):
-    return generate.gen_district(_ids(b, "customer", "c_custkey"))
+    return generate.gen_district(_ids(b, "customer"))
 
 
 _SK = ("1", q("stock"), "id")
@@ -122,7 +123,7 @@ _SK = ("1", q("stock"), "id")
     + " from (select o_orderkey as id from orders)",
 )
 def _(b):
-    return generate.gen_stock(_ids(b, "orders", "o_orderkey"))
+    return generate.gen_stock(_ids(b, "orders"))
 
 
 _CK = ("1", q("customer"), "id")
@@ -141,7 +142,7 @@ _CK = ("1", q("customer"), "id")
     f"{D.a_string(300, 500, *_CK, q('data'))} as c_data from (select o_orderkey as id from orders)",
 )
 def _(b):
-    return generate.gen_customer(_ids(b, "orders", "o_orderkey"), c_last=C_LAST)
+    return generate.gen_customer(_ids(b, "orders"), c_last=C_LAST)
 
 
 @register(
@@ -153,7 +154,7 @@ def _(b):
     "(select o_orderkey as id from orders)",
 )
 def _(b):
-    return generate.gen_history(_ids(b, "orders", "o_orderkey"))
+    return generate.gen_history(_ids(b, "orders"))
 
 
 def _permutation() -> str:
@@ -171,7 +172,7 @@ def _permutation() -> str:
 
 @register("gen_permutation", "w_id:i d_id:i o_id:i c_id:i", _permutation())
 def _(b):
-    return generate.customer_permutation(_ids(b, "orders", "o_orderkey"))
+    return generate.customer_permutation(_ids(b, "orders"))
 
 
 _OK = ("1", q("oorder"), "id")
@@ -184,7 +185,7 @@ _OORDER = (
 
 @register("gen_oorder", _columns("oorder"), _OORDER)
 def _(b):
-    return generate.gen_oorder(_ids(b, "orders", "o_orderkey"))
+    return generate.gen_oorder(_ids(b, "orders"))
 
 
 _LK = ("1", q("order_line"), "o_w_id", "o_d_id", "o_id", "n")
@@ -200,7 +201,7 @@ _LK = ("1", q("order_line"), "o_w_id", "o_d_id", "o_id", "n")
     f"ol_dist_info from (select *, unnest(range(1, o_ol_cnt + 1)) as n from ({_OORDER}))",
 )
 def _(b):
-    return generate.gen_order_line(generate.gen_oorder(_ids(b, "orders", "o_orderkey")))
+    return generate.gen_order_line(generate.gen_oorder(_ids(b, "orders")))
 
 
 @register(
@@ -209,15 +210,14 @@ def _(b):
     f"select o_w_id as no_w_id, o_d_id as no_d_id, o_id as no_o_id from ({_OORDER}) where o_id >= 2101",
 )
 def _(b):
-    return generate.gen_new_order(generate.gen_oorder(_ids(b, "orders", "o_orderkey")))
+    return generate.gen_new_order(generate.gen_oorder(_ids(b, "orders")))
 
 
 # --- requests ----------------------------------------------------------------------------------
 
 
 def _mix(b):
-    ids = b.raw("events").select(F.col("event_id").alias("req_seq"))
-    return requests.gen_requests(ids, W)
+    return requests.gen_requests(_ids(b, "events").withColumnRenamed("id", "req_seq"), W)
 
 
 _MK = ("1", q("mix"), "req_seq")

@@ -17,6 +17,8 @@ def configure(builder):
         .config("spark.sql.adaptive.skewJoin.enabled", "true")
         # A skewed fact-to-dimension join is split even when that costs one more exchange.
         .config("spark.sql.adaptive.forceOptimizeSkewedJoin", "true")
+        # Beyond this size the JVM does not compile a method; many small ones are faster then.
+        .config("spark.sql.codegen.hugeMethodLimit", "8000")
     )
 
 
