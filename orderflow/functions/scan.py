@@ -16,6 +16,27 @@ from pyspark.sql import functions as F
 #: Width of a chunk in units of the order column.
 CHUNK = 1 << 16
 
+#: Parts a key's rows are spread over in a join.
+COPIES = 32
+
+
+def spread_join(
+    big: DataFrame, small: DataFrame, keys: Sequence[str], by: str, copies: int = COPIES
+) -> DataFrame:
+    """Inner join to a table with one row per key, with each key of `big` spread over tasks.
+
+    For joins on a coarse key that an aggregation on the same key follows: the aggregation would
+    otherwise take over the join's partitioning, and with it one task per key. The small rows are
+    copied for each part; where they fit a broadcast they are still broadcast.
+    """
+    parts = F.explode(F.sequence(F.lit(0), F.lit(copies - 1)))
+    copied = small.withColumn("__part", parts)
+    return (
+        big.withColumn("__part", F.pmod(F.hash(by), F.lit(copies)))
+        .join(copied, [*keys, "__part"])
+        .drop("__part")
+    )
+
 
 def _chunk(order: str, width: int) -> Column:
     return F.expr(f"cast(`{order}` as bigint) div {int(width)}")

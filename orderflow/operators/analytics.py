@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from ..functions.scan import percentiles, previous, running, trailing
+from ..functions.scan import percentiles, previous, running, spread_join, trailing
 
 # Bucket widths in seconds, transaction types, their latency limits in seconds, the
 # greatest number of buckets and the theoretical maximum of new orders per warehouse and minute.
@@ -42,7 +42,7 @@ def bucket_seconds(run_mins: Column) -> Column:
 def bucketed(log: DataFrame, run_info: DataFrame) -> DataFrame:
     """Add the run's bucket width in seconds and the row's bucket start in milliseconds."""
     widths = run_info.select("run", bucket_seconds(F.col("runMins")).alias("interval"))
-    return log.join(widths, "run").withColumn(
+    return spread_join(log, widths, ["run"], "elapsed").withColumn(
         "bucket", F.expr("elapsed div (interval * 1000) * (interval * 1000)")
     )
 
@@ -341,7 +341,7 @@ def cpu_fractions(raw: DataFrame, mode: str = "since_start", width: int = SAMPLE
             F.min_by(F.struct(*CPU), "elapsed").alias("__first"), F.min("elapsed").alias("__from")
         )
         based = (
-            raw.join(first, "run")
+            spread_join(raw, first, ["run"], "elapsed")
             .filter(F.col("elapsed") > F.col("__from"))
             .select(*raw.columns, *[F.col(f"__first.{c}").alias(f"prev_{c}") for c in CPU])
         )

@@ -7,6 +7,8 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from ..functions.scan import spread_join
+
 PLACE = ["c_w_id", "c_d_id"]
 NAME = [*PLACE, "c_last"]
 
@@ -40,12 +42,12 @@ def resolve_by_last_name(req: DataFrame, customer: DataFrame) -> DataFrame:
         "c_id",
     )
     one = F.count(F.lit(1)).alias("__n")
-    heads = rows.join(names, NAME, "left_semi").groupBy(*NAME, "__head").agg(one)
+    heads = spread_join(rows, names, NAME, "c_id").groupBy(*NAME, "__head").agg(one)
     size = F.sum("__n").over(Window.partitionBy(*NAME))
     heads = heads.withColumn("__size", size).withColumn("pos", F.expr("(__size + 1) div 2"))
     head = _at_half(heads, NAME, ["__head"])
     keys = [*NAME, "__head"]
-    spans = rows.join(head, keys).groupBy(*keys, "pos", "c_first", "__span").agg(one)
+    spans = spread_join(rows, head, keys, "c_id").groupBy(*keys, "pos", "c_first", "__span").agg(one)
     span = _at_half(spans, keys, ["c_first", "__span"])
     keys = [*keys, "c_first", "__span"]
     nth = F.row_number().over(Window.partitionBy(*keys).orderBy("c_id"))

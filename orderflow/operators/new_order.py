@@ -7,7 +7,7 @@ from dataclasses import dataclass
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from ..functions.scan import CHUNK, running
+from ..functions.scan import CHUNK, running, spread_join
 from ..functions.values import MARK
 from ..session import cut_lineage
 from ..sources.schemas import conform_like
@@ -327,25 +327,21 @@ def scan_stock(steps: DataFrame, stock: DataFrame, fan: int = FAN, width: int =
         .withColumn("list", F.expr(f"(__r - 1) div {fan}"))
         .withColumn("group", F.expr(f"(__r - 1) div {fan * fan}"))
     )
-    lists = (
-        ranked.groupBy(*STOCK, "__n", "group", "list")
-        .agg(
-            F.array_sort(F.collect_list(F.struct("req_seq", "qty"))).alias("steps"),
-            F.max("qty").alias("most"),
-        )
-        .join(held, STOCK)
+    lists = ranked.groupBy(*STOCK, "__n", "group", "list").agg(
+        F.array_sort(F.collect_list(F.struct("req_seq", "qty"))).alias("steps")
     )
 
     busy = lists.filter(F.col("__n") > fan)
     # The quantity stays between the reserve (or a lower start) and a refill on top of the largest
     # quantity that triggers one (or a higher start).
-    most = busy.groupBy(*STOCK, "q0").agg(F.max("most").alias("most"))
-    spans = most.select(
+    sizes = steps.groupBy(*STOCK).agg(F.count(F.lit(1)).alias("n"), F.max("qty").alias("most"))
+    spans = sizes.filter(F.col("n") > fan).join(held, STOCK).select(
         *STOCK,
+        "q0",
         F.least(F.col("q0"), F.lit(RESERVE)).alias("low"),
         F.greatest(F.col("q0"), F.col("most") + RESERVE + REFILL - 1).alias("high"),
     )
-    outcomes = busy.join(spans, STOCK).select(
+    outcomes = spread_join(busy, spans, STOCK, "list").select(
         *STOCK,
         "q0",
         "low",
@@ -385,7 +381,7 @@ def scan_stock(steps: DataFrame, stock: DataFrame, fan: int = FAN, width: int =
         .select(*STOCK, F.inline(_starts(F.col("parts"), "list", F.col("start"), F.col("low"))))
         .withColumnRenamed("part", "list")
     )
-    started = lists.join(list_starts, [*STOCK, "list"], "left")
+    started = lists.join(held, STOCK).join(list_starts, [*STOCK, "list"], "left")
     start = F.coalesce("start", "q0")
     return started.select(*STOCK, F.inline(_walk(F.col("steps"), start)))
 

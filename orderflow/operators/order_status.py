@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from ..functions.scan import spread_join
 from ..session import cut_lineage
 from .customers import lookup_customer, resolve_customer
 from .errors import ROW_NOT_FOUND, message
@@ -34,16 +35,16 @@ def last_order(req: DataFrame, oorder: DataFrame) -> DataFrame:
     """Add o_id, entry time and carrier of the customer's newest order; carrier -1 while pending."""
     who = ["w_id", "d_id", "c_id"]
     asked = req.select(*who).filter(F.col("c_id").isNotNull()).distinct()
+    placed = oorder.select(
+        F.col("o_w_id").alias("w_id"),
+        F.col("o_d_id").alias("d_id"),
+        F.col("o_c_id").alias("c_id"),
+        "o_id",
+        "o_entry_d",
+        "o_carrier_id",
+    )
     newest = (
-        oorder.select(
-            F.col("o_w_id").alias("w_id"),
-            F.col("o_d_id").alias("d_id"),
-            F.col("o_c_id").alias("c_id"),
-            "o_id",
-            "o_entry_d",
-            "o_carrier_id",
-        )
-        .join(asked, who, "left_semi")
+        spread_join(placed, asked, who, "o_id")
         .groupBy(*who)
         .agg(F.max(F.struct("o_id", "o_entry_d", "o_carrier_id")).alias("__last"))
         .select(

@@ -5,6 +5,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from ..functions.scan import spread_join
+
 #: Orders looked back on.
 RECENT = 20
 
@@ -26,7 +28,7 @@ def recent_items(
         F.col("ol_w_id").alias("w_id"), F.col("ol_d_id").alias("d_id"), "ol_o_id", "ol_i_id"
     ).filter(F.col("ol_o_id") >= oldest)
     return (
-        lines.join(bounds, ["w_id", "d_id"])
+        spread_join(lines, bounds, ["w_id", "d_id"], "ol_o_id")
         .filter(
             (F.col("ol_o_id") >= F.col("d_next_o_id") - recent)
             & (F.col("ol_o_id") < F.col("d_next_o_id"))
