@@ -12,6 +12,7 @@ from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from ..functions.scan import running
+from ..operators.analytics import BLOCK, CPU, NET
 
 PLACE = ["w", "d"]
 
@@ -456,8 +457,6 @@ class Bridge:
 
     @cache
     def raw_cpu(self) -> DataFrame:
-        from ..operators.analytics import CPU
-
         c = F.col("cents")
         counted = self._counters(["run"], {n: c % (11 + i) for i, n in enumerate(CPU)})
         return counted.select(
@@ -466,8 +465,6 @@ class Bridge:
 
     @cache
     def raw_blk(self) -> DataFrame:
-        from ..operators.analytics import BLOCK
-
         names = [c for c, _ in BLOCK.values()]
         c = F.col("cents")
         counted = self._counters(["run", "device"], {n: c % (101 + i) for i, n in enumerate(names)})
@@ -475,8 +472,6 @@ class Bridge:
 
     @cache
     def raw_net(self) -> DataFrame:
-        from ..operators.analytics import NET
-
         names = [c for c, _ in NET.values()]
         c = F.col("cents")
         counted = self._counters(["run", "device"], {n: c % (1001 + i) for i, n in enumerate(names)})

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import re
+
 from pyspark.sql import SparkSession
 from pyspark.sql.types import StructType
 
@@ -107,8 +109,6 @@ REQUEST_COLUMNS: dict[str, str] = {
 
 def _plain(ddl: str) -> str:
     """The same columns with text types a DataFrame can carry."""
-    import re
-
     return re.sub(r"\b(?:var)?char\(\d+\)", "string", ddl)
 
 
