@@ -22,6 +22,9 @@ _INVERSE = pow(_BASE, -1, 1 << 64)
 #: Separators of words are the blank and bytes 9 to 13.
 _SPACE = np.zeros(256, bool)
 _SPACE[[9, 10, 11, 12, 13, 32]] = True
+#: Letters and digits of ASCII and every byte of other scripts; all else separates.
+_NO_LETTER = np.ones(256, bool)
+_NO_LETTER[[*range(48, 58), *range(65, 91), *range(97, 123), *range(128, 256)]] = False
 #: A-Z to a-z; one is added so that no byte counts as zero.
 _LOWER = np.arange(256, dtype=_U)
 _LOWER[65:91] += _U(32)
@@ -97,12 +100,15 @@ class Hasher:
         return mix(value + (end - start).astype(_U))
 
 
-def words(data: np.ndarray, at: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+def words(
+    data: np.ndarray, at: np.ndarray, letters: bool = False
+) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """Starts and ends of the words of a slice, and how many words lie before each row's start.
 
-    `at` are the row offsets within `data`. A word ends at a separator or at the end of its row.
+    `at` are the row offsets within `data`. A word ends at a separator or at the end of its row;
+    with `letters`, marks separate too.
     """
-    letter = ~_SPACE[data]
+    letter = ~(_NO_LETTER if letters else _SPACE)[data]
     before = np.zeros(len(data) + 1, bool)
     before[1:] = letter
     edge = np.zeros(len(data) + 1, bool)

@@ -5,13 +5,8 @@ A document's set holds its distinct word shingles. Its signature keeps `bits` bi
 the pigeonhole principle, a part of four places in which at most one differs; so each signature is
 filed under every part with every one of its four places left out, and all pairs within that
 distance meet under some key. At a similarity of 0.8 a place differs with probability 0.2, so with
-nine parts the distance 17 leaves out a true pair with probability below 0.0001.
-
-Pairs inside a key are not all written out. First every document is held against the earliest
-document under its key only, and what the exact check on full sets confirms is joined into
-components; groups of copies end here. Keys that still hold several components are settled by an
-exact join of their members alone: a document is filed under the rarest fifth of its shingles, and
-a pair is taken up only if the places of a shared shingle still allow the wanted overlap.
+nine parts the distance 17 leaves out a true pair with probability below 0.0001. Candidates
+are then settled as `setjoin` does it, with an exact check on full sets.
 """
 
 from __future__ import annotations
@@ -25,15 +20,12 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from .bytetext import Hasher, mix, odd_numbers, raw, repeat_index, slices, words
-from .components import components
 from .cuts import Cuts, by_size
+from .setjoin import SetJoin, rows_of_sets
 from .workers import map_batches
 
 #: Places of a part; one of them may differ.
 PLACES = 4
-#: Documents whose shingles are counted to tell rare from frequent ones; only speed hangs on it.
-COUNTED = 20_000
-COUNTER_BITS = 20
 
 
 class Shingler:
@@ -122,23 +114,15 @@ def _sets(texts: DataFrame, width: int) -> DataFrame:
         shingler = Shingler(width)
         for batch in batches:
             wanted = batch.column(1).to_pylist()
-            ids, nodes, items = [], [], []
+            ids, items = [], []
             for hashes, at, low, high in shingler.rows(batch.column(2)):
                 for row in range(high - low):
                     distinct = np.unique(hashes[at[row] : at[row + 1]])
                     if _digest(distinct) == wanted[low + row]:
                         ids.append(batch.column(0)[low + row].as_py())
-                        items.append(distinct.view(np.int64))
-                        nodes.append(wanted[low + row])
-            ends = np.cumsum([0, *map(len, items)])
-            flat = np.concatenate(items) if items else np.zeros(0, np.int64)
-            yield pa.RecordBatch.from_arrays(
-                [
-                    pa.array(ids, pa.int64()),
-                    pa.ListArray.from_arrays(pa.array(ends, pa.int32()), pa.array(flat)),
-                ],
-                names=["id", "items"],
-            )
+                        items.append(distinct)
+            if ids:
+                yield rows_of_sets(ids, items)
 
     return map_batches(texts, collect, "id bigint, items array<bigint>")
 
@@ -159,93 +143,6 @@ def _keys(parts: int) -> F.Column:
     return F.array(*keys)
 
 
-def _distance(parts: int) -> F.Column:
-    """Places in which the signatures sa and sb differ."""
-    differ = [
-        (F.substring("sa", 2 * k + 1, 2) != F.substring("sb", 2 * k + 1, 2)).cast("int")
-        for k in range(parts * PLACES)
-    ]
-    return F.aggregate(F.array(*differ), F.lit(0), lambda x, y: x + y)
-
-
-class _Work:
-    """What the steps share: the distinct sets, the wanted share in percent, written tables."""
-
-    def __init__(self, cuts: Cuts, docs: DataFrame, reps: DataFrame, width, parts, percent, names):
-        self.cuts, self.docs, self.reps = cuts, docs, reps
-        self.width, self.parts, self.percent, self.names = width, parts, percent, names
-
-    def close(self, pairs: DataFrame) -> DataFrame:
-        """The pairs (a, b) whose sizes and signatures allow a link."""
-        for side in ("a", "b"):
-            rep = self.reps.select(
-                F.col("id").alias(side), F.col("n").alias(f"n{side}"), F.col("sig").alias(f"s{side}")
-            )
-            pairs = pairs.join(rep, side)
-        sizes = 100 * F.least("na", "nb") >= self.percent * F.greatest("na", "nb")
-        return pairs.filter(sizes & (_distance(self.parts) <= 2 * self.parts - 1)).select("a", "b")
-
-    def sets(self, ids: DataFrame) -> DataFrame:
-        """The full sets of some ids, taken from the texts of their first documents."""
-        wanted = self.cuts.cut(self.reps.join(ids, "id").select("id", "doc", "node"))
-        id_col, text_col = self.names
-        texts = self.docs.select(
-            F.col(id_col).cast("bigint").alias("doc"), F.col(text_col).alias("text")
-        )
-        found = texts.join(by_size(wanted), "doc").select("id", "node", "text")
-        return self.cuts.cut(_sets(found, self.width).dropDuplicates(["id"]))
-
-    def confirmed(self, pairs: DataFrame, sets: DataFrame) -> DataFrame:
-        """The pairs whose full sets reach the wanted share."""
-        for side in ("a", "b"):
-            pairs = pairs.join(sets.select(F.col("id").alias(side), F.col("items").alias(f"i{side}")), side)
-        shared = F.size(F.array_intersect("ia", "ib"))
-        union = F.size("ia") + F.size("ib") - shared
-        return pairs.filter(100 * shared >= self.percent * union).select("a", "b")
-
-
-def _rare_first(work: _Work, sets: DataFrame) -> DataFrame:
-    """(shingle, id, n, place): each set's rarest shingles, as many as a partner must share one of."""
-    spark = sets.sparkSession
-    rows = max(1, sets.count())
-    some = sets if rows <= COUNTED else sets.filter(
-        F.pmod(F.xxhash64("id"), F.lit(1 << 20)) < int((1 << 20) * COUNTED / rows)
-    )
-    counted = (
-        some.select(F.explode("items").alias("item"))
-        .groupBy(F.shiftrightunsigned("item", 64 - COUNTER_BITS).cast("int").alias("cell"))
-        .count()
-        .toArrow()
-    )
-    counters = np.zeros(1 << COUNTER_BITS, np.int32)
-    counters[counted["cell"].to_numpy()] = np.minimum(counted["count"].to_numpy(), 1 << 30)
-    shared = spark.sparkContext.broadcast(counters)
-    percent = work.percent
-
-    def pick(batches):
-        frequency = shared.value
-        for batch in batches:
-            lists = batch.column(1)
-            at = lists.offsets.to_numpy()
-            flat = lists.values.to_numpy()
-            out = []
-            for row, (low, high) in enumerate(zip(at[:-1], at[1:], strict=True)):
-                items = flat[low:high].view(np.uint64)
-                n = len(items)
-                keep = n - (percent * n + 99) // 100 + 1
-                cells = (items >> np.uint64(64 - COUNTER_BITS)).astype(np.int64)
-                order = np.lexsort((items, frequency[cells]))[:keep]
-                one = batch.column(0)[row].as_py()
-                out.append((items[order].view(np.int64), np.full(keep, one), np.full(keep, n), np.arange(keep)))
-            if out:
-                yield pa.RecordBatch.from_arrays(
-                    [pa.array(np.concatenate(part).astype(np.int64)) for part in zip(*out, strict=True)],
-                    names=["item", "id", "n", "place"],
-                )
-
-    return map_batches(sets, pick, "item bigint, id bigint, n bigint, place bigint")
-
-
 def near_duplicates(
     docs: DataFrame,
     *,
@@ -270,54 +167,24 @@ def near_duplicates(
     distinct = (
         signed.filter("node is not null")
         .groupBy("node")
-        .agg(F.min("doc").alias("doc"), F.min("n").alias("n"), F.min("sig").alias("sig"))
+        .agg(F.min("doc").alias("head"), F.min("n").alias("n"), F.min("sig").alias("sig"))
     )
     reps = cuts.cut(distinct.withColumn("id", F.monotonically_increasing_id()))
-    work = _Work(cuts, docs, reps, width, parts, percent, (id_col, text_col))
+    texts = docs.select(F.col(id_col).cast("bigint").alias("doc"), F.col(text_col).alias("text"))
 
-    # Keys with more than one member, each member beside the earliest one.
-    filed = reps.select(F.explode(_keys(parts)).alias("key"), "id", "doc")
-    heads = (
-        filed.groupBy("key")
-        .agg(F.count("*").alias("members"), F.min(F.struct("doc", "id")).alias("head"))
-        .filter("members > 1")
-        .select("key", F.col("head.id").alias("head"))
-    )
-    met = cuts.cut(filed.join(heads, "key").select("key", "id", "head"))
-    first = cuts.cut(
-        work.close(met.filter("id != head").select(F.col("head").alias("a"), F.col("id").alias("b")).distinct())
-    )
-    sets = work.sets(first.select(F.col("a").alias("id")).union(first.select("b")).distinct())
-    links = cuts.cut(work.confirmed(first, sets))
-    cuts.drop(sets)
-    roots = components(cuts, links)
+    def fetch(ids: DataFrame) -> DataFrame:
+        asked = cuts.cut(reps.join(ids, "id").select("id", F.col("head").alias("of"), "node"))
+        found = texts.join(by_size(asked), F.col("doc").eqNullSafe(F.col("of")))
+        return _sets(found.select("id", "node", "text"), width).dropDuplicates(["id"])
 
-    # Members of keys that still hold several components, and the exact join over them.
-    placed = met.join(roots, "id", "left").select("key", "id", F.coalesce("root", "id").alias("root"))
-    mixed = placed.groupBy("key").agg(F.min("root").alias("low"), F.max("root").alias("high"))
-    open_ids = cuts.cut(
-        placed.join(mixed.filter("low != high"), "key").select("id", "root").distinct()
-    )
-    sets = work.sets(open_ids.select("id"))
-    rare = cuts.cut(_rare_first(work, sets).join(open_ids, "id"))
-    shared = rare.groupBy("item").agg(F.min("root").alias("low"), F.max("root").alias("high"))
-    shared = shared.filter("low != high").select("item")
-    rare = rare.join(shared, "item")
-    x = rare.select("item", F.col("id").alias("a"), F.col("n").alias("na"), F.col("place").alias("pa"), F.col("root").alias("ra"))
-    y = rare.select("item", F.col("id").alias("b"), F.col("n").alias("nb"), F.col("place").alias("pb"), F.col("root").alias("rb"))
-    most = F.least(F.col("na") - F.col("pa"), F.col("nb") - F.col("pb"))
-    may = (F.col("ra") < F.col("rb")) & (100 * most >= percent * (F.col("na") + F.col("nb") - most))
-    more = cuts.cut(work.close(x.join(y, "item").filter(may).select("a", "b").distinct()))
-    late = cuts.cut(work.confirmed(more, sets))
-    cuts.drop(sets, rare, met)
-    if not cuts.empty(late):
-        roots = components(cuts, links.union(late))
+    places, most = parts * PLACES, 2 * parts - 1
+    roots = SetJoin(cuts, reps, _keys(parts), places, most, percent, fetch).roots()
 
     # The smallest document of each component, for the sets that are in one; others stand alone.
     grouped = reps.join(roots, "id", "left").select(
-        "node", "doc", F.coalesce("root", "id").alias("root")
+        "node", "head", F.coalesce("root", "id").alias("root")
     )
-    least = grouped.groupBy("root").agg(F.min("doc").alias("component_id"))
+    least = grouped.groupBy("root").agg(F.min("head").alias("component_id"))
     named = grouped.join(least, "root").select("node", "component_id")
     return signed.join(named, "node", "left").select(
         F.col("doc").alias("doc_id"),

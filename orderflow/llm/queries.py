@@ -6,6 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
+from .line_dedup import near_lines
 from .minhash_dedup import near_duplicates
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -26,3 +27,9 @@ def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 def op10_minhash_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Components of near-duplicate documents by four-word shingles at 0.8."""
     return near_duplicates(_table(spark, sf_dir, "documents"), width=4, percent=80)
+
+
+@_query
+def op5_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every line of every document with the line that stands for it."""
+    return near_lines(_table(spark, sf_dir, "documents"))
