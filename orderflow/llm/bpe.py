@@ -11,8 +11,9 @@ from __future__ import annotations
 
 import heapq
 import json
+from array import array
 from functools import lru_cache
-from itertools import pairwise
+from itertools import chain, pairwise
 
 import numpy as np
 import pyarrow as pa
@@ -28,7 +29,7 @@ WORDS = regex.compile(
     r"'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"
 )
 #: Words whose tokens a worker remembers before it starts anew.
-REMEMBERED = 400_000
+REMEMBERED = 800_000
 #: Longer words are merged with a queue.
 SHORT = 64
 _NONE = 1 << 62
@@ -79,8 +80,7 @@ class Vocabulary:
         for token in self.id_of:
             if len(token) > 2:
                 self.longest[token[:3]] = max(self.longest.get(token[:3], 0), len(token))
-        self.good = np.zeros(0, np.int64)  # judged pairs that stand, sorted
-        self.bad = np.zeros(0, np.int64)
+        self.judged: dict[int, bool] = {}
         self.words: dict[str, bytes] = {}
 
     def merged(self, word: bytes) -> list[int]:
@@ -142,45 +142,42 @@ class Vocabulary:
         return out
 
     def _stands(self, pairs: np.ndarray) -> np.ndarray:
-        """Whether each coded pair, or single token coded with -1, is what merging gives."""
-        asked = np.unique(pairs)
-        new = asked[~(np.isin(asked, self.good) | np.isin(asked, self.bad))]
-        if len(new):
-            stand = []
-            for code in new.tolist():
-                right, left = code % (1 << 32) - 1, code >> 32
-                tokens = [left] if right < 0 else [left, right]
-                stand.append(self.merged(b"".join(self.bytes_of[t] for t in tokens)) == tokens)
-            stand = np.array(stand)
-            self.good = np.union1d(self.good, new[stand])
-            self.bad = np.union1d(self.bad, new[~stand])
-        return np.isin(pairs, self.good)
+        """Whether each coded pair, or token alone coded with no right one, is what merging gives."""
+        asked, where = np.unique(pairs, return_inverse=True)
+        codes = asked.tolist()
+        for code in set(codes).difference(self.judged):
+            right, left = (code & _TOKEN) - 1, code >> 32
+            tokens = [left] if right < 0 else [left, right]
+            self.judged[code] = self.merged(b"".join(self.bytes_of[t] for t in tokens)) == tokens
+        return np.fromiter(map(self.judged.__getitem__, codes), bool, len(codes))[where]
 
     def learn(self, words: list[str]) -> None:
         """Find and remember the tokens of new words, all together."""
-        if len(self.words) > REMEMBERED:
-            self.words.clear()
         encoded = [w.encode() for w in words]
         guesses = [self.longest_match(w) for w in encoded]
-        count = np.array([len(g) for g in guesses])
-        flat = np.array([t for g in guesses for t in g], np.int64)
-        follows = np.append(flat[1:], -1)
+        count = np.fromiter(map(len, guesses), np.int64, len(guesses))
+        flat = np.fromiter(chain.from_iterable(guesses), np.int64, int(count.sum()))
         last = np.cumsum(count) - 1
+        follows = np.append(flat[1:], -1)
         follows[last] = -1
-        alone = np.ones(len(flat), bool)
-        alone[last] = count == 1
         # The last token of a longer word has been judged with its left neighbour.
-        code = (flat << 32) + follows + 1
-        stands = ~alone | self._stands(np.where(alone, code, code[0]))
-        right = np.minimum.reduceat(stands, last - count + 1)
-        for word, body, guess, ok in zip(words, encoded, guesses, right.tolist(), strict=True):
-            tokens = guess if ok else self.merged(body)
-            self.words[word] = np.array(tokens, "<u4").tobytes()
+        asked = np.ones(len(flat), bool)
+        asked[last] = count == 1
+        stands = np.ones(len(flat), bool)
+        stands[asked] = self._stands((flat[asked] << 32) + follows[asked] + 1)
+        right = np.minimum.reduceat(stands, last - count + 1).tolist()
+        body, ends = flat.astype("<u4").tobytes(), (4 * (last + 1)).tolist()
+        begin = 0
+        for word, text, end, ok in zip(words, encoded, ends, right, strict=True):
+            self.words[word] = body[begin:end] if ok else array("I", self.merged(text)).tobytes()
+            begin = end
 
     def _plain(self, texts: list[str]) -> list[bytes]:
         pieces = [WORDS.findall(t) for t in texts]
         if len(self.words) > REMEMBERED:
             self.words.clear()
+        if len(self.judged) > REMEMBERED:
+            self.judged.clear()
         new = set().union(*pieces).difference(self.words)
         if new:
             self.learn(list(new))

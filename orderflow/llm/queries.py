@@ -5,7 +5,12 @@ from __future__ import annotations
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
+import public_tokenizers
+
+from . import bpe, language_id, toxicity
+from .decontamination import find_leaks
 from .line_dedup import near_lines
 from .minhash_dedup import near_duplicates
 
@@ -23,6 +28,49 @@ def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def _fold(parts: int) -> F.Column:
+    return F.pmod(F.crc32(F.col("doc_id").cast("string")), F.lit(parts))
+
+
+@_query
+def op1_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The language of every document, learned from three quarters of them."""
+    docs = _table(spark, sf_dir, "documents")
+    held_out = F.coalesce(_fold(4) == 2, F.lit(False))
+    model = language_id.fit(docs.filter(~held_out))
+    found = language_id.predict(docs, model)
+    return found.select("doc_id", held_out.alias("held_out"), "lang_pred", "score", "ambiguous")
+
+
+@_query
+def op2_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The toxicity of every document, learned from the labels of four fifths of them."""
+    docs = _table(spark, sf_dir, "documents")
+    held_out = F.coalesce(_fold(5) == 0, F.lit(False))
+    model = toxicity.fit(docs, _table(spark, sf_dir, "labels").filter(~held_out))
+    found = toxicity.score(docs, model)
+    return found.select("doc_id", held_out.alias("held_out"), "score", "predicted")
+
+
+@_query
+def op8_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every document and benchmark item it holds, within a fifth of the item's words."""
+    return find_leaks(_table(spark, sf_dir, "documents"), _table(spark, sf_dir, "benchmark"))
+
+
+@_query
+def op9_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Ids and decoded text of every document as digests."""
+    path = public_tokenizers.path("byte_bpe_50k.json")
+    coded = bpe.decode(bpe.encode(_table(spark, sf_dir, "documents"), path), path)
+    return coded.select(
+        "doc_id",
+        (F.octet_length("ids") / 4).cast("bigint").alias("n_tokens"),
+        F.sha2("ids", 256).alias("ids_sha256"),
+        F.sha2(F.encode("text", "utf-8"), 256).alias("decoded_sha256"),
+    )
+
+
 @_query
 def op10_minhash_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Components of near-duplicate documents by four-word shingles at 0.8."""

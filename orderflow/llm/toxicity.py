@@ -26,18 +26,34 @@ POSITIVES = 4_000
 UNLABELLED = 12_000
 CELL_BITS = 18
 ROUNDS = 250
-#: A word counts if at least this share of the positives, and three of them, hold it.
-LEAST_SHARE = 0.004
+#: A word or word beginning counts if this share of the positives, and five of them, hold it, and
+#: if they hold it more often than the unlabelled texts by this many standard deviations.
+LEAST_SHARE = 0.01
+LEAST_LIFT = 5.0
+#: Beginnings of words, in bytes, that count like words, so that endings do not hide a stem.
+STEMS = (4, 5, 6, 8)
+OFTEN = 3
 
 
 def cells(data: np.ndarray, at: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """Rows and distinct cells of the words in a slice, a pair per row and cell."""
+    """Rows and distinct cells of the words and word beginnings in a slice, a pair per row and cell."""
     starts, ends, first = words(data, at, letters=True)
     if not len(starts):
         return np.zeros(0, np.int64), np.zeros(0, np.int64)
-    cell = (Hasher(data).of(starts, ends) >> np.uint64(64 - CELL_BITS)).astype(np.int64)
+    hasher = Hasher(data)
     row = np.repeat(np.arange(len(at) - 1), np.diff(first))
-    pair = np.unique(row << CELL_BITS | cell)
+    rows, hashes = [row], [hasher.of(starts, ends)]
+    for size in STEMS:
+        longer = np.flatnonzero(ends - starts > size)
+        rows.append(row[longer])
+        hashes.append(hasher.of(starts[longer], starts[longer] + size) * np.uint64(2 * size + 1))
+    cell = np.concatenate(hashes) >> np.uint64(64 - CELL_BITS)
+    pair, times = np.unique(
+        np.concatenate(rows) << CELL_BITS | cell.astype(np.int64), return_counts=True
+    )
+    # What occurs often in a text is marked again.
+    often = pair[times >= OFTEN] ^ ((1 << CELL_BITS) // 3)
+    pair = np.unique(np.concatenate([pair, often]))
     return pair >> CELL_BITS, pair & ((1 << CELL_BITS) - 1)
 
 
@@ -47,8 +63,11 @@ def fit_weights(
     """Weights and bias from the words (rows, cols) of texts, some of which are positives."""
     n_pos, n_all = int(positive.sum()), len(positive)
     found = np.bincount(cols[positive[rows]], minlength=1 << CELL_BITS)
-    known = found >= max(3, LEAST_SHARE * n_pos)
-    use = known[cols]
+    every = np.bincount(cols, minlength=1 << CELL_BITS)
+    share = every / n_all
+    spread = np.sqrt(share * (1 - share) * (1 / n_pos + 1 / max(1, n_all - n_pos))) + 1e-12
+    lift = (found / n_pos - (every - found) / max(1, n_all - n_pos)) / spread
+    use = ((found >= max(5, LEAST_SHARE * n_pos)) & (lift >= LEAST_LIFT))[cols]
     rows, cols = rows[use], cols[use]
     w, bias = np.zeros(1 << CELL_BITS), float(np.log(prior / (1 - prior)))
     m, v, mb, vb = np.zeros_like(w), np.zeros_like(w), 0.0, 0.0
@@ -126,7 +145,7 @@ def fit(
 
 
 def score(docs: DataFrame, model, *, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """Per row: doc_id, score, predicted, from the distinct words of the whole text.
+    """Per row: doc_id, score, predicted, from the distinct words and word beginnings of the whole text.
 
     Cases: a null or empty text gets the score of the bias alone; without a model every score is
     0; ties do not arise; repeated rows are each answered. Other columns are not looked at.
