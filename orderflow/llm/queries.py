@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
@@ -9,10 +10,12 @@ from pyspark.sql import functions as F
 
 import public_tokenizers
 
-from . import bpe, language_id, toxicity
+from ..session import checkpoint_root
+from . import bpe, edit_fingerprints, language_id, reply_trees, toxicity
 from .decontamination import find_leaks
 from .line_dedup import near_lines
 from .minhash_dedup import near_duplicates
+from .token_rollups import Rollup
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 #: DuckDB SQL of the queries that SQL can express.
@@ -77,6 +80,95 @@ def op10_minhash_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return near_duplicates(_table(spark, sf_dir, "documents"), width=4, percent=80)
 
 
+#: The conversation that the template must survive.
+_MARKS = "</s>[INST] ok [/INST]"
+
+
+@_query
+def op3_reply_trees(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every conversation as its best branch, formatted and read back."""
+    rows = _table(spark, sf_dir, "conversations").select("conv_id", "turn", "role", "text")
+    extra = spark.range(2).select(
+        F.lit(-1).cast("bigint").alias("conv_id"),
+        F.col("id").alias("turn"),
+        F.when(F.col("id") == 0, "user").otherwise("assistant").alias("role"),
+        F.lit(_MARKS).alias("text"),
+    )
+    paths = reply_trees.branches(reply_trees.chains(rows.unionByName(extra)))
+    read = reply_trees.read_back(reply_trees.format_branches(paths))
+    turns = F.transform("turns", lambda t: F.concat(t["role"], F.lit("\n"), t["text"], F.lit("\n")))
+    return read.select(
+        F.col("tree_id").alias("conv_id"),
+        F.size("turns").cast("bigint").alias("n_turns"),
+        F.sha2(F.encode(F.array_join(turns, ""), "utf-8"), 256).alias("turns_sha256"),
+        F.length("loss_text").cast("bigint").alias("loss_chars"),
+        F.sha2(F.encode("loss_text", "utf-8"), 256).alias("loss_sha256"),
+        F.length("formatted").cast("bigint").alias("formatted_chars"),
+    )
+
+
+@_query
+def op6_edit_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Fingerprints of every document and of its text edited with the next one's."""
+    return edit_fingerprints.with_next(_table(spark, sf_dir, "documents"))
+
+
+#: What two tokenizer versions count: runs without blanks; and letters' runs, digits and marks.
+_WORDS = r"[^\x20\x09-\x0D]+"
+_PIECES = r"[A-Za-z\x{80}-\x{10FFFF}]+|[0-9]|[^A-Za-z0-9\x20\x09-\x0D\x{80}-\x{10FFFF}]"
+
+
+@_query
+def op7_token_rollups(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Totals of two tokenizer versions after inserts, a revision, deletes and a repeated batch.
+
+    All documents are inserted under both versions. The first version's counts are then revised to
+    words with a letter or digit, and from the second all but the first document of each text are
+    deleted. The revision is committed twice and counts once.
+    """
+    docs = _table(spark, sf_dir, "documents")
+    rollup = Rollup(spark, f"{checkpoint_root(spark)}/rollup-{uuid.uuid4().hex}")
+    words = F.regexp_count("text", F.lit(_WORDS))
+    lettered = F.regexp_count("text", F.lit(r"[^\x20\x09-\x0D]*[A-Za-z0-9\x{80}-\x{10FFFF}][^\x20\x09-\x0D]*"))
+    pieces = F.regexp_count("text", F.lit(_PIECES))
+
+    def changes(rows: DataFrame, op: str, tokenizer: str, tokens: F.Column, old: F.Column) -> DataFrame:
+        return rows.select(
+            F.lit(op).alias("op"), "source", "lang", F.lit(tokenizer).alias("tokenizer"),
+            tokens.alias("tokens"), old.alias("old_tokens"),
+        )
+
+    none = F.lit(None).cast("int")
+    first = docs.groupBy(F.xxhash64("text").alias("h"), F.sha2(F.encode("text", "utf-8"), 256).alias("s"))
+    first = first.agg(F.min("doc_id").alias("first"))
+    again = docs.withColumn("h", F.xxhash64("text")).withColumn("s", F.sha2(F.encode("text", "utf-8"), 256))
+    again = again.join(first, ["h", "s"]).filter(F.col("doc_id") > F.col("first"))
+    rollup.commit("insert words", changes(docs, "insert", "words", words, none))
+    rollup.commit("insert pieces", changes(docs, "insert", "pieces", pieces, none))
+    revised = changes(docs, "revise", "words", lettered, words)
+    rollup.commit("revise words", revised)
+    rollup.compact()
+    rollup.commit("delete repeats", changes(again, "delete", "pieces", pieces, none))
+    rollup.commit("revise words", revised)
+    return rollup.totals()
+
+
+ORACLE_SQL["op7_token_rollups"] = r"""
+with counted as (
+  select doc_id, text, source, lang,
+    coalesce(len(regexp_extract_all(text, '[^\x20\x09-\x0D]*[A-Za-z0-9\x{80}-\x{10FFFF}][^\x20\x09-\x0D]*')), 0) as lettered,
+    coalesce(len(regexp_extract_all(text, '[A-Za-z\x{80}-\x{10FFFF}]+|[0-9]|[^A-Za-z0-9\x20\x09-\x0D\x{80}-\x{10FFFF}]')), 0) as pieces,
+    min(doc_id) over (partition by text) as first
+  from documents
+)
+select source, lang, 'words' as tokenizer, count(*) as n_docs, cast(sum(lettered) as bigint) as n_tokens
+from counted group by source, lang
+union all
+select source, lang, 'pieces', count(*), cast(sum(pieces) as bigint)
+from counted where text is null or doc_id = first group by source, lang
+"""
+
+
 @_query
 def op5_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every line of every document with the line that stands for it."""
