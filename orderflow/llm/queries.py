@@ -13,6 +13,7 @@ import public_tokenizers
 from ..session import checkpoint_root
 from . import bpe, edit_fingerprints, language_id, reply_trees, toxicity
 from .decontamination import find_leaks
+from .html_extraction import extract
 from .line_dedup import near_lines
 from .minhash_dedup import near_duplicates
 from .token_rollups import Rollup
@@ -169,6 +170,13 @@ from counted where text is null or doc_id = first group by source, lang
 """
 
 
+@_query
+def op4_html_extraction(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The main text of every page."""
+    found = extract(_table(spark, sf_dir, "pages"))
+    return found.withColumn("n_chars", F.length("text").cast("bigint"))
+
+
 @_query
 def op5_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every line of every document with the line that stands for it."""
