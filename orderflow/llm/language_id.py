@@ -16,6 +16,7 @@ import pandas as pd
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import StructType
 
 from .bytetext import raw, slices
 from .workers import map_batches, ship
@@ -167,6 +168,50 @@ def decode(model: Model, margins: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     return best, odds[np.arange(len(best)), best] / odds.sum(1)
 
 
+def with_language(
+    docs: DataFrame, model: Model, *, text_col: str = "text", keep_unknown: bool = False
+) -> DataFrame:
+    """The rows of `docs` as they are, with lang_pred, score and ambiguous beside.
+
+    Rows without a language are left out unless `keep_unknown`. Nothing is shuffled. Columns of
+    these three names in `docs` are replaced.
+    """
+    own = ("lang_pred", "score", "ambiguous")
+    docs = docs.drop(*own)
+    place = docs.columns.index(text_col)
+
+    def score(batches):
+        for batch in batches:
+            names, sureness, unsure = _answers(model, batch.column(place), batch.column(batch.num_columns - 1).to_pylist())
+            arrays = batch.columns[:-1] + [pa.array(names, pa.string()), pa.array(sureness, pa.float64()), pa.array(unsure, pa.bool_())]
+            out = pa.RecordBatch.from_arrays(arrays, names=batch.schema.names[:-1] + list(own))
+            yield out if keep_unknown else out.filter(pa.array([n != UNKNOWN for n in names], pa.bool_()))
+
+    lettered = F.coalesce(F.col(text_col).rlike(r"\p{L}"), F.lit(False))
+    schema = StructType(docs.schema.fields)
+    schema = schema.add("lang_pred", "string").add("score", "double").add("ambiguous", "boolean")
+    return map_batches(docs.select("*", lettered.alias("_lettered")), score, schema)
+
+
+def _answers(model: Model, texts: pa.Array, lettered: list[bool]):
+    """Language, probability and doubt of each text."""
+    body, at = raw(texts)
+    names, sureness = [], []
+    for low, high in slices(at):
+        if not model.languages:
+            names += [UNKNOWN] * (high - low)
+            sureness += [0.0] * (high - low)
+            continue
+        x = features(body[at[low] : at[high]], at[low : high + 1] - at[low])
+        best, sure = decode(model, x @ model.weights + model.bias)
+        names += [model.languages[k] for k in best]
+        sureness += sure.tolist()
+    names = [n if ok else UNKNOWN for n, ok in zip(names, lettered, strict=True)]
+    sureness = [s if n != UNKNOWN else 0.0 for s, n in zip(sureness, names, strict=True)]
+    unsure = [n != UNKNOWN and s < AMBIGUOUS for n, s in zip(names, sureness, strict=True)]
+    return names, sureness, unsure
+
+
 def predict(docs: DataFrame, model: Model, *, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """Per row: doc_id, lang_pred, score, ambiguous, from the whole text alone.
 
@@ -174,32 +219,6 @@ def predict(docs: DataFrame, model: Model, *, id_col: str = "doc_id", text_col:
     score 0, not ambiguous; texts of one or two bytes are padded; equal losses go to the language
     first in order; repeated rows are each answered. Other columns are not looked at.
     """
-
-    def score(batches):
-        for batch in batches:
-            body, at = raw(batch.column(2))
-            lettered = batch.column(1).to_pylist()
-            names, sureness = [], []
-            for low, high in slices(at):
-                if not model.languages:
-                    names += [UNKNOWN] * (high - low)
-                    sureness += [0.0] * (high - low)
-                    continue
-                x = features(body[at[low] : at[high]], at[low : high + 1] - at[low])
-                best, sure = decode(model, x @ model.weights + model.bias)
-                names += [model.languages[k] for k in best]
-                sureness += sure.tolist()
-            names = [n if ok else UNKNOWN for n, ok in zip(names, lettered, strict=True)]
-            sureness = [s if n != UNKNOWN else 0.0 for s, n in zip(sureness, names, strict=True)]
-            unsure = [n != UNKNOWN and s < AMBIGUOUS for n, s in zip(names, sureness, strict=True)]
-            yield pa.RecordBatch.from_arrays(
-                [batch.column(0), pa.array(names, pa.string()), pa.array(sureness, pa.float64()), pa.array(unsure, pa.bool_())],
-                names=["doc_id", "lang_pred", "score", "ambiguous"],
-            )
-
-    given = docs.select(
-        F.col(id_col).cast("bigint").alias("doc_id"),
-        F.coalesce(F.col(text_col).rlike(r"\p{L}"), F.lit(False)).alias("lettered"),
-        F.col(text_col).alias("text"),
-    )
-    return map_batches(given, score, "doc_id bigint, lang_pred string, score double, ambiguous boolean")
+    given = docs.select(F.col(id_col).cast("bigint").alias("doc_id"), F.col(text_col).alias("text"))
+    found = with_language(given, model, keep_unknown=True)
+    return found.select("doc_id", "lang_pred", "score", "ambiguous")

@@ -21,7 +21,7 @@ from pyspark.sql import functions as F
 
 from .bytetext import Hasher, mix, odd_numbers, raw, repeat_index, slices, words
 from .cuts import Cuts, by_size
-from .setjoin import SetJoin, rows_of_sets
+from .setjoin import SetJoin, numbered
 from .workers import map_batches
 
 #: Places of a part; one of them may differ.
@@ -107,24 +107,31 @@ def signatures(docs: DataFrame, width: int, parts: int, id_col: str, text_col: s
     return map_batches(given, sign, "doc bigint, n bigint, node binary, sig binary")
 
 
-def _sets(texts: DataFrame, width: int) -> DataFrame:
-    """(id, node, items) of the rows (id, node, text) whose set has that digest."""
+def _sets(width: int):
+    def sets_of(texts: pa.Array) -> list[np.ndarray]:
+        return [
+            np.unique(hashes[at[row] : at[row + 1]])
+            for hashes, at, low, high in Shingler(width).rows(texts)
+            for row in range(high - low)
+        ]
 
-    def collect(batches):
-        shingler = Shingler(width)
+    return sets_of
+
+
+def _bodies(found: DataFrame, width: int) -> DataFrame:
+    """(id, body) of the rows (id, node, text) whose set has that digest.
+
+    Only rows that share a doc_id with another text can differ.
+    """
+
+    def run(batches):
+        sets_of = _sets(width)
         for batch in batches:
-            wanted = batch.column(1).to_pylist()
-            ids, items = [], []
-            for hashes, at, low, high in shingler.rows(batch.column(2)):
-                for row in range(high - low):
-                    distinct = np.unique(hashes[at[row] : at[row + 1]])
-                    if _digest(distinct) == wanted[low + row]:
-                        ids.append(batch.column(0)[low + row].as_py())
-                        items.append(distinct)
-            if ids:
-                yield rows_of_sets(ids, items)
+            nodes = batch.column(1).to_pylist()
+            same = [_digest(x) == n for x, n in zip(sets_of(batch.column(2)), nodes, strict=True)]
+            yield batch.select([0, 2]).rename_columns(["id", "body"]).filter(pa.array(same, pa.bool_()))
 
-    return map_batches(texts, collect, "id bigint, items array<bigint>")
+    return map_batches(found, run, "id bigint, body string")
 
 
 def _keys(parts: int) -> F.Column:
@@ -169,16 +176,18 @@ def near_duplicates(
         .groupBy("node")
         .agg(F.min("doc").alias("head"), F.min("n").alias("n"), F.min("sig").alias("sig"))
     )
-    reps = cuts.cut(distinct.withColumn("id", F.monotonically_increasing_id()))
+    reps = numbered(cuts, distinct, "head")
     texts = docs.select(F.col(id_col).cast("bigint").alias("doc"), F.col(text_col).alias("text"))
 
     def fetch(ids: DataFrame) -> DataFrame:
         asked = cuts.cut(reps.join(ids, "id").select("id", F.col("head").alias("of"), "node"))
         found = texts.join(by_size(asked), F.col("doc").eqNullSafe(F.col("of")))
-        return _sets(found.select("id", "node", "text"), width).dropDuplicates(["id"])
+        return _bodies(found.select("id", "node", "text"), width)
 
-    places, most = parts * PLACES, 2 * parts - 1
-    roots = SetJoin(cuts, reps, _keys(parts), places, most, percent, fetch).roots()
+    join = SetJoin(
+        cuts, reps, _keys(parts), parts * PLACES, 2 * parts - 1, percent, fetch, _sets(width)
+    )
+    roots = join.roots()
 
     # The smallest document of each component, for the sets that are in one; others stand alone.
     grouped = reps.join(roots, "id", "left").select(
@@ -194,3 +203,13 @@ def near_duplicates(
         .otherwise(F.col("doc").eqNullSafe(F.col("component_id")))
         .alias("kept"),
     )
+
+
+def without_copies(docs: DataFrame, decided: DataFrame, *, id_col: str = "doc_id") -> DataFrame:
+    """The documents that `near_duplicates` keeps, each row as it was, and each document once.
+
+    Rows with one doc_id are one document; a null doc_id is kept as it is.
+    """
+    cuts = Cuts(docs.sparkSession)
+    gone = cuts.cut(decided.filter("not kept").select(F.col("doc_id").alias("gone")).distinct())
+    return docs.join(by_size(gone), F.col(id_col).cast("bigint") == F.col("gone"), "left_anti")

@@ -28,7 +28,7 @@ def ship(spark: SparkSession) -> None:
     _shipped.add(context.applicationId)
 
 
-def map_batches(df: DataFrame, function: Callable, schema: str) -> DataFrame:
-    """`df.mapInArrow` with the package shipped."""
+def map_batches(df: DataFrame, function: Callable, schema) -> DataFrame:
+    """`df.mapInArrow` with the package shipped; `schema` as a text or a StructType."""
     ship(df.sparkSession)
     return df.mapInArrow(function, schema)
