@@ -11,7 +11,7 @@ import numpy as np
 import pyarrow as pa
 
 #: Bytes of text worked on together; several arrays of eight bytes per byte are alive at a time.
-SLICE_BYTES = 1 << 20
+SLICE_BYTES = 1 << 19
 
 _U = np.uint64
 # The finaliser of splitmix64 and an odd base with its inverse modulo 2^64.

@@ -178,7 +178,7 @@ def with_next(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "text"
     spark = docs.sparkSession
     ranges = max(2, int(spark.conf.get("spark.sql.shuffle.partitions")))
     cuts = given.filter("doc is not null").approxQuantile("doc", [k / ranges for k in range(1, ranges)], 0.2 / ranges)
-    splits = [-float("inf"), *sorted(set(cuts)), float("inf")]
+    splits = [-float("inf"), *(sorted(set(cuts)) or [0.0]), float("inf")]
     dealt = Bucketizer(splits=splits, inputCol="as_double", outputCol="range", handleInvalid="keep").transform(
         given.withColumn("as_double", F.coalesce(F.col("doc").cast("double"), F.lit(float("nan"))))
     )

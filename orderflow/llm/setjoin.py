@@ -1,8 +1,9 @@
 """Components of sets that share most of their union, from signatures, for any keys and any sets.
 
-`reps` holds one row per distinct set: id, n (its size), head (what orders the sets of a key) and
-sig (16 bits for each of its minimum hashes). The caller says under which keys a signature is
-filed, in how many places two linked signatures may differ, and how full sets are fetched.
+`reps` holds one row per distinct set: id, n (its size) and sig (16 bits for each of its minimum
+hashes). The caller says under which keys a signature is filed, in how many places two linked
+signatures may differ, how the texts of ids are fetched, and how texts become sets. Texts and not
+sets travel through the shuffles, since they are smaller and compress.
 
 Pairs inside a key are not all written out. First every set is held against the first one under
 its key only, and what the exact check confirms is joined into components; groups of copies end
@@ -30,12 +31,10 @@ COUNTED = 20_000
 COUNTER_BITS = 20
 
 
-def rows_of_sets(ids: list[int], sets: list[np.ndarray]) -> pa.RecordBatch:
-    """(id, items) as an Arrow batch."""
-    ends = np.cumsum([0, *map(len, sets)])
-    flat = np.concatenate(sets).view(np.int64) if sets else np.zeros(0, np.int64)
-    lists = pa.ListArray.from_arrays(pa.array(ends, pa.int32()), pa.array(flat))
-    return pa.RecordBatch.from_arrays([pa.array(ids, pa.int64()), lists], names=["id", "items"])
+def numbered(cuts: Cuts, distinct: DataFrame, head: str) -> DataFrame:
+    """`distinct` as a written table with an id that grows with the column `head`."""
+    spread = distinct.repartitionByRange(head).sortWithinPartitions(head)
+    return cuts.cut(spread.withColumn("id", F.monotonically_increasing_id()))
 
 
 @dataclass
@@ -46,40 +45,47 @@ class SetJoin:
     places: int
     may_differ: int
     percent: int
-    fetch: Callable[[DataFrame], DataFrame]  # (id) -> (id, items), each id once
+    fetch: Callable[[DataFrame], DataFrame]  # (id) -> (id, body)
+    sets_of: Callable[[pa.Array], list[np.ndarray]]  # texts -> sorted distinct hashed items
 
     def roots(self) -> DataFrame:
         """(id, root) for each id whose component has a smaller id."""
         cuts = self.cuts
-        filed = self.reps.select(F.explode(self.keys).alias("key"), "id", "head")
+        filed = self.reps.select(F.explode(self.keys).alias("key"), "id")
         heads = (
             filed.groupBy("key")
-            .agg(F.count("*").alias("members"), F.min(F.struct("head", "id")).alias("first"))
+            .agg(F.count("*").alias("members"), F.min("id").alias("first"))
             .filter("members > 1")
-            .select("key", F.col("first.id").alias("first"))
+            .select("key", "first")
         )
-        met = cuts.cut(filed.select("key", "id").join(heads, "key"))
+        met = cuts.cut(filed.join(heads, "key"))
         star = met.filter("id != first").select(F.col("first").alias("a"), F.col("id").alias("b"))
         pairs = cuts.cut(self._close(star.distinct()))
-        sets = cuts.cut(
-            self.fetch(pairs.select(F.col("a").alias("id")).union(pairs.select("b")).distinct())
-        )
-        links = cuts.cut(self._confirmed(pairs, sets))
-        cuts.drop(sets)
+        texts = self._texts(pairs.select(F.col("a").alias("id")).union(pairs.select("b")))
+        links = cuts.cut(self._confirmed(pairs, texts))
+        cuts.drop(texts)
         roots = components(cuts, links)
         late = self._rest(met, roots)
         return roots if cuts.empty(late) else components(cuts, links.union(late))
 
+    def _texts(self, ids: DataFrame) -> DataFrame:
+        """(id, body), each id once even if its row is repeated in the input."""
+        ids = self.cuts.cut(ids.distinct())
+        texts = self.cuts.cut(self.fetch(ids))
+        return self.cuts.cut(texts.dropDuplicates(["id"])) if texts.count() > ids.count() else texts
+
     def _rest(self, met: DataFrame, roots: DataFrame) -> DataFrame:
         """Links between the components that meet under some key."""
         cuts = self.cuts
-        placed = met.join(roots, "id", "left").select("key", "id", F.coalesce("root", "id").alias("root"))
+        # The first of a key has been held against all others, so only those are left.
+        placed = met.filter("id != first").join(roots, "id", "left")
+        placed = placed.select("key", "id", F.coalesce("root", "id").alias("root"))
         spread = placed.groupBy("key").agg(F.min("root").alias("low"), F.max("root").alias("high"))
         mixed = spread.filter("low != high").select("key")
         open_ids = cuts.cut(placed.join(mixed, "key").select("id", "root").distinct())
         cuts.drop(met)
-        sets = cuts.cut(self.fetch(open_ids.select("id")))
-        rare = cuts.cut(self._rare_first(sets).join(open_ids, "id"))
+        texts = self._texts(open_ids.select("id"))
+        rare = cuts.cut(self._rare_first(texts).join(open_ids, "id"))
         spread = rare.groupBy("item").agg(F.min("root").alias("low"), F.max("root").alias("high"))
         rare = rare.join(spread.filter("low != high").select("item"), "item")
         x = rare.select("item", *[F.col(c).alias(f"{c}_a") for c in ("id", "n", "place", "root")])
@@ -88,8 +94,8 @@ class SetJoin:
         reach = 100 * most >= self.percent * (F.col("n_a") + F.col("n_b") - most)
         found = x.join(y, "item").filter((F.col("root_a") < F.col("root_b")) & reach)
         pairs = found.select(F.col("id_a").alias("a"), F.col("id_b").alias("b")).distinct()
-        late = cuts.cut(self._confirmed(cuts.cut(self._close(pairs)), sets))
-        cuts.drop(sets, rare)
+        late = cuts.cut(self._confirmed(cuts.cut(self._close(pairs)), texts))
+        cuts.drop(texts, rare)
         return late
 
     def _close(self, pairs: DataFrame) -> DataFrame:
@@ -114,40 +120,55 @@ class SetJoin:
         allowed = pairs.filter(sizes).select("a", "b", "sig_a", "sig_b")
         return map_batches(allowed, near, "a bigint, b bigint")
 
-    def _confirmed(self, pairs: DataFrame, sets: DataFrame) -> DataFrame:
+    def _confirmed(self, pairs: DataFrame, texts: DataFrame) -> DataFrame:
         """The pairs whose full sets reach the wanted share of their union."""
         for side in ("a", "b"):
-            pairs = pairs.join(
-                sets.select(F.col("id").alias(side), F.col("items").alias(f"items_{side}")), side
-            )
-        shared = F.size(F.array_intersect("items_a", "items_b"))
-        union = F.size("items_a") + F.size("items_b") - shared
-        return pairs.filter(100 * shared >= self.percent * union).select("a", "b")
-
-    def _rare_first(self, sets: DataFrame) -> DataFrame:
+            own = texts.select(F.col("id").alias(side), F.col("body").alias(f"body_{side}"))
+            pairs = pairs.join(own, side)
+        sets_of, percent = self.sets_of, self.percent
+
+        def check(batches):
+            for batch in batches:
+                keep = []
+                for x, y in zip(sets_of(batch.column(2)), sets_of(batch.column(3)), strict=True):
+                    shared = len(np.intersect1d(x, y, assume_unique=True))
+                    keep.append(100 * shared >= percent * (len(x) + len(y) - shared))
+                yield batch.select([0, 1]).filter(pa.array(keep, pa.bool_()))
+
+        return map_batches(
+            pairs.select("a", "b", "body_a", "body_b"), check, "a bigint, b bigint"
+        )
+
+    def _rare_first(self, texts: DataFrame) -> DataFrame:
         """(item, id, n, place): each set's rarest items, as many as a partner must share one of."""
-        rows = max(1, sets.count())
+        rows = max(1, texts.count())
+        sets_of, percent = self.sets_of, self.percent
         draw = F.pmod(F.xxhash64("id"), F.lit(1 << 20))
+
+        def count(batches):
+            for batch in batches:
+                sets = sets_of(batch.column(0))
+                cells = np.concatenate([np.zeros(0, np.uint64), *sets]) >> np.uint64(64 - COUNTER_BITS)
+                cell, number = np.unique(cells.astype(np.int64), return_counts=True)
+                yield pa.RecordBatch.from_arrays([pa.array(cell), pa.array(number)], names=["cell", "number"])
+
+        some = texts.filter(draw < int((1 << 20) * min(1.0, COUNTED / rows))).select("body")
         counted = (
-            sets.filter(draw < int((1 << 20) * min(1.0, COUNTED / rows)))
-            .select(F.explode("items").alias("item"))
-            .groupBy(F.shiftrightunsigned("item", 64 - COUNTER_BITS).cast("int").alias("cell"))
-            .count()
+            map_batches(some, count, "cell bigint, number bigint")
+            .groupBy("cell")
+            .agg(F.sum("number").alias("count"))
             .toArrow()
         )
         counters = np.zeros(1 << COUNTER_BITS, np.int32)
         counters[counted["cell"].to_numpy()] = np.minimum(counted["count"].to_numpy(), 1 << 30)
-        shared = sets.sparkSession.sparkContext.broadcast(counters)
-        percent = self.percent
+        shared = texts.sparkSession.sparkContext.broadcast(counters)
 
         def pick(batches):
             frequency = shared.value
             for batch in batches:
-                at = batch.column(1).offsets.to_numpy()
-                flat = batch.column(1).values.to_numpy().view(np.uint64)
                 out = []
-                for one, low, high in zip(batch.column(0).to_pylist(), at[:-1], at[1:], strict=True):
-                    items, n = flat[low:high], high - low
+                for one, items in zip(batch.column(0).to_pylist(), sets_of(batch.column(1)), strict=True):
+                    n = len(items)
                     keep = n - (percent * n + 99) // 100 + 1
                     cells = (items >> np.uint64(64 - COUNTER_BITS)).astype(np.int64)
                     order = np.lexsort((items, frequency[cells]))[:keep]
@@ -160,4 +181,4 @@ class SetJoin:
                         names=["item", "id", "n", "place"],
                     )
 
-        return map_batches(sets, pick, "item bigint, id bigint, n bigint, place bigint")
+        return map_batches(texts.select("id", "body"), pick, "item bigint, id bigint, n bigint, place bigint")
