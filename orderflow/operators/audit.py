@@ -7,9 +7,6 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-#: Rows a duplicate check shows.
-SHOWN = 10
-
 Tables = dict[str, DataFrame]
 
 
@@ -51,7 +48,7 @@ def check_no_gaps(t: Tables) -> DataFrame:
     found = t["new_order"].groupBy("no_w_id", "no_d_id").agg(
         (F.count("no_o_id") - span).alias("diff")
     )
-    return found.filter(F.col("diff") != 0).select("diff")
+    return found.filter(F.col("diff") != 0).select("no_w_id", "no_d_id", "diff")
 
 
 def check_line_counts(t: Tables) -> DataFrame:
@@ -64,9 +61,9 @@ def check_line_counts(t: Tables) -> DataFrame:
 def _duplicates(table: str, keys: list[str]) -> Callable[[Tables], DataFrame]:
     def check(t: Tables) -> DataFrame:
         counted = t[table].groupBy(*keys).agg(F.count(F.lit(1)).alias("n"))
-        return counted.filter(F.col("n") > 1).orderBy(*keys).limit(SHOWN)
+        return counted.filter(F.col("n") > 1)
 
-    check.__doc__ = f"The first {SHOWN} keys that occur more than once in {table}."
+    check.__doc__ = f"The keys that occur more than once in {table}."
     return check
 
 

@@ -25,5 +25,5 @@ def get_config(config: DataFrame, name: str) -> str:
     """The value of one load parameter; an error when it is missing."""
     found = config.filter(F.col("cfg_name") == name).select("cfg_value").take(1)
     if not found:
-        raise KeyError(f"DB Load parameter '{name}' not found")
+        raise KeyError(f"no row named {name} in the config table")
     return found[0][0]

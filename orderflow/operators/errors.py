@@ -36,6 +36,11 @@ MESSAGES: dict[str, tuple[str, tuple[str, ...]]] = {
         "Last Order for W_ID = %d and D_ID = %d and C_ID = %d not found.",
         ("w_id", "d_id", "c_id"),
     ),
+    "too_many_lines": (
+        "More lines than slots in the order W_ID = %d, D_ID = %d, O_ID = %d.",
+        ("w_id", "d_id", "o_id"),
+    ),
+    "quantity": ("Quantity %d of I_ID = %d is not a number above 0.", ("ol_quantity", "ol_i_id")),
     "order": (
         "Order for O_W_ID = %d and O_D_ID = %d and O_ID = %d not found.",
         ("w_id", "d_id", "o_id"),

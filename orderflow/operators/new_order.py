@@ -131,7 +131,7 @@ def check_requests(
     """One row per request: its looked-up lines as an array, status, total and error.
 
     The first thing found missing decides, in the order district, customer and warehouse, then
-    line by line item and stock. An item that cannot exist rejects the request; any other missing
+    line by line item, stock and a quantity above 0. An item that cannot exist rejects the request; any other missing
     row is an error. The total of a rejected request covers the lines before the bad one.
     """
     head = lookup_customer_tax(
@@ -162,13 +162,21 @@ def check_requests(
         .drop("l")
     )
     bad = F.get(
-        F.filter("lines", lambda x: x["i_price"].isNull() | x["s_found"].isNull()), F.lit(0)
+        F.filter(
+            "lines",
+            lambda x: x["i_price"].isNull()
+            | x["s_found"].isNull()
+            | F.coalesce(x["ol_quantity"] < 1, F.lit(True)),
+        ),
+        F.lit(0),
     )
     whole = whole.withColumn("bad", bad)
     no_item = F.col("bad.ol_number").isNotNull() & F.col("bad.i_price").isNull()
     no_stock = F.col("bad.ol_number").isNotNull() & F.col("bad.i_price").isNotNull()
+    no_stock &= F.col("bad.s_found").isNull()
+    no_quantity = F.col("bad.ol_number").isNotNull() & ~no_item & ~no_stock
     impossible = (F.col("bad.ol_i_id") < 1) | (F.col("bad.ol_i_id") > max_item)
-    line = {"ol_i_id": F.col("bad.ol_i_id"), "ol_supply_w_id": F.col("bad.ol_supply_w_id")}
+    line = {"ol_quantity": F.col("bad.ol_quantity"), "ol_i_id": F.col("bad.ol_i_id"), "ol_supply_w_id": F.col("bad.ol_supply_w_id")}
     error = (
         F.when(F.col("d_next_o_id").isNull(), message("district"))
         .when(
@@ -176,6 +184,7 @@ def check_requests(
         )
         .when(no_item & ~impossible, message("item", **line))
         .when(no_stock, message("stock", **line))
+        .when(no_quantity, message("quantity", **line))
     )
     before = F.filter(
         "lines", lambda x: F.col("bad.ol_number").isNull() | (x["ol_number"] < F.col("bad.ol_number"))
@@ -382,7 +391,9 @@ def scan_stock(steps: DataFrame, stock: DataFrame, fan: int = FAN, width: int =
         .withColumnRenamed("part", "list")
     )
     started = lists.join(held, STOCK).join(list_starts, [*STOCK, "list"], "left")
-    start = F.coalesce("start", "q0")
+    # A row with one list starts from its quantity; a later list without a start is a fault.
+    lost = F.raise_error(F.lit("a list of stock steps has no start")).cast("int")
+    start = F.when(F.col("__n") <= fan, F.col("q0")).otherwise(F.coalesce("start", lost))
     return started.select(*STOCK, F.inline(_walk(F.col("steps"), start)))
 
 

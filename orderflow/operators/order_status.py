@@ -109,6 +109,8 @@ def order_status(
 ) -> DataFrame:
     """The full answer per request; `code` and `message` are set where a row is missing.
 
+    They are also set, and the lines are null, where an order has more lines than there are slots.
+
     With `cut`, the customers found and their orders are written once, since each is used both to
     narrow the next table and to join to it.
     """
@@ -124,9 +126,11 @@ def order_status(
         F.when(F.col("asked_last").isNotNull() & F.col("c_id").isNull(), by_last)
         .when(F.col("c_found").isNull(), message("customer"))
         .when(F.col("o_id").isNull(), message("last_order"))
+        .when(F.col("too_many"), message("too_many_lines"))
     )
     return (
         found.withColumn("message", error)
         .withColumn("code", F.when(F.col("message").isNotNull(), ROW_NOT_FOUND))
+        .withColumn("lines", F.when(~F.col("too_many"), F.col("lines")))
         .drop("c_found", "asked_last", "c_w_id", "c_d_id")
     )

@@ -17,9 +17,9 @@ DEFAULT_WEIGHTS = {"PAYMENT": 43, "STOCK_LEVEL": 4, "ORDER_STATUS": 4, "DELIVERY
 
 def check_weights(weights: Mapping[str, int]) -> None:
     if any(w < 0 for w in weights.values()) or not any(weights.values()):
-        raise ValueError("Invalid number in mix percentage!")
+        raise ValueError("every weight must be 0 or more, and one of them above 0")
     if sum(weights.values()) > 100:
-        raise ValueError("Sum of mix percentage parameters exceeds 100%!")
+        raise ValueError("the weights add up to more than 100")
 
 
 def gen_requests(

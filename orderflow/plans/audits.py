@@ -33,7 +33,7 @@ def faulty(b, *names):
 
 
 _YTD = "select d_w_id, sum(d_ytd) from f_district group by d_w_id"
-_DUP = "select {k}, count(*) as n from f_{t} group by {k} having count(*) > 1 order by {k} limit 10"
+_DUP = "select {k}, count(*) as n from f_{t} group by {k} having count(*) > 1"
 
 SQL = {
     "ytd_forward": f"select w_id, w_ytd from f_warehouse except ({_YTD})",
@@ -46,7 +46,7 @@ SQL = {
         "(select no_w_id, no_d_id, max(no_o_id) from f_new_order group by no_w_id, no_d_id)"
     ),
     "no_gaps": (
-        "select * from (select count(no_o_id) - (max(no_o_id) - min(no_o_id) + 1) as diff from "
+        "select * from (select no_w_id, no_d_id, count(no_o_id) - (max(no_o_id) - min(no_o_id) + 1) as diff from "
         "f_new_order group by no_w_id, no_d_id) where diff <> 0"
     ),
     "line_counts": (
@@ -68,7 +68,7 @@ SPEC = {
     "ytd_forward": ("w_id:i w_ytd:f", ["warehouse", "district"]),
     "next_id_orders": ("w_id:i d_id:i last_id:i", ["district", "oorder"]),
     "next_id_new_orders": ("w_id:i d_id:i last_id:i", ["district", "new_order"]),
-    "no_gaps": ("diff:i", ["new_order"]),
+    "no_gaps": ("no_w_id:i no_d_id:i diff:i", ["new_order"]),
     "line_counts": ("o_w_id:i o_d_id:i n:i", ["oorder", "order_line"]),
     "ytd_reverse": ("w_id:i w_ytd:f", ["warehouse", "district"]),
     "dup_customer": ("c_w_id:i c_d_id:i c_id:i n:i", ["customer"]),

@@ -16,16 +16,23 @@ from .value_sql import q
 AT = "timestamp '2024-01-01 00:00:00'"
 C_LAST, C_CUSTOMER, C_ITEM = 123, 77, 4242
 W = 100
+KEYS = {
+    "orders": "o_orderkey",
+    "customer": "c_custkey",
+    "part": "p_partkey",
+    "supplier": "s_suppkey",
+    "events": "event_id",
+}
 
 
 def _ids(b, table: str):
-    """As many row numbers as the table has rows; the tables are keyed by just these numbers."""
-    return b.spark.range(0, b.raw(table).count())
+    """The table's own key column as row numbers."""
+    return b.raw(table).select(F.col(KEYS[table]).cast("bigint").alias("id"))
 
 
 def _columns(table: str) -> str:
     """The table's columns with their output kinds, from the DDL text."""
-    kinds = {"int": "i", "varchar": "s", "char": "s", "timestamp": "t", "decimal": "f"}
+    kinds = {"int": "i", "bigint": "i", "varchar": "s", "char": "s", "timestamp": "t", "decimal": "f"}
     named = re.findall(r"(\w+) ([a-z]+)(?:\([\d,]+\))?(?:, |$)", TABLE_COLUMNS[table])
     return " ".join(f"{name}:{kinds[kind]}" for name, kind in named)
 

@@ -200,15 +200,28 @@ def _(b):
     return versions.read(["district"])["district"]
 
 
-@register("stream_checks", "check_id:s n:i", "select 'none' as check_id, 0 as n where false")
+_FAULTY_STOCK = " union all ".join(
+    f"select {v} as version, 'dup_stock' as check_id, count(*) as n from "
+    f"(select s_w_id, s_i_id from t_stock where s_i_id % {m} = 0 group by s_w_id, s_i_id)"
+    for v, m in ((1, 7), (2, 11))
+)
+
+
+@register(
+    "stream_checks", "version:i check_id:s n:i", f"select * from ({_FAULTY_STOCK}) where n > 0"
+)
 def _(b):
-    """The checks run over a version as a stream would see it; sound tables give no row."""
+    """Three versions as a stream sees them: a sound one, and two with other stock rows doubled."""
     path = scratch(b.spark)
-    TableVersions(b.spark, f"{path}/tables").write(0, b.tables(*watch.NEEDED))
+    versions = TableVersions(b.spark, f"{path}/tables")
+    versions.write(0, b.tables(*watch.NEEDED))
+    stock = b.tables("stock")["stock"]
+    for version, each in ((1, 7), (2, 11)):
+        versions.write(version, {"stock": stock.union(stock.filter(F.col("s_i_id") % each == 0))})
     watch.watch_checks(
         b.spark, f"{path}/tables", f"{path}/out", f"{path}/cp", interval=None
     ).awaitTermination()
     found = b.spark.read.schema("check_id string, violation string, version int").parquet(
-        f"{path}/out/run=0"
+        f"{path}/out"
     )
-    return found.groupBy("check_id").agg(F.count("violation").alias("n"))
+    return found.groupBy("version", "check_id").agg(F.count("violation").alias("n"))

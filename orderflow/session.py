@@ -37,12 +37,14 @@ def local_session(cores: int | str = 8, app: str = "orderflow") -> SparkSession:
 
 
 def checkpoint_root(spark: SparkSession) -> str:
-    """The shared folder the cluster names; a folder under the warehouse only where none is set."""
+    """The shared folder the cluster names; in local mode, where none is set, one in the warehouse."""
     current = spark.sparkContext.getCheckpointDir()
     if current:
         return current
     named = spark.conf.get("spark.checkpoint.dir", None)
     if not named:
+        if not spark.sparkContext.master.startswith("local["):
+            raise ValueError("name a folder that all executors share in spark.checkpoint.dir")
         named = spark.conf.get("spark.sql.warehouse.dir").rstrip("/") + "/_checkpoints"
     spark.sparkContext.setCheckpointDir(named)
     return spark.sparkContext.getCheckpointDir()

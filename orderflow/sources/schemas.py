@@ -29,7 +29,7 @@ TABLE_COLUMNS: dict[str, str] = {
         "c_data varchar(500)"
     ),
     "history": (
-        "hist_id int, h_c_id int, h_c_d_id int, h_c_w_id int, h_d_id int, h_w_id int, "
+        "hist_id bigint, h_c_id int, h_c_d_id int, h_c_w_id int, h_d_id int, h_w_id int, "
         "h_date timestamp, h_amount decimal(6,2), h_data varchar(24)"
     ),
     "new_order": "no_w_id int, no_d_id int, no_o_id int",

@@ -32,7 +32,15 @@ class TableVersions:
         return sorted((int(n[2:]) for n in names if n.startswith("v=")), reverse=True)
 
     def has(self, version: int) -> bool:
-        return self._fs().exists(self._path("current", f"v={version}"))
+        return self.holds("current", f"v={version}")
+
+    def holds(self, *parts: str) -> bool:
+        """Whether a path under the root exists."""
+        return self._fs().exists(self._path(*parts))
+
+    def next(self) -> int:
+        """The number after the newest complete version."""
+        return max(self.complete(), default=-1) + 1
 
     def stage(self, version: int, tables: dict[str, DataFrame]) -> dict[str, DataFrame]:
         """Write tables of a version that is not yet complete, and read them back."""

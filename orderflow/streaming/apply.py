@@ -85,6 +85,28 @@ def apply_batch(
         settle({"result_stock_level": stock_level(tables, asked)})
 
 
+def _fresh(versions: TableVersions, batch: DataFrame, queue: str) -> DataFrame:
+    """The batch's rows from files of this queue that no complete version has applied, written once."""
+    applied = versions.results("applied")
+    if applied is not None:
+        seen = applied.filter(F.col("queue") == queue).select("file").distinct()
+        batch = batch.join(seen, "file", "left_anti")
+    return cut_lineage(batch)
+
+
+def _files(batch: DataFrame, queue: str) -> DataFrame:
+    return batch.select(F.lit(queue).alias("queue"), "file").distinct()
+
+
+def unknown_types(batch: DataFrame) -> DataFrame:
+    """An error row for every request of a type that is not known."""
+    known = F.coalesce(F.lower("ttype").isin(*REQUEST_COLUMNS), F.lit(False))
+    text = F.concat(F.lit("unknown request type "), F.coalesce("ttype", F.lit("null")))
+    return batch.filter(~known).select(
+        "req_seq", F.lit(None).cast("int").alias("code"), text.alias("message")
+    )
+
+
 def stream_apply(
     spark: SparkSession,
     requests: str,
@@ -97,23 +119,35 @@ def stream_apply(
 ) -> StreamingQuery:
     """Apply request files (parquet envelopes) to the versions under `root`.
 
-    Version 0 holds the tables to start from; micro-batch n becomes version n + 1. A batch that is
-    run again finds its version complete and leaves it, so each request is applied once.
+    Version 0 holds the tables to start from; each micro-batch becomes the next free version and
+    records in it which files of the queue it applied. Files that a complete version has recorded
+    are left out, whatever stream or checkpoint brings them again, so each request is applied once.
+    One writer per `root` at a time.
     """
     versions = TableVersions(spark, root)
 
     def apply(batch: DataFrame, batch_id: int) -> None:
-        version = batch_id + 1
-        if versions.has(version):
+        batch = _fresh(versions, batch, requests)
+        version = versions.next()
+        known = [t.upper() for t in REQUEST_COLUMNS]
+        counts = batch.agg(
+            F.count("*").alias("all"), *[F.count_if(F.col("ttype") == t).alias(t) for t in known]
+        ).first()
+        if not counts["all"]:
             return
-        batch = cut_lineage(batch)
-        types = [r[0] for r in batch.select("ttype").distinct().take(len(REQUEST_COLUMNS))]
+        types = [t for t in known if counts[t]]
         tables = versions.read(TABLES, before=version)
         apply_batch(tables, batch, as_of, types, lambda t: versions.stage(version, t))
+        versions.stage(
+            version, {"applied": _files(batch, requests), "errors_unknown": unknown_types(batch)}
+        )
         versions.finish(version)
 
     stream = (
-        spark.readStream.schema(ENVELOPE).option("maxFilesPerTrigger", files_per_batch).parquet(requests)
+        spark.readStream.schema(ENVELOPE)
+        .option("maxFilesPerTrigger", files_per_batch)
+        .parquet(requests)
+        .select("*", F.col("_metadata.file_path").alias("file"))
     )
     writer = stream.writeStream.foreachBatch(apply).option("checkpointLocation", checkpoint)
     writer = writer.trigger(availableNow=True) if once else writer
@@ -133,23 +167,27 @@ def enqueue_deliveries(req: DataFrame, queue: str, due: str) -> DataFrame:
 def drain_deliveries(
     spark: SparkSession, queue: str, root: str, checkpoint: str, as_of: str, *, once: bool = True
 ) -> StreamingQuery:
-    """Apply queued deliveries to the versions under `root`; results keep when each was due."""
+    """Apply queued deliveries to the versions under `root`; results keep when each was due.
+
+    As in `stream_apply`, each queue file is applied once, whatever checkpoint brings it.
+    """
     versions = TableVersions(spark, root)
     needed = ["new_order", "oorder", "order_line", "customer"]
 
     def drain(batch: DataFrame, batch_id: int) -> None:
-        version = batch_id + 1
-        if versions.has(version):
+        batch = _fresh(versions, batch, queue)
+        if batch.isEmpty():
             return
-        done = delivery(versions.read(needed, before=version), cut_lineage(batch), as_of)
-        versions.write(
-            version, {**done.tables, "result_delivery": done.result, "errors_delivery": done.errors}
-        )
+        version = versions.next()
+        done = delivery(versions.read(needed, before=version), batch.drop("file"), as_of)
+        results = {"result_delivery": done.result, "errors_delivery": done.errors}
+        versions.write(version, {**done.tables, **results, "applied": _files(batch, queue)})
 
     schema = "req_seq bigint, w_id bigint, o_carrier_id int, due timestamp"
     writer = (
         spark.readStream.schema(schema)
         .parquet(queue)
+        .select("*", F.col("_metadata.file_path").alias("file"))
         .writeStream.foreachBatch(drain)
         .option("checkpointLocation", checkpoint)
     )

@@ -20,19 +20,20 @@ def watch_checks(
     interval: str | None = "60 seconds",
     optional: bool = False,
 ) -> StreamingQuery:
-    """Check the newest complete version under `root` each time one has been completed.
+    """Check every complete version under `root` once, as they are completed.
 
-    Each run appends its violations under the version it looked at; a run starts afresh and does
-    not carry over what an earlier one found. Without `interval`, what is there is checked once.
+    The violations of version n go to `out/version=n`, a folder that is written even if there are
+    none; versions that have one are not checked again, whichever run or checkpoint wrote it.
+    Without `interval`, what is there is checked once.
     """
     versions = TableVersions(spark, root)
 
     def check(batch: DataFrame, batch_id: int) -> None:
-        newest = versions.complete()[0]
-        found = run_checks(versions.read(NEEDED), optional)
-        found.withColumn("version", F.lit(newest)).write.mode("overwrite").parquet(
-            f"{out}/run={batch_id}"
-        )
+        done = TableVersions(spark, out)
+        for version in sorted(versions.complete()):
+            if not done.holds(f"version={version}", "_SUCCESS"):
+                found = run_checks(versions.read(NEEDED, before=version + 1), optional)
+                found.write.mode("overwrite").parquet(f"{out}/version={version}")
 
     # The marks of complete versions are empty files, so only their names are read.
     marks = (

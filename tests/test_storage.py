@@ -112,6 +112,24 @@ def test_queue_applies_each_request_once(spark, tmp_path):
     assert v.read(["customer"])["customer"].exceptAll(whole.tables["customer"]).count() == 0
 
 
+def test_new_checkpoints_lose_and_repeat_nothing(spark, tmp_path):
+    root, queue = str(tmp_path / "tables"), str(tmp_path / "queue")
+    v = TableVersions(spark, root)
+    v.write(0, orders(spark))
+    for n in (1, 2):
+        req = S.requests(spark, "delivery", {"req_seq": n, "w_id": 1, "o_carrier_id": n})
+        apply.enqueue_deliveries(req, queue, AT)
+        apply.drain_deliveries(spark, queue, root, str(tmp_path / f"cp{n}"), AT).awaitTermination()
+    assert sorted(r.req_seq for r in v.results("result_delivery").collect()) == [1, 2]
+    assert v.complete() == [2, 1, 0]
+
+
+def test_unknown_request_types_are_errors(spark):
+    types = ["NEW_ORDER", "PAYMENT", "DELIVERY", "ORDER_STATUS", "STOCK_LEVEL", "NONE", "DONE", None]
+    batch = spark.createDataFrame(list(enumerate(types)), "req_seq bigint, ttype string")
+    assert {r.req_seq for r in apply.unknown_types(batch).collect()} == {5, 6, 7}
+
+
 def test_append_mode_holds_back_the_open_window(spark, tmp_path):
     rows = [(1, m * 60_000, 10 * m, 10 * m, "NEW_ORDER" if m % 2 else "DELIVERY_BG", 0, 0, 0) for m in range(300)]
     log = spark.createDataFrame(
