@@ -128,7 +128,7 @@ def order_total(amount: Column, discount: Column, w_tax: Column, d_tax: Column)
 def check_requests(
     tables: dict[str, DataFrame], req: DataFrame, max_item: int = MAX_ITEM
 ) -> DataFrame:
-    """One row per request: its looked-up lines as an array, status, total and error.
+    """One row per request (`req_seq`): its looked-up lines as an array, status, total and error.
 
     The first thing found missing decides, in the order district, customer and warehouse, then
     line by line item, stock and a quantity above 0. An item that cannot exist rejects the request; any other missing
@@ -137,9 +137,11 @@ def check_requests(
     head = lookup_customer_tax(
         lookup_district(all_local(req), tables["district"]), tables["customer"], tables["warehouse"]
     )
+    # Lines travel with their request's number only; the head joins again when they are gathered.
+    asked = head.select("req_seq", "d_id", "lines")
     lines = brand_generic(
         price_lines(
-            lookup_stock(lookup_item(sequence_lines(head), tables["item"]), tables["stock"])
+            lookup_stock(lookup_item(sequence_lines(asked), tables["item"]), tables["stock"])
         )
     )
     line_cols = [
@@ -155,12 +157,12 @@ def check_requests(
         "ol_dist_info",
         "s_found",
     ]
-    whole = (
-        lines.groupBy(*[c for c in head.columns if c != "lines"])
-        .agg(F.collect_list(F.when(F.col("ol_number").isNotNull(), F.struct(*line_cols))).alias("l"))
-        .withColumn("lines", F.array_sort("l"))
-        .drop("l")
+    gathered = lines.groupBy("req_seq").agg(
+        F.array_sort(
+            F.collect_list(F.when(F.col("ol_number").isNotNull(), F.struct(*line_cols)))
+        ).alias("lines")
     )
+    whole = head.drop("lines").join(gathered, "req_seq", "left")
     bad = F.get(
         F.filter(
             "lines",

@@ -6,6 +6,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..functions.scan import spread_join
+from ..session import cut_lineage
 
 #: Orders looked back on.
 RECENT = 20
@@ -16,13 +17,14 @@ def recent_items(
 ) -> DataFrame:
     """Distinct items in the last orders of each district asked for: (w_id, d_id, ol_i_id).
 
-    The lowest order id any of the districts looks back to is a scalar bound on the scan, so that
+    The districts' bounds are few rows, used twice, and written once. The lowest order id any of the districts looks back to is a scalar bound on the scan, so that
     old lines are dropped before the shuffle.
     """
     asked = req.select("w_id", "d_id").distinct()
     bounds = district.select(
         F.col("d_w_id").alias("w_id"), "d_id", "d_next_o_id"
     ).join(asked, ["w_id", "d_id"], "left_semi")
+    bounds = cut_lineage(bounds)
     oldest = bounds.agg(F.min(F.col("d_next_o_id") - recent).alias("m")).scalar()
     lines = order_line.select(
         F.col("ol_w_id").alias("w_id"), F.col("ol_d_id").alias("d_id"), "ol_o_id", "ol_i_id"

@@ -425,7 +425,7 @@ def _claims(b):
 
 
 def _priced(b):
-    found = delivery.claim_customer(_claims(b), b.oorder())
+    found = cut_lineage(delivery.claim_customer(_claims(b), b.oorder()))
     return delivery.claim_amount(delivery.split_claims(found)[0], b.order_line())
 
 
