@@ -58,24 +58,25 @@ def branches(
     leaves = level.join(
         level.filter("up is not null").select(F.col("up").alias("node")).distinct(), "node", "left_anti"
     ).select("node")
+    # Only messages whose pointer has not passed the root go on; the others are final.
+    active, final = level.filter("up is not null"), level.filter("up is null")
     levels, span, size = [], 1, nodes.count()
-    while True:
-        levels.append(level)
-        if cuts.empty(level.filter("up is not null")) or span > size:
-            break
-        on = level.select(
+    while not cuts.empty(active) and span <= size:
+        levels.append(active)
+        on = final.unionByName(active).select(
             F.col("node").alias("via"), F.col("up").alias("far"), F.col("total").alias("more"), F.col("depth").alias("further")
         )
-        level = cuts.cut(
-            level.join(on, F.col("up") == F.col("via"), "left").select(
+        moved = cuts.cut(
+            active.join(on, F.col("up") == F.col("via")).select(
                 "node",
                 F.col("far").alias("up"),
-                (F.col("total") + F.coalesce("more", F.lit(0.0))).alias("total"),
-                (F.col("depth") + F.coalesce("further", F.lit(0))).alias("depth"),
+                (F.col("total") + F.col("more")).alias("total"),
+                (F.col("depth") + F.col("further")).alias("depth"),
             )
         )
+        active, final = moved.filter("up is not null"), final.unionByName(moved.filter("up is null"))
         span *= 2
-    ends = level.filter("up is null").join(leaves, "node")
+    ends = final.join(leaves, "node")
     order = Window.partitionBy("node.tree").orderBy(F.desc("total"), "node.msg")
     ranked = ends.withColumn("branch", F.row_number().over(order))
     if top is not None:
@@ -83,8 +84,8 @@ def branches(
     ways = cuts.cut(
         ranked.select("branch", F.col("total").alias("branch_score"), "depth", "node", F.lit(0).cast("bigint").alias("back"))
     )
-    for k in reversed(range(len(levels) - 1)):
-        jump = levels[k].filter("up is not null").select(F.col("node").alias("via"), "up")
+    for k in reversed(range(len(levels))):
+        jump = levels[k].select(F.col("node").alias("via"), "up")
         # The tree of a way is the tree of its leaf, so the node alone is the key.
         onward = ways.join(jump, F.col("node") == F.col("via")).select(
             "branch", "branch_score", "depth", F.col("up").alias("node"), (F.col("back") + 2**k).alias("back")
