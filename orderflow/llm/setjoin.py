@@ -29,6 +29,7 @@ from .workers import map_batches
 #: Sets whose items are counted to tell rare from frequent ones; only speed hangs on it.
 COUNTED = 20_000
 COUNTER_BITS = 20
+_EVERY_OTHER = 0x5555555555555555
 
 
 def numbered(cuts: Cuts, distinct: DataFrame, head: str) -> DataFrame:
@@ -82,22 +83,48 @@ class SetJoin:
         placed = placed.select("key", "id", F.coalesce("root", "id").alias("root"))
         spread = placed.groupBy("key").agg(F.min("root").alias("low"), F.max("root").alias("high"))
         mixed = spread.filter("low != high").select("key")
-        open_ids = cuts.cut(placed.join(mixed, "key").select("id", "root").distinct())
+        open_ids = placed.join(mixed, "key").select("id", "root").distinct()
+        open_ids = cuts.cut(self._sketched(open_ids))
         cuts.drop(met)
         texts = self._texts(open_ids.select("id"))
         rare = cuts.cut(self._rare_first(texts).join(open_ids, "id"))
         spread = rare.groupBy("item").agg(F.min("root").alias("low"), F.max("root").alias("high"))
         rare = rare.join(spread.filter("low != high").select("item"), "item")
-        x = rare.select("item", *[F.col(c).alias(f"{c}_a") for c in ("id", "n", "place", "root")])
-        y = rare.select("item", *[F.col(c).alias(f"{c}_b") for c in ("id", "n", "place", "root")])
+        x = rare.select("item", *[F.col(c).alias(f"{c}_a") for c in ("id", "n", "place", "root", "sketch")])
+        y = rare.select("item", *[F.col(c).alias(f"{c}_b") for c in ("id", "n", "place", "root", "sketch")])
         most = F.least(F.col("n_a") - F.col("place_a"), F.col("n_b") - F.col("place_b"))
         reach = 100 * most >= self.percent * (F.col("n_a") + F.col("n_b") - most)
-        found = x.join(y, "item").filter((F.col("root_a") < F.col("root_b")) & reach)
+        differ = F.col("sketch_a").bitwiseXOR(F.col("sketch_b"))
+        differ = differ.bitwiseOR(F.shiftrightunsigned(differ, 1)).bitwiseAND(F.lit(_EVERY_OTHER))
+        near = F.bit_count(differ) <= self.may_differ
+        found = x.join(y, "item").filter((F.col("root_a") < F.col("root_b")) & reach & near)
         pairs = found.select(F.col("id_a").alias("a"), F.col("id_b").alias("b")).distinct()
         late = cuts.cut(self._confirmed(cuts.cut(self._close(pairs)), texts))
         cuts.drop(texts, rare)
         return late
 
+    def _sketched(self, ids: DataFrame) -> DataFrame:
+        """(id, root) with two bits of each of the first 32 places of the signature beside.
+
+        Places that differ there differ in the signature too, so what a join drops by them could
+        not have passed.
+        """
+        places = self.places
+
+        def run(batches):
+            shift = 2 * np.arange(min(32, places), dtype=np.uint64)
+            for batch in batches:
+                if len(batch):
+                    sigs = np.frombuffer(b"".join(batch.column(2).to_pylist()), np.uint16).reshape(-1, places)
+                    bits = (sigs[:, : len(shift)] & np.uint16(3)).astype(np.uint64) << shift
+                    sketch = pa.array(bits.sum(1, dtype=np.uint64).view(np.int64))
+                    yield pa.RecordBatch.from_arrays(
+                        [batch.column(0), batch.column(1), sketch], names=["id", "root", "sketch"]
+                    )
+
+        signed = self.reps.select("id", "sig").join(ids, "id").select("id", "root", "sig")
+        return map_batches(signed, run, "id bigint, root bigint, sketch bigint")
+
     def _close(self, pairs: DataFrame) -> DataFrame:
         """The pairs (a, b) whose sizes and signatures allow a link."""
         for side in ("a", "b"):
