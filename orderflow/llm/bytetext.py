@@ -34,7 +34,7 @@ _PLAIN = np.arange(1, 257, dtype=_U)
 _powers = [np.ones(1, _U), np.ones(1, _U)]
 
 
-def _power(n: int) -> tuple[np.ndarray, np.ndarray]:
+def powers(n: int) -> tuple[np.ndarray, np.ndarray]:
     """Powers 0 to n of the base and of its inverse."""
     if len(_powers[0]) <= n:
         for k, base in enumerate((_BASE, _INVERSE)):
@@ -88,7 +88,7 @@ class Hasher:
     """Hashes of any runs of bytes in one slice, from running sums."""
 
     def __init__(self, data: np.ndarray, fold: bool = True):
-        power, self.inverse = _power(len(data))
+        power, self.inverse = powers(len(data))
         sums = np.empty(len(data) + 1, _U)
         sums[0] = 0
         np.cumsum((_LOWER if fold else _PLAIN)[data] * power[: len(data)], out=sums[1:])

@@ -10,6 +10,10 @@ the distinct places are moved on.
 
 Items also walk from later words, so that edits near their start do not hide them. Windows come in
 sizes of 8, 16 and 32 words; an item uses the largest that fits from each start.
+
+Items too short to walk are cut into one piece more than edits are allowed. Edits leave one piece as
+it was, so a document holds such an item only where it holds one of the pieces word for word, and
+all places where it does are candidates. Characters of scripts without blanks are words.
 """
 
 from __future__ import annotations
@@ -22,13 +26,17 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .bytetext import Hasher, mix, odd_numbers, raw, slices, words
+from .bytetext import Hasher, mix, odd_numbers, powers, raw, repeat_index, slices, words
 from .workers import map_batches
 
 #: Words of edit distance allowed per hundred words of the item.
 EDIT_PERCENT = 20
-#: Items with fewer words are no passages and are not searched for.
+#: Items with fewer words do not walk.
 LEAST_WORDS = 8
+#: Words of a piece that are looked up; the rest of a longer one is left to the edit distance.
+PIECE_WORDS = 8
+#: Words of regions whose edit distances are found together.
+TOGETHER = 1 << 18
 #: Items held against all documents in one pass.
 BLOCK = 2_000
 SIZES = (8, 16, 32)
@@ -102,113 +110,207 @@ class Walks:
         return mix(key)
 
 
+#: First and last characters of scripts written without blanks: Thai, Lao, Tibetan, Burmese, Khmer,
+#: Tai and Yi, kana, bopomofo and Han.
+_UNSPACED = [
+    (0xE00, 0xFFF), (0x1000, 0x109F), (0x1780, 0x17FF), (0x1950, 0x19DF), (0x1A20, 0x1AAF), (0x2E80, 0x2FDF),
+    (0x3005, 0x3007), (0x3021, 0x3029), (0x3031, 0x303B), (0x3040, 0x312F), (0x31A0, 0x31BF), (0x31F0, 0x31FF),
+    (0x3400, 0x4DBF), (0x4E00, 0xA4CF), (0xA9E0, 0xA9FF), (0xAA60, 0xAADF), (0xF900, 0xFAFF), (0xFF66, 0xFF9F),
+    (0x20000, 0x3FFFF),
+]
+#: Blanks and marks of the same scripts, which separate as those of ASCII do.
+_MARKS = [
+    (0xE2F, 0xE2F), (0xE5A, 0xE5B), (0xF08, 0xF14), (0x104A, 0x104F), (0x17D4, 0x17DA), (0x3000, 0x3004),
+    (0x3008, 0x3020), (0x302A, 0x3030), (0x303C, 0x303F), (0x30FB, 0x30FB), (0xFF00, 0xFF0F), (0xFF1A, 0xFF20),
+    (0xFF3B, 0xFF40), (0xFF5B, 0xFF65),
+]
+
+
+def _within(code: np.ndarray, ranges: list[tuple[int, int]]) -> np.ndarray:
+    edges = np.array(ranges).ravel() + np.tile([0, 1], len(ranges))
+    return np.searchsorted(edges, code, "right") % 2 == 1
+
+
+def _all_words(data: np.ndarray, at: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """`words` with letters, in which each character of a script without blanks is a word."""
+    starts, ends, first = words(data, at, letters=True)
+    lead = np.flatnonzero(data >= 0xE0)
+    if not len(lead):
+        return starts, ends, first
+    size = np.where(data[lead] >= 0xF0, 4, 3)
+    code = data[lead].astype(np.int64) & np.where(size == 4, 7, 15)
+    for k in range(1, 4):
+        more = data[np.minimum(lead + k, len(data) - 1)] & 63
+        code = np.where(k < size, code << 6 | more, code)
+    mark = _within(code, _MARKS)
+    cut = mark | _within(code, _UNSPACED)
+    before, after = lead[cut], lead[cut] + size[cut]
+    begin = np.union1d(np.union1d(starts, before), np.setdiff1d(after, ends))
+    ends = np.union1d(np.union1d(ends, after), np.setdiff1d(before, starts))
+    keep = ~np.isin(begin, lead[mark])
+    begin, ends = begin[keep], ends[keep]
+    return begin, ends, np.searchsorted(begin, at)
+
+
+def _runs(hashed: np.ndarray, size: int) -> np.ndarray:
+    """A hash of each run of `size` words."""
+    power, inverse = powers(len(hashed))
+    sums = np.append(np.uint64(0), np.cumsum(hashed * power[: len(hashed)]))
+    n = max(0, len(hashed) - size + 1)
+    return mix((sums[size : size + n] - sums[:n]) * inverse[:n] + np.uint64(size))
+
+
+def _pieces(words: int, percent: int) -> list[tuple[int, int]]:
+    """First word and looked-up size of one piece more than edits are allowed."""
+    number = min(percent * words // 100 + 1, words)
+    at = [words * k // number for k in range(number + 1)]
+    return [(a, min(b - a, PIECE_WORDS)) for a, b in zip(at, at[1:], strict=False)]
+
+
 def _word_hashes(texts: pa.Array) -> Iterator[tuple[np.ndarray, np.ndarray, int]]:
     """Word hashes, row offsets among them and the first row, per slice."""
     body, at = raw(texts)
     for low, high in slices(at):
         data = body[at[low] : at[high]]
-        starts, ends, first = words(data, at[low : high + 1] - at[low], letters=True)
+        starts, ends, first = _all_words(data, at[low : high + 1] - at[low])
         hashed = Hasher(data).of(starts, ends) if len(starts) else np.zeros(0, np.uint64)
         yield hashed, first, low
 
 
 class Items:
-    """Benchmark items as words, and an index from walk keys to item and start."""
+    """Benchmark items as words, and indexes from walk keys and pieces to item and start."""
 
-    def __init__(self, rows: list[tuple[int, str | None]]):
+    def __init__(self, rows: list[tuple[int, str | None]], percent: int = EDIT_PERCENT):
         self.ids, self.words = [], []
         for hashed, first, low in _word_hashes(pa.array([t for _, t in rows], pa.large_string())):
             for k in range(len(first) - 1):
                 one = hashed[first[k] : first[k + 1]]
-                if len(one) >= LEAST_WORDS:
+                if len(one):
                     self.ids.append(rows[low + k][0])
                     self.words.append(one)
+        self.lengths = np.array([len(one) for one in self.words], np.int64)
         self.index: dict[tuple[int, int, int], tuple[np.ndarray, np.ndarray, np.ndarray]] = {}
-        found = defaultdict(list)
+        self.pieces: dict[int, tuple[np.ndarray, np.ndarray, np.ndarray]] = {}
+        found, pieces = defaultdict(list), defaultdict(list)
         for item, one in enumerate(self.words):
             n = len(one)
+            if n < LEAST_WORDS:
+                for start, size in _pieces(n, percent):
+                    pieces[size].append((int(_runs(one[start : start + size], size)[0]), item, start))
+                continue
             starts = sorted({0, *range(0, n - SIZES[0] + 1, max(2, n // 6))})
             for start in starts:
                 size = max(s for s in SIZES if s <= n - start)
                 walks = Walks(one[start:], [size])
                 for name, keys in walks.keys.items():
                     found[name].append((int(keys[0]), item, start))
-        for name, entries in found.items():
-            entries.sort()
-            key, item, start = (np.array(c) for c in zip(*entries, strict=True))
-            self.index[name] = (np.array([e[0] for e in entries], np.uint64), item, start)
+        for index, all_entries in ((self.index, found), (self.pieces, pieces)):
+            for name, entries in all_entries.items():
+                entries.sort()
+                _, item, start = (np.array(c) for c in zip(*entries, strict=True))
+                index[name] = (np.array([e[0] for e in entries], np.uint64), item, start)
         self.sizes = sorted({name[0] for name in self.index})
         self.table = np.zeros(1 << _TABLE_BITS, bool)
-        for key, _, _ in self.index.values():
+        for key, _, _ in [*self.index.values(), *self.pieces.values()]:
             self.table[key >> np.uint64(64 - _TABLE_BITS)] = True
 
-    def candidates(self, hashed: np.ndarray) -> np.ndarray:
-        """Distinct (item, where the item would begin) of all windows, as two columns."""
-        out = []
+    def candidates(self, hashed: np.ndarray, first: np.ndarray) -> np.ndarray:
+        """Distinct (item, row, where the item would begin) of all windows, as three columns."""
+        out = [np.zeros((0, 3), np.int64)]
+
+        def row_of(place):
+            return np.searchsorted(first, np.clip(place, 0, len(hashed) - 1), "right") - 1
+
         for name, keys in Walks(hashed, self.sizes).keys.items():
-            if name not in self.index:
-                continue
-            known, item, start = self.index[name]
-            window = np.flatnonzero(self.table[keys >> np.uint64(64 - _TABLE_BITS)])
-            low = np.searchsorted(known, keys[window], "left")
-            high = np.searchsorted(known, keys[window], "right")
-            hit = high > low
-            for w, a, b in zip(window[hit], low[hit], high[hit], strict=True):
-                out.append(np.column_stack([item[a:b], w - start[a:b]]))
-        return np.unique(np.concatenate(out), axis=0) if out else np.zeros((0, 2), np.int64)
+            if name in self.index:
+                _, item, begin = self._met(keys, self.index[name])
+                # A window may begin before its row; the row is the one in which the item's middle lies.
+                for row in (row_of(begin), row_of(begin + self.lengths[item] // 2)):
+                    out.append(np.column_stack([item, row, begin]))
+        for size, known in self.pieces.items():
+            window, item, begin = self._met(_runs(hashed, size), known)
+            row = row_of(window)
+            inside = window + size <= first[row + 1]
+            out.append(np.column_stack([item, row, begin])[inside])
+        return np.unique(np.concatenate(out), axis=0)
+
+    def _met(self, keys: np.ndarray, entries) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """Window, item and where the item would begin for all entries with the key of a window."""
+        known, item, start = entries
+        window = np.flatnonzero(self.table[keys >> np.uint64(64 - _TABLE_BITS)])
+        low = np.searchsorted(known, keys[window], "left")
+        number = np.searchsorted(known, keys[window], "right") - low
+        entry = np.repeat(low, number) + repeat_index(number)
+        window = np.repeat(window, number)
+        return window, item[entry], window - start[entry]
 
 
 def window_distance(item: np.ndarray, text: np.ndarray) -> tuple[int, int]:
     """The least edit distance between the item and any run of the text, and where that run ends."""
-    cost = np.zeros(len(text) + 1, np.int64)
-    step = np.arange(len(text) + 1)
+    distance, end = window_distances(item, text[None, :])
+    return int(distance[0]), int(end[0])
+
+
+def window_distances(item: np.ndarray, texts: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """`window_distance` for each row of texts of one length."""
+    cost = np.zeros((len(texts), texts.shape[1] + 1), np.int64)
+    step = np.arange(texts.shape[1] + 1)
     for k, word in enumerate(item, 1):
         new = np.empty_like(cost)
-        new[0] = k
-        new[1:] = np.minimum(cost[:-1] + (text != word), cost[1:] + 1)
-        cost = np.minimum.accumulate(new - step) + step
-    end = int(cost.argmin())
-    return int(cost[end]), end
+        new[:, 0] = k
+        new[:, 1:] = np.minimum(cost[:, :-1] + (texts != word), cost[:, 1:] + 1)
+        cost = np.minimum.accumulate(new - step, 1) + step
+    end = cost.argmin(1)
+    return cost[np.arange(len(cost)), end], end
 
 
 def _hits(items: Items, hashed: np.ndarray, first: np.ndarray, percent: int) -> dict[tuple[int, int], tuple[int, int]]:
     """(row, item) to (distance, first word of the region) of the confirmed candidates."""
     best: dict[tuple[int, int], tuple[int, int]] = {}
-    for item, begin in items.candidates(hashed).tolist():
-        one = items.words[item]
-        n, most = len(one), percent * len(items.words[item]) // 100
-        inside = min(max(begin, 0), len(hashed) - 1)
-        row = int(np.searchsorted(first, inside, "right")) - 1
-        # A window may begin before its row; the row is the one in which the item's middle lies.
-        middle = min(max(begin + n // 2, 0), len(hashed) - 1)
-        for where in {row, int(np.searchsorted(first, middle, "right")) - 1}:
-            low, high = int(first[where]), int(first[where + 1])
-            known = best.get((where, item))
-            if known is not None and known[0] == 0:
-                continue
-            if low <= begin and begin + n <= high and np.array_equal(hashed[begin : begin + n], one):
-                best[where, item] = (0, begin - low)
-                continue
-            a, b = max(low, begin - most), min(high, begin + n + most)
+    if not len(hashed):
+        return best
+    found = items.candidates(hashed, first)
+    # In order of item; each item's regions have one length.
+    edge = np.flatnonzero(np.diff(found[:, 0], prepend=-1, append=-1)) if len(found) else []
+    for k in range(len(edge) - 1):
+        item = int(found[edge[k], 0])
+        one, n = items.words[item], len(items.words[item])
+        most = percent * n // 100
+        together = max(1, TOGETHER // (n + 2 * most))
+        for at in range(edge[k], edge[k + 1], together):
+            row, begin = found[at : min(at + together, edge[k + 1]), 1:].T
+            low, high = first[row], first[row + 1]
+            place = (begin - most)[:, None] + np.arange(n + 2 * most)
+            own = (place >= low[:, None]) & (place < high[:, None])
+            # Words outside of the row are equal to none.
+            region = np.where(own, hashed[np.clip(place, 0, len(hashed) - 1)], np.uint64(0))
+            exact = (region[:, most : most + n] == one).all(1)
             # Each word of the item that is not edited stands in the region.
-            if b - a < n - most or (one[:, None] == hashed[a:b]).any(1).sum() < n - most:
-                continue
-            distance, end = window_distance(one, hashed[a:b])
-            if distance <= most and (known is None or distance < known[0]):
-                best[where, item] = (distance, max(0, a - low + end - n))
+            near = np.flatnonzero(~exact & (np.isin(region, one).sum(1) >= n - most))
+            distance = np.where(exact, 0, most + 1)
+            head = begin - low
+            if len(near):
+                distance[near], end = window_distances(one, region[near])
+                head[near] = np.maximum(0, begin[near] - most - low[near] + end - n)
+            for r, d, h in zip(row.tolist(), distance.tolist(), head.tolist(), strict=True):
+                known = best.get((r, item))
+                if d <= most and (known is None or d < known[0]):
+                    best[r, item] = (d, h)
     return best
 
 
-def item_blocks(benchmark: DataFrame, *, id_col: str = "item_id", text_col: str = "text") -> Iterator[Items]:
+def item_blocks(
+    benchmark: DataFrame, percent: int = EDIT_PERCENT, *, id_col: str = "item_id", text_col: str = "text"
+) -> Iterator[Items]:
     """The benchmark in blocks of `BLOCK` items, so that any number of items passes in bounded memory."""
     rows: list[tuple[int, str | None]] = []
     for row in benchmark.select(F.col(id_col).cast("bigint"), text_col).toLocalIterator():
         rows.append((row[0], row[1]))
         if len(rows) == BLOCK:
-            yield Items(rows)
+            yield Items(rows, percent)
             rows = []
     if rows:
-        yield Items(rows)
+        yield Items(rows, percent)
 
 
 def find_leaks(
@@ -217,16 +319,17 @@ def find_leaks(
 ) -> DataFrame:
     """doc_id, item_id, distance, first_word, n_words for each document and item it holds.
 
-    Words are runs of letters and digits, ASCII letters lower-cased. An item is held if some run
-    of the document's words is within `percent` percent of the item's words in edit distance; the
-    least distance of all candidates is given, and where that run begins. Cases: null and empty
-    texts hold nothing; items of fewer than `LEAST_WORDS` words or null text are not searched;
+    Words are runs of letters and digits, ASCII letters lower-cased, and single characters of
+    scripts without blanks. An item is held if some run of the document's words is within `percent`
+    percent of the item's words in edit distance, so an item of fewer words than allow one edit
+    only word for word; the least distance of all candidates is given, and where that run begins.
+    Cases: null and empty texts hold nothing; items of null text or without words are not held;
     repeated items and repeated documents are each reported; no items give no rows. Other columns
     are not looked at.
     """
     found = None
     given = docs.select(F.col(id_col).cast("bigint").alias("doc_id"), F.col(text_col).alias("text"))
-    for items in item_blocks(benchmark):
+    for items in item_blocks(benchmark, percent):
         shared = docs.sparkSession.sparkContext.broadcast(items)
 
         def run(batches, shared=shared):
@@ -258,7 +361,7 @@ def find_leaks(
 def without_leaks(docs: DataFrame, benchmark: DataFrame, *, percent: int = EDIT_PERCENT, text_col: str = "text") -> DataFrame:
     """The documents that hold no item, each row as it was; nothing is shuffled."""
     place = docs.columns.index(text_col)
-    for items in item_blocks(benchmark):
+    for items in item_blocks(benchmark, percent):
         shared = docs.sparkSession.sparkContext.broadcast(items)
 
         def run(batches, shared=shared):

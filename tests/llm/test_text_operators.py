@@ -1,4 +1,5 @@
 import random
+import re
 
 import numpy as np
 import public_tokenizers
@@ -96,6 +97,72 @@ def test_leaks_awkward(spark):
     assert find_leaks(documents(spark, []), benchmark).count() == 0
 
 
+def least_distance(item, text):
+    cost = [0] * (len(text) + 1)
+    for k, a in enumerate(item, 1):
+        new = [k]
+        for j, b in enumerate(text, 1):
+            new.append(min(cost[j - 1] + (a != b), cost[j] + 1, new[-1] + 1))
+        cost = new
+    return min(cost)
+
+
+def held_against_brute_force(items, docs, cut=str.split):
+    """Number of pairs held by the module and by plain Python, which have to be the same."""
+    import pyarrow as pa
+
+    index, found = Items(list(enumerate(items))), set()
+    for hashed, first, low in _word_hashes(pa.array(docs)):
+        found |= {(low + row, item, d) for (row, item), (d, _) in _hits(index, hashed, first, 20).items()}
+    wanted = set()
+    for row, doc in enumerate(docs):
+        for item, text in enumerate(items):
+            distance = least_distance(cut(text), cut(doc))
+            if distance <= len(cut(text)) // 5:
+                wanted.add((row, item, distance))
+    return found, wanted
+
+
+def copies(items, source):
+    """Each item word for word and with as many edits as are allowed, between other words."""
+    docs = []
+    for k, item in enumerate(items):
+        for edits in (0, len(item.split()) // 5):
+            words = item.split()
+            for _ in range(edits):
+                at = source.randrange(len(words))
+                words[at : at + 1] = source.choice([[], [items[k - 1].split()[0]], [words[at], items[k - 1].split()[0]]])
+            docs.append(" ".join([prose(9000 + k, 20), *words, prose(9500 + k, 20)]))
+    return docs
+
+
+def test_items_of_few_words():
+    items = [prose(k, 1 + k % 7) for k in range(70)]
+    docs = [*copies(items, random.Random(3)), "", items[6], items[6] + " " + items[5], *items[:7]]
+    found, wanted = held_against_brute_force(items, docs)
+    assert found == wanted and len(wanted) >= 140
+
+
+def test_items_without_blanks():
+    def cut(text):
+        return re.findall(r"[a-z0-9]+|[^\x00-\x7f。]", text)
+
+    source = random.Random(4)
+    for alphabet in ("天地玄黄宇宙洪荒日月盈昃辰宿列张𠀀𠀁", "กขคงจฉชซญดตถทนบปผ", "あいうえおアイウエオかきくけこ"):
+        items = ["".join(source.choices(alphabet, k=4 + k % 4)) for k in range(20)]
+        docs = ["abc" + "".join(source.choices(alphabet, k=30)) + f"{t[:2]}。{t[2:]}x1 {t}" for t in items]
+        found, wanted = held_against_brute_force(items, docs, cut)
+        assert found == wanted and len(wanted) >= 20
+
+
+def test_short_items_in_tables(spark):
+    benchmark = spark.createDataFrame([(1, "Two words"), (2, "天地玄黄"), (3, "..."), (4, None)], "item_id bigint, text string")
+    table = documents(spark, [(1, "here: two, words"), (2, "two other words"), (3, "他说天地玄黄。"), (4, "...")])
+    found = {(r["doc_id"], r["item_id"], r["first_word"], r["n_words"]) for r in find_leaks(table, benchmark).collect()}
+    assert found == {(1, 1, 1, 2), (3, 2, 2, 4)}
+    assert {r["doc_id"] for r in without_leaks(table, benchmark).collect()} == {2, 4}
+
+
 def test_fingerprints(spark):
     rows = [*awkward(), *[(100 + k, prose(k, 80)) for k in range(20)], (200, prose(3, 80))]
     found = edit_fingerprints.fingerprints(documents(spark, rows)).collect()
