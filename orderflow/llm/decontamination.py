@@ -11,9 +11,10 @@ the distinct places are moved on.
 Items also walk from later words, so that edits near their start do not hide them. Windows come in
 sizes of 8, 16 and 32 words; an item uses the largest that fits from each start.
 
-Items too short to walk are cut into one piece more than edits are allowed. Edits leave one piece as
-it was, so a document holds such an item only where it holds one of the pieces word for word, and
-all places where it does are candidates. Characters of scripts without blanks are words.
+Walks find an item with some probability, which is low for short ones. So each item is also cut into
+one piece more than edits are allowed. Edits leave one piece as it was, so a document holds an item
+only where it holds one of its pieces word for word, and all places where it does are candidates
+too: nothing within the allowed distance is lost. Characters of scripts without blanks are words.
 """
 
 from __future__ import annotations
@@ -194,9 +195,9 @@ class Items:
         found, pieces = defaultdict(list), defaultdict(list)
         for item, one in enumerate(self.words):
             n = len(one)
+            for start, size in _pieces(n, percent):
+                pieces[size].append((int(_runs(one[start : start + size], size)[0]), item, start))
             if n < LEAST_WORDS:
-                for start, size in _pieces(n, percent):
-                    pieces[size].append((int(_runs(one[start : start + size], size)[0]), item, start))
                 continue
             starts = sorted({0, *range(0, n - SIZES[0] + 1, max(2, n // 6))})
             for start in starts:

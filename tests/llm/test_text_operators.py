@@ -155,6 +155,14 @@ def test_items_without_blanks():
         assert found == wanted and len(wanted) >= 20
 
 
+def test_items_of_every_length():
+    lengths = [*range(8, 16), 20, 25, 30, 45, 60]
+    items = [prose(100 * n + k, n) for n in lengths for k in range(6)]
+    found, wanted = held_against_brute_force(items, copies(items, random.Random(8)))
+    assert found == wanted
+    assert {item for _, item, d in wanted if d == 0} == set(range(len(items)))
+
+
 def test_short_items_in_tables(spark):
     benchmark = spark.createDataFrame([(1, "Two words"), (2, "天地玄黄"), (3, "..."), (4, None)], "item_id bigint, text string")
     table = documents(spark, [(1, "here: two, words"), (2, "two other words"), (3, "他说天地玄黄。"), (4, "...")])
