@@ -17,7 +17,7 @@ from collections.abc import Iterator
 import numpy as np
 import pyarrow as pa
 from pyspark.ml.feature import Bucketizer
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from .bytetext import mix, odd_numbers
@@ -261,6 +261,62 @@ def edit_distance_within(one: str, other: str, most: int) -> bool:
     return bool(cost[end] <= most)
 
 
+def _chunk_size(chars: int, percent: int) -> int:
+    """The largest size of chunks, up to five characters, that makes more of them than edits are allowed."""
+    return min(5, chars // (percent * chars // 100 + 1))
+
+
+def _chunks_and_runs(texts: DataFrame, percent: int) -> tuple[DataFrame, DataFrame]:
+    """(item, id, place) of the chunks each text is cut into and of all its runs of such sizes."""
+    sizes = sorted({_chunk_size(n, percent) for n in range(1, 2_000) if percent * n >= 100})
+    times = odd_numbers(5, 32)
+
+    def items(chunked: bool):
+        def run(batches):
+            for batch in batches:
+                for _, part in _parts(batch, 1, 200):
+                    out = []
+                    for one, text in zip(part.column(0).to_pylist(), part.column(1).to_pylist(), strict=True):
+                        chars = mix(np.frombuffer(text.encode("utf-32-le", "surrogatepass"), "<u4").astype(np.uint64) + np.uint64(3))
+                        own = _chunk_size(len(chars), percent) if percent * len(chars) >= 100 else None
+                        for size in [own] * (own is not None) if chunked else sizes:
+                            n = max(0, len(chars) - size + 1)
+                            runs = sum((chars[k : k + n] * times[k] for k in range(size)), np.full(n, size, np.uint64))
+                            place = np.arange(0, n, size if chunked else 1)
+                            out.append((mix(runs[place]).view(np.int64), np.full(len(place), one), place))
+                    columns = zip(*out, strict=True) if out else ([np.zeros(0, np.int64)],) * 3
+                    yield pa.RecordBatch.from_arrays(
+                        [pa.array(np.concatenate(c).astype(np.int64)) for c in columns], names=["item", "id", "place"]
+                    )
+
+        return map_batches(texts.select("id", "text"), run, "item bigint, id bigint, place bigint")
+
+    return items(True), items(False)
+
+
+def _rest(cuts: Cuts, texts: DataFrame, open_ids: DataFrame, percent: int) -> DataFrame:
+    """Pairs (a, b) of ids (id, root) with different roots that may be within `percent` percent.
+
+    The longer text of a pair is cut into more chunks than edits are allowed. Of any as many chunks
+    as edits and one more, one stands in the shorter text as it was, shifted by no more places than
+    edits; the rarest are looked up.
+    """
+    texts = texts.join(open_ids.select("id"), "id")
+    chunks, runs = (cuts.cut(t) for t in _chunks_and_runs(texts, percent))
+    held = runs.groupBy("item").agg(F.count("*").alias("times"))
+    sized = cuts.cut(texts.select("id", F.length("text").alias("n")).join(open_ids, "id"))
+    rank = F.row_number().over(Window.partitionBy("id").orderBy("times", "item", "place"))
+    rare = chunks.join(held, "item").withColumn("rank", rank).drop("times").join(sized, "id")
+    most = F.floor(F.col("n_a") * percent / 100)
+    x = rare.select("item", "rank", *[F.col(c).alias(f"{c}_a") for c in ("id", "place", "n", "root")])
+    x = x.filter(F.col("rank") <= most + 1)
+    y = runs.join(sized, "id").select("item", *[F.col(c).alias(f"{c}_b") for c in ("id", "place", "n", "root")])
+    lengths = (F.col("n_b") <= F.col("n_a")) & (F.col("n_a") - F.col("n_b") <= most)
+    shift = F.abs(F.col("place_a") - F.col("place_b")) <= most
+    found = x.join(y, "item").filter((F.col("root_a") != F.col("root_b")) & lengths & shift)
+    return found.select(F.least("id_a", "id_b").alias("a"), F.greatest("id_a", "id_b").alias("b")).distinct()
+
+
 def edit_groups(
     docs: DataFrame, *, percent: int = 10, bands: int = 24, sampled: int = 4,
     id_col: str = "doc_id", text_col: str = "text",
@@ -269,9 +325,11 @@ def edit_groups(
 
     Equal texts are one. Fingerprints are banded by sampled places at their own level and the next,
     each text is held against the smallest document in its band, and the edit distance of the
-    whole texts decides; component_id is the smallest doc_id reachable. The bands find a pair only
-    with some probability, which falls as the edits grow; links between two later members of a
-    band are found only through other bands. Null and empty texts are linked with nothing.
+    whole texts decides; component_id is the smallest doc_id reachable. Bands that then still hold
+    several components are settled by an exact join of their members, and so are all texts that may
+    be too short for some band. The bands find a pair of longer texts only with some probability,
+    which falls as the edits grow; no link within a band is lost. `percent` is less than 100. Null
+    and empty texts are linked with nothing.
     """
     cuts = Cuts(docs.sparkSession)
     marked = fingerprints(docs, id_col=id_col, text_col=text_col)
@@ -302,11 +360,13 @@ def edit_groups(
     heads = filed.groupBy("key").agg(F.min("id").alias("first"), F.count("*").alias("n")).filter("n > 1")
     pairs = filed.join(heads, "key").filter("id != first").select(F.col("first").alias("a"), F.col("id").alias("b"))
     pairs = cuts.cut(pairs.distinct())
-    ids = cuts.cut(pairs.select(F.col("a").alias("id")).union(pairs.select("b")).distinct())
+    # Texts with fewer steps than the last place of a band, and those that may be near to one.
+    few = KEPT // 4 * 100 // (100 - percent) + 1
+    short = signed.filter(F.col("n_chars") <= few).select(F.col("doc_id").alias("id")).join(reps.select("id"), "id")
+    short = cuts.cut(short.distinct())
+    ids = cuts.cut(pairs.select(F.col("a").alias("id")).union(pairs.select("b")).union(short).distinct())
     texts = docs.select(F.col(id_col).cast("bigint").alias("id"), F.col(text_col).alias("text")).join(by_size(ids), "id")
     texts = cuts.cut(texts.groupBy("id").agg(F.min("text").alias("text")))
-    for side in ("a", "b"):
-        pairs = pairs.join(texts.select(F.col("id").alias(side), F.col("text").alias(f"text_{side}")), side)
 
     def verify(batches):
         for batch in batches:
@@ -316,8 +376,23 @@ def edit_groups(
             ]
             yield batch.select([0, 1]).filter(pa.array(keep, pa.bool_()))
 
-    links = map_batches(pairs.select("a", "b", "text_a", "text_b"), verify, "a bigint, b bigint")
-    roots = components(cuts, cuts.cut(links))
+    def confirmed(pairs):
+        for side in ("a", "b"):
+            pairs = pairs.join(texts.select(F.col("id").alias(side), F.col("text").alias(f"text_{side}")), side)
+        return cuts.cut(map_batches(pairs.select("a", "b", "text_a", "text_b"), verify, "a bigint, b bigint"))
+
+    links = confirmed(pairs)
+    roots = components(cuts, links)
+    # The first of a band has been held against all others, so only those are left.
+    placed = filed.join(heads, "key").filter("id != first").join(roots, "id", "left")
+    placed = placed.select("key", "id", F.coalesce("root", "id").alias("root"))
+    spread = placed.groupBy("key").agg(F.min("root").alias("low"), F.max("root").alias("high"))
+    mixed = placed.join(spread.filter("low != high").select("key"), "key").select("id", "root")
+    apart = short.join(roots, "id", "left").select("id", F.coalesce("root", "id").alias("root"))
+    open_ids = cuts.cut(mixed.union(apart).distinct())
+    late = confirmed(cuts.cut(_rest(cuts, texts, open_ids, percent)))
+    if not cuts.empty(late):
+        roots = components(cuts, links.union(late))
     named = reps.select("node", "id").join(roots, "id", "left").select("node", F.coalesce("root", "id").alias("component_id"))
     found = signed.select("doc_id", "node").join(named, "node", "left")
     alone = marked.filter("n_chars = 0").select("doc_id", F.col("doc_id").alias("component_id"))

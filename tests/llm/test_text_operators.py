@@ -216,6 +216,36 @@ def test_edit_groups(spark):
     assert not edit_fingerprints.edit_distance_within("kitten", "sitting", 2)
 
 
+def test_edit_groups_against_brute_force(spark):
+    source, start = random.Random(6), prose(1, 80)[:300]
+
+    def edited(text, edits):
+        chars = list(text)
+        for _ in range(edits):
+            at = source.randrange(len(chars))
+            chars[at : at + 1] = source.choice(["", "x", chars[at] + "y"])
+        return "".join(chars)
+
+    # Below one long beginning: a smallest text far from all others, and near copies among those.
+    texts = [start + prose(2, 80)[:200]]
+    for k in range(8):
+        own = start + prose(10 + k, 80)[:200]
+        texts += [own, start + edited(own[300:], 14), start + edited(own[300:], 14)]
+    for k in range(40):  # short texts, some with an edit
+        text = prose(100 + k, 20)[: 5 + k]
+        texts += [text, edited(text, len(text) // 10)]
+    rows = list(enumerate(texts))
+    found = edit_fingerprints.edit_groups(documents(spark, rows), percent=10)
+    root = {k: k for k, t in rows}
+    for a, x in rows:
+        for b, y in rows[:a]:
+            if edit_fingerprints.edit_distance_within(x, y, max(len(x), len(y)) // 10):
+                low, high = sorted((root[a], root[b]))
+                root = {k: low if r == high else r for k, r in root.items()}
+    assert {r["doc_id"]: r["component_id"] for r in found.collect()} == root
+    assert len(set(root.values())) < len(rows) - 30
+
+
 PAGE = """<html><head><title>T</title><script>var a="</p>";</script></head><body>
 <header><h1>Site</h1></header><nav><a href=/>Home, sweet, home</a></nav>
 <div class="cookie-notice"><p>We use cookies, as, you, know.</p></div>
