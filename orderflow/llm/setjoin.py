@@ -2,14 +2,17 @@
 
 `reps` holds one row per distinct set: id, n (its size) and sig (16 bits for each of its minimum
 hashes). The caller says under which keys a signature is filed, in how many places two linked
-signatures may differ, how the texts of ids are fetched, and how texts become sets. Texts and not
+signatures may differ if that is limited, how the texts of ids are fetched, and how texts become sets. Texts and not
 sets travel through the shuffles, since they are smaller and compress.
 
 Pairs inside a key are not all written out. First every set is held against the first one under
 its key only, and what the exact check confirms is joined into components; groups of copies end
 here. Keys that still hold several components are settled by an exact join of their members
 alone: a set is filed under the rarest of its items, as many as a partner must share one of, and a
-pair is taken up only if the places of the shared item still allow the wanted overlap.
+pair is taken up only if the places of the shared item still allow the wanted overlap. Without a
+limit of places, pairs are held against parities before: a bit for each of `PARITIES` parts of the
+items says whether a set has an odd number there. Each bit in which two sets differ stands for an
+item that only one of them has, so no pair that reaches the share is lost.
 """
 
 from __future__ import annotations
@@ -29,6 +32,9 @@ from .workers import map_batches
 #: Sets whose items are counted to tell rare from frequent ones; only speed hangs on it.
 COUNTED = 20_000
 COUNTER_BITS = 20
+#: 64 bits of a column for each 64.
+PARITIES = 256
+_PARITY = [f"parity{k}" for k in range(PARITIES // 64)]
 _EVERY_OTHER = 0x5555555555555555
 
 
@@ -44,7 +50,7 @@ class SetJoin:
     reps: DataFrame
     keys: Column
     places: int
-    may_differ: int
+    may_differ: int | None
     percent: int
     fetch: Callable[[DataFrame], DataFrame]  # (id) -> (id, body)
     sets_of: Callable[[pa.Array], list[np.ndarray]]  # texts -> sorted distinct hashed items
@@ -84,19 +90,24 @@ class SetJoin:
         spread = placed.groupBy("key").agg(F.min("root").alias("low"), F.max("root").alias("high"))
         mixed = spread.filter("low != high").select("key")
         open_ids = placed.join(mixed, "key").select("id", "root").distinct()
-        open_ids = cuts.cut(self._sketched(open_ids))
+        marks = _PARITY if self.may_differ is None else ["sketch"]
+        open_ids = cuts.cut(open_ids if self.may_differ is None else self._sketched(open_ids))
         cuts.drop(met)
         texts = self._texts(open_ids.select("id"))
         rare = cuts.cut(self._rare_first(texts).join(open_ids, "id"))
         spread = rare.groupBy("item").agg(F.min("root").alias("low"), F.max("root").alias("high"))
         rare = rare.join(spread.filter("low != high").select("item"), "item")
-        x = rare.select("item", *[F.col(c).alias(f"{c}_a") for c in ("id", "n", "place", "root", "sketch")])
-        y = rare.select("item", *[F.col(c).alias(f"{c}_b") for c in ("id", "n", "place", "root", "sketch")])
+        x = rare.select("item", *[F.col(c).alias(f"{c}_a") for c in ("id", "n", "place", "root", *marks)])
+        y = rare.select("item", *[F.col(c).alias(f"{c}_b") for c in ("id", "n", "place", "root", *marks)])
         most = F.least(F.col("n_a") - F.col("place_a"), F.col("n_b") - F.col("place_b"))
         reach = 100 * most >= self.percent * (F.col("n_a") + F.col("n_b") - most)
-        differ = F.col("sketch_a").bitwiseXOR(F.col("sketch_b"))
-        differ = differ.bitwiseOR(F.shiftrightunsigned(differ, 1)).bitwiseAND(F.lit(_EVERY_OTHER))
-        near = F.bit_count(differ) <= self.may_differ
+        differ = [F.col(f"{c}_a").bitwiseXOR(F.col(f"{c}_b")) for c in marks]
+        if self.may_differ is None:
+            apart = sum(F.bit_count(d) for d in differ)
+            near = (100 + self.percent) * apart <= (100 - self.percent) * (F.col("n_a") + F.col("n_b"))
+        else:
+            places = differ[0].bitwiseOR(F.shiftrightunsigned(differ[0], 1)).bitwiseAND(F.lit(_EVERY_OTHER))
+            near = F.bit_count(places) <= self.may_differ
         found = x.join(y, "item").filter((F.col("root_a") < F.col("root_b")) & reach & near)
         pairs = found.select(F.col("id_a").alias("a"), F.col("id_b").alias("b")).distinct()
         late = cuts.cut(self._confirmed(cuts.cut(self._close(pairs)), texts))
@@ -126,7 +137,9 @@ class SetJoin:
         return map_batches(signed, run, "id bigint, root bigint, sketch bigint")
 
     def _close(self, pairs: DataFrame) -> DataFrame:
-        """The pairs (a, b) whose sizes and signatures allow a link."""
+        """The pairs (a, b) whose sizes and signatures allow a link; all without a limit of places."""
+        if self.may_differ is None:
+            return pairs
         for side in ("a", "b"):
             own = [F.col(c).alias(f"{c}_{side}") for c in ("n", "sig")]
             pairs = pairs.join(self.reps.select(F.col("id").alias(side), *own), side)
@@ -167,7 +180,10 @@ class SetJoin:
         )
 
     def _rare_first(self, texts: DataFrame) -> DataFrame:
-        """(item, id, n, place): each set's rarest items, as many as a partner must share one of."""
+        """(item, id, n, place): each set's rarest items, as many as a partner must share one of.
+
+        Without a limit of places the parities of the set stand beside.
+        """
         rows = max(1, texts.count())
         sets_of, percent = self.sets_of, self.percent
         draw = F.pmod(F.xxhash64("id"), F.lit(1 << 20))
@@ -190,6 +206,8 @@ class SetJoin:
         counters[counted["cell"].to_numpy()] = np.minimum(counted["count"].to_numpy(), 1 << 30)
         shared = texts.sparkSession.sparkContext.broadcast(counters)
 
+        marks = _PARITY if self.may_differ is None else []
+
         def pick(batches):
             frequency = shared.value
             for batch in batches:
@@ -199,13 +217,16 @@ class SetJoin:
                     keep = n - (percent * n + 99) // 100 + 1
                     cells = (items >> np.uint64(64 - COUNTER_BITS)).astype(np.int64)
                     order = np.lexsort((items, frequency[cells]))[:keep]
-                    out.append(
-                        (items[order].view(np.int64), np.full(keep, one), np.full(keep, n), np.arange(keep))
-                    )
+                    row = [items[order].view(np.int64), np.full(keep, one), np.full(keep, n), np.arange(keep)]
+                    if marks:
+                        parts = np.bincount((items % np.uint64(PARITIES)).astype(np.int64), minlength=PARITIES)
+                        row += [np.full(keep, bits) for bits in np.packbits(parts % 2 == 1).view(np.int64)]
+                    out.append(row)
                 if out:
                     yield pa.RecordBatch.from_arrays(
                         [pa.array(np.concatenate(c).astype(np.int64)) for c in zip(*out, strict=True)],
-                        names=["item", "id", "n", "place"],
+                        names=["item", "id", "n", "place", *marks],
                     )
 
-        return map_batches(texts.select("id", "body"), pick, "item bigint, id bigint, n bigint, place bigint")
+        schema = ", ".join(f"{c} bigint" for c in ("item", "id", "n", "place", *marks))
+        return map_batches(texts.select("id", "body"), pick, schema)

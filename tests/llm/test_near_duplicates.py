@@ -89,6 +89,25 @@ def test_lines_against_brute_force(spark):
     assert all(got[k] >= wanted[k] for k in sets_apart)
 
 
+def test_short_lines_of_one_band_are_not_lost(spark):
+    """Pairs of 4 to 12 shingles at 0.8 or above that meet in a band, all of which have to be linked."""
+    import numpy as np
+    import pyarrow as pa
+
+    from orderflow.llm import line_dedup
+
+    source, lines = random.Random(9), []
+    while len(lines) < 1200:
+        line = "".join(source.choices("abcdefghijklmnopqrstuvwxyz0123456789", k=source.randint(11, 19)))
+        lines += [line, line + source.choice("!?")]
+    sigs = np.concatenate([line_dedup._signatures(x) for x, _, _ in line_dedup._lines(pa.array(lines), 8)])
+    bands = (sigs[::2] == sigs[1::2]).reshape(-1, 8, 4).all(2).any(1)
+    sets = line_brute(list(enumerate(lines)))
+    meant = [k for k in range(0, len(lines), 2) if bands[k // 2] and sets[k + 1, 0] == (k, 0)]
+    found = {r["doc_id"]: r["first_doc_id"] for r in near_lines(documents(spark, list(enumerate(lines)))).collect()}
+    assert len(meant) > 400 and all(found[k + 1] == k for k in meant)
+
+
 def test_lines_awkward(spark):
     docs = documents(spark, [*awkward(), (7, "a\nnew line here\n"), (8, "\n a \n")])
     found = near_lines(docs)
