@@ -108,6 +108,21 @@ def test_short_lines_of_one_band_are_not_lost(spark):
     assert len(meant) > 400 and all(found[k + 1] == k for k in meant)
 
 
+def test_lines_with_one_edit_by_length(spark):
+    """Edit distance 1 in the middle is tolerated from 79 characters on, with width 4 from 39 on."""
+    source, lines = random.Random(11), []
+    for size in [20, 38, 39, 60, 78, 79, 80] * 12:
+        line = "".join(source.choices("abcdefghijklmnopqrstuvwxyz", k=size))
+        lines += [line, line[: size // 2] + "#" + line[size // 2 + 1 :]]
+    docs = documents(spark, list(enumerate(lines)))
+    for width, least in ((8, 79), (4, 39)):
+        found = {r["doc_id"]: r["first_doc_id"] for r in near_lines(docs, width=width).collect()}
+        linked = {k: found[k + 1] == k for k in range(0, len(lines), 2)}
+        assert not any(linked[k] for k in linked if len(lines[k]) < least)
+        able = [linked[k] for k in linked if len(lines[k]) >= least]
+        assert sum(able) >= 0.85 * len(able)
+
+
 def test_lines_awkward(spark):
     docs = documents(spark, [*awkward(), (7, "a\nnew line here\n"), (8, "\n a \n")])
     found = near_lines(docs)
