@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import gc
 import uuid
 
 from pyspark.sql import DataFrame, SparkSession
@@ -53,3 +54,12 @@ def by_size(small: DataFrame, rows: int = BROADCAST_ROWS) -> DataFrame:
     `small` must be a written table, so that counting it costs only its footers.
     """
     return F.broadcast(small) if small.count() <= rows else small
+
+
+def release(spark: SparkSession) -> None:
+    """Let the driver collect its garbage, upon which Spark deletes the shuffle files of finished steps.
+
+    Without it they stay until the driver's heap happens to fill, beside those of later steps.
+    """
+    gc.collect()
+    spark.sparkContext._jvm.System.gc()

@@ -16,6 +16,7 @@ from .decontamination import find_leaks
 from .html_extraction import extract
 from .line_dedup import near_lines
 from .minhash_dedup import near_duplicates
+from .substring_dedup import without_passages
 from .token_rollups import Rollup
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -181,3 +182,35 @@ def op4_html_extraction(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op5_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every line of every document with the line that stands for it."""
     return near_lines(_table(spark, sf_dir, "documents"))
+
+
+@_query
+def op11_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every document without passages of 13 words that start in an earlier one."""
+    found = without_passages(_table(spark, sf_dir, "documents"), width=13)
+    return found.select("doc_id", "n_words", "n_removed", F.sha2(F.encode("kept", "utf-8"), 256).alias("kept_sha256"))
+
+
+ORACLE_SQL["op11_substring_dedup"] = r"""
+with split as (
+  select row_number() over () as r, doc_id,
+    coalesce(regexp_extract_all(text, '[^\x20\x09-\x0D]+'), []) as ws
+  from documents
+), windows as (
+  select r, doc_id, k, array_to_string(ws[k:k + 12], ' ') as w
+  from (select r, doc_id, ws, unnest(range(1, len(ws) - 11)) as k from split where len(ws) >= 13)
+), firsts as (
+  select w, min(doc_id) as first from windows group by w
+), gone as (
+  select distinct r, k + unnest(range(0, 13)) as p
+  from windows join firsts using (w) where first < doc_id
+), placed as (
+  select r, unnest(ws) as word, unnest(range(1, len(ws) + 1)) as p from split
+), kept as (
+  select r, string_agg(word, ' ' order by p) as text, count(*) as n
+  from placed anti join gone using (r, p) group by r
+)
+select doc_id, cast(len(ws) as bigint) as n_words, cast(len(ws) - coalesce(n, 0) as bigint) as n_removed,
+  sha256(coalesce(text, '')) as kept_sha256
+from split left join kept using (r)
+"""
