@@ -14,6 +14,7 @@ from ..session import checkpoint_root
 from . import bpe, edit_fingerprints, language_id, reply_trees, toxicity
 from .decontamination import find_leaks
 from .html_extraction import extract
+from .lexical_search import search
 from .line_dedup import near_lines
 from .minhash_dedup import near_duplicates
 from .substring_dedup import without_passages
@@ -214,3 +215,41 @@ select doc_id, cast(len(ws) as bigint) as n_words, cast(len(ws) - coalesce(n, 0)
   sha256(coalesce(text, '')) as kept_sha256
 from split left join kept using (r)
 """
+
+
+@_query
+def op12_lexical_search(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The ten best documents of every benchmark item."""
+    return search(_table(spark, sf_dir, "documents"), _table(spark, sf_dir, "benchmark"), k=10)
+
+
+ORACLE_SQL["op12_lexical_search"] = r"""
+with words as (
+  select doc_id, unnest(regexp_extract_all(translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+    '[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+')) as term
+  from documents
+), lengths as (
+  select doc_id, count(*) as n from words group by doc_id
+), totals as (
+  select count(*) as nn, cast(sum(n) as bigint) as ll from lengths
+), asked as (
+  select item_id, term, count(*) as times from (
+    select item_id, unnest(regexp_extract_all(translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+      '[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+')) as term
+    from benchmark) group by item_id, term
+), counted as (
+  select doc_id, term, count(*) as tf from words where term in (select term from asked) group by doc_id, term
+), weights as (
+  select term, cast(floor(1000 * ln(cast(2 * any_value(nn) + 2 as double) / (2 * count(*) + 1))) as bigint) as w
+  from counted cross join totals group by term
+), parts as (
+  select doc_id, term, w * ((1000000000 * tf) // (1000 * tf + 8 * (25 + (75 * n * nn) // ll))) as part
+  from counted join lengths using (doc_id) join weights using (term) cross join totals
+), scores as (
+  select item_id, doc_id, cast(sum(times * part) as bigint) as score
+  from asked join parts using (term) group by item_id, doc_id
+)
+select item_id, cast(row_number() over (partition by item_id order by score desc, doc_id) as int) as rank, doc_id, score
+from scores where score > 0
+qualify row_number() over (partition by item_id order by score desc, doc_id) <= 10
+"""
