@@ -13,6 +13,7 @@ import public_tokenizers
 from ..session import checkpoint_root
 from . import bpe, edit_fingerprints, language_id, reply_trees, toxicity
 from .decontamination import find_leaks
+from .hard_negatives import mine
 from .html_extraction import extract
 from .lexical_search import search
 from .line_dedup import near_lines
@@ -253,3 +254,35 @@ select item_id, cast(row_number() over (partition by item_id order by score desc
 from scores where score > 0
 qualify row_number() over (partition by item_id order by score desc, doc_id) <= 10
 """
+
+
+@_query
+def op13_hard_negatives(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Ten hard negatives for each positive of every hundredth vector; some labels are moved first."""
+    rows = _table(spark, sf_dir, "embeddings")
+    moved = F.when(F.col("vec_id") % 7 == 0, (F.col("label") + 1) % 10).otherwise(F.col("label"))
+    return mine(rows.withColumn("label", moved), every=100, positives=5, negatives=10, low=30, high=90)
+
+
+ORACLE_SQL["op13_hard_negatives"] = r"""
+with sound as (
+  select vec_id as id, case when vec_id % 7 = 0 then (label + 1) % 10 else label end as label,
+    list_transform(embedding, lambda x: cast(floor(256 * cast(x as double)) as bigint)) as v
+  from embeddings
+  where label is not null and embedding is not null
+    and len(list_filter(embedding, lambda x: x is null or isnan(x) or isinf(x))) = 0
+), scores as (
+  select a.id as anchor_id, a.label = b.label as same, b.id,
+    cast(list_sum(list_transform(list_zip(a.v, b.v), lambda z: z[1] * z[2])) as bigint) as score
+  from sound a join sound b on a.id <> b.id where a.id % 100 = 0
+), positives as (
+  select * from scores where same
+  qualify row_number() over (partition by anchor_id order by score desc, id) <= 5
+), ranked as (
+  select p.anchor_id, p.id as positive_id, n.id as negative_id, p.score as positive_score, n.score as negative_score,
+    cast(row_number() over (partition by p.anchor_id, p.id order by n.score desc, n.id) as int) as rank
+  from positives p join scores n using (anchor_id)
+  where not n.same and 30 * p.score <= 100 * n.score and 100 * n.score <= 90 * p.score
+)
+select anchor_id, positive_id, rank, negative_id, positive_score, negative_score from ranked where rank <= 10
+"""
