@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import gc
+import time
 import uuid
 
 from pyspark.sql import DataFrame, SparkSession
@@ -59,7 +60,10 @@ def by_size(small: DataFrame, rows: int = BROADCAST_ROWS) -> DataFrame:
 def release(spark: SparkSession) -> None:
     """Let the driver collect its garbage, upon which Spark deletes the shuffle files of finished steps.
 
-    Without it they stay until the driver's heap happens to fill, beside those of later steps.
+    Without it they stay until the driver's heap happens to fill, beside those of later steps. What
+    the first round lets go holds references that only the second one clears.
     """
-    gc.collect()
-    spark.sparkContext._jvm.System.gc()
+    for _ in range(2):
+        gc.collect()
+        spark.sparkContext._jvm.System.gc()
+        time.sleep(0.5)
