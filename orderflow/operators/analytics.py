@@ -199,7 +199,7 @@ def session_summary(
 
 
 def running_tpm(
-    result: DataFrame, recent: int = RECENT_SECONDS, width: int = 3600
+    result: DataFrame, recent: int = RECENT_SECONDS, rows: int | None = None
 ) -> DataFrame:
     """For each second with transactions: throughput so far and over the last seconds."""
     per_second = (
@@ -215,7 +215,7 @@ def running_tpm(
         ["run"],
         "second",
         sums={"all_n": F.col("n"), "all_c": F.col("c")},
-        width=width,
+        rows=rows,
     )
     with_recent = trailing(
         so_far,
@@ -223,7 +223,7 @@ def running_tpm(
         "second",
         recent,
         {"recent_n": F.sum("n"), "recent_c": F.sum("c")},
-        width=width,
+        rows=rows,
     )
     ms = "((second + 1) * 1000)"
     return with_recent.select(
@@ -285,10 +285,6 @@ NET = {
 }
 
 
-#: Milliseconds of samples that are put in order together: about 19 hours.
-SAMPLE_CHUNK = 1 << 26
-
-
 def _means(log: DataFrame, run_info: DataFrame, cols: list[str], per: list[str]) -> DataFrame:
     return (
         bucketed(log, run_info)
@@ -330,7 +326,7 @@ def net_kbps(net: DataFrame, run_info: DataFrame) -> DataFrame:
     return _means(net, run_info, ["rxkbps", "txkbps"], ["device"])
 
 
-def cpu_fractions(raw: DataFrame, mode: str = "since_start", width: int = SAMPLE_CHUNK) -> DataFrame:
+def cpu_fractions(raw: DataFrame, mode: str = "since_start", rows: int | None = None) -> DataFrame:
     """Counters to shares of all processor time; the run's first sample is only the baseline.
 
     `since_start` compares each sample with the first, `interval` with the one before. Where no
@@ -346,7 +342,7 @@ def cpu_fractions(raw: DataFrame, mode: str = "since_start", width: int = SAMPLE
             .select(*raw.columns, *[F.col(f"__first.{c}").alias(f"prev_{c}") for c in CPU])
         )
     elif mode == "interval":
-        based = previous(raw, ["run"], "elapsed", CPU, width=width).filter(
+        based = previous(raw, ["run"], "elapsed", CPU, rows=rows).filter(
             F.col(f"prev_{CPU[0]}").isNotNull()
         )
     else:
@@ -360,9 +356,9 @@ def cpu_fractions(raw: DataFrame, mode: str = "since_start", width: int = SAMPLE
     return based.select("run", "elapsed", *share, *rest)
 
 
-def _rates(raw: DataFrame, spec: dict, interval: float, width: int) -> DataFrame:
+def _rates(raw: DataFrame, spec: dict, interval: float, rows: int | None) -> DataFrame:
     counters = [c for c, _ in spec.values()]
-    based = previous(raw, ["run", "device"], "elapsed", counters, width=width).filter(
+    based = previous(raw, ["run", "device"], "elapsed", counters, rows=rows).filter(
         F.col(f"prev_{counters[0]}").isNotNull()
     )
     return based.select(
@@ -376,11 +372,11 @@ def _rates(raw: DataFrame, spec: dict, interval: float, width: int) -> DataFrame
     )
 
 
-def blk_rates(raw: DataFrame, interval: float = 1.0, width: int = SAMPLE_CHUNK) -> DataFrame:
+def blk_rates(raw: DataFrame, interval: float = 1.0, rows: int | None = None) -> DataFrame:
     """Block device counters to operations, merges and KB per second."""
-    return _rates(raw, BLOCK, interval, width)
+    return _rates(raw, BLOCK, interval, rows)
 
 
-def net_rates(raw: DataFrame, interval: float = 1.0, width: int = SAMPLE_CHUNK) -> DataFrame:
+def net_rates(raw: DataFrame, interval: float = 1.0, rows: int | None = None) -> DataFrame:
     """Network counters to packets and KB per second."""
-    return _rates(raw, NET, interval, width)
+    return _rates(raw, NET, interval, rows)

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ..functions.scan import CHUNK, running
+from ..functions.scan import running
 from ..session import cut_lineage
 from .errors import ROW_NOT_FOUND, message
 from .generate import DISTRICTS
@@ -18,11 +18,11 @@ QUEUED = "Delivery has been queued"
 ORDER = ["w_id", "d_id", "o_id"]
 
 
-def claim_oldest(req: DataFrame, new_order: DataFrame, width: int = CHUNK) -> DataFrame:
+def claim_oldest(req: DataFrame, new_order: DataFrame, rows: int | None = None) -> DataFrame:
     """(req_seq, w_id, d_id, o_id, o_carrier_id, nth): the k-th request of a warehouse takes the
     k-th oldest pending order in each of its districts."""
     asked = running(
-        req.select("req_seq", "w_id", "o_carrier_id"), ["w_id"], "req_seq", rank="nth", width=width
+        req.select("req_seq", "w_id", "o_carrier_id"), ["w_id"], "req_seq", rank="nth", rows=rows
     )
     pending = running(
         new_order.select(
@@ -31,7 +31,7 @@ def claim_oldest(req: DataFrame, new_order: DataFrame, width: int = CHUNK) -> Da
         ["w_id", "d_id"],
         "o_id",
         rank="nth",
-        width=width,
+        rows=rows,
     )
     return asked.join(pending, ["w_id", "nth"]).select(
         "req_seq", "w_id", "d_id", "o_id", "o_carrier_id", "nth"
@@ -165,11 +165,11 @@ def delivery(
     as_of: str,
     *,
     districts: int = DISTRICTS,
-    width: int = CHUNK,
+    rows: int | None = None,
     cut: bool = True,
 ) -> Applied:
     """Apply all deliveries. With `cut`, the claims are written once for all outputs."""
-    claims = claim_customer(claim_oldest(req, tables["new_order"], width), tables["oorder"])
+    claims = claim_customer(claim_oldest(req, tables["new_order"], rows), tables["oorder"])
     if cut:
         claims = cut_lineage(claims)
     claims, stops = split_claims(claims)
@@ -177,7 +177,7 @@ def delivery(
     if cut:
         priced = cut_lineage(priced)
     numbered = running(
-        req.select("req_seq", "w_id"), ["w_id"], "req_seq", rank="nth", width=width
+        req.select("req_seq", "w_id"), ["w_id"], "req_seq", rank="nth", rows=rows
     )
     errors = (
         numbered.join(stops, "w_id")

@@ -7,7 +7,7 @@ from dataclasses import dataclass
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from ..functions.scan import CHUNK, running, spread_join
+from ..functions.scan import running
 from ..functions.values import MARK
 from ..session import cut_lineage
 from ..sources.schemas import conform_like
@@ -20,8 +20,8 @@ MAX_ITEM = 100_000
 RESERVE = 10
 REFILL = 91
 
-#: Requests of one stock row that are folded in one go.
-FAN = 1024
+#: Steps of one stock row that are folded in one go; a list is copied once per step.
+FAN = 128
 
 
 # --- lookups -----------------------------------------------------------------------------------
@@ -225,9 +225,9 @@ def split_valid(checked: DataFrame) -> tuple[DataFrame, DataFrame, DataFrame]:
     return placed_requests(checked), rejected, failed_requests(checked)
 
 
-def allocate_order_ids(placed: DataFrame, width: int = CHUNK) -> DataFrame:
+def allocate_order_ids(placed: DataFrame, rows: int | None = None) -> DataFrame:
     """Add o_id: the n-th placed request of a district gets its next order id + n - 1."""
-    ranked = running(placed, ["w_id", "d_id"], "req_seq", rank="__nth", width=width)
+    ranked = running(placed, ["w_id", "d_id"], "req_seq", rank="__nth", rows=rows)
     kind = placed.schema["d_next_o_id"].dataType
     return ranked.withColumn(
         "o_id", (F.col("d_next_o_id") + F.col("__nth") - 1).cast(kind)
@@ -316,95 +316,116 @@ def _starts(parts: Column, part: str, start: Column, low: Column) -> Column:
     return F.aggregate(parts, zero, take, lambda a: a["out"])
 
 
-def scan_stock(steps: DataFrame, stock: DataFrame, fan: int = FAN, width: int = CHUNK) -> DataFrame:
+def scan_stock(steps: DataFrame, stock: DataFrame, fan: int = FAN, rows: int | None = None) -> DataFrame:
     """Every step with the quantity it saw and left: (s_w_id, s_i_id, req_seq, seen, after).
 
-    The rule is not a sum, so running totals do not give it. The steps of a stock row are cut into
-    lists of `fan`; a row with one list starts it from its quantity. For busier rows a list is
-    first reduced to its outcome for every quantity it could start from (a small range), outcomes
-    are chained in groups of `fan` to find where each list starts, and only then are the lists
-    walked, each on its own.
+    The rule is not a sum, but it is composed of two that are. From a large quantity a row's orders
+    are taken off until their running sum has used it up; from one under the reserve, every order
+    refills. Either way the quantity of those first steps follows from running totals alone. What is
+    left of the row then never leaves the range from the reserve to a refill on top of the largest
+    order, and only those steps are cut into lists of `fan`. A list is reduced to its outcome for
+    every quantity of that short range, outcomes are chained in groups of `fan` to find where each
+    list starts, and the lists are then walked, each on its own.
     """
     held = stock.select(*STOCK, F.col("s_quantity").alias("q0"))
-    ranked = (
-        running(
-            steps,
-            STOCK,
-            "req_seq",
-            rank="__r",
-            total="__n",
-            width=width,
+    ranked = running(steps, STOCK, "req_seq", rank="__r", sums={"__upto": F.col("qty")}, rows=rows)
+    started = ranked.join(held, STOCK)
+    refills = F.expr(f"({RESERVE + REFILL - 1} - q0) div {REFILL}")
+    rising = (F.col("q0") < RESERVE) & (F.col("__r") <= refills)
+    falling = F.col("q0") >= F.col("__upto") + RESERVE
+    started = cut_lineage(
+        started.withColumn(
+            "seen",
+            F.when(rising, F.col("q0") + (F.col("__r") - 1) * REFILL)
+            .when(falling, F.col("q0") - F.col("__upto") + F.col("qty"))
+            .cast("int"),
         )
-        .withColumn("list", F.expr(f"(__r - 1) div {fan}"))
-        .withColumn("group", F.expr(f"(__r - 1) div {fan * fan}"))
     )
-    lists = ranked.groupBy(*STOCK, "__n", "group", "list").agg(
-        F.array_sort(F.collect_list(F.struct("req_seq", "qty"))).alias("steps")
-    )
-
-    busy = lists.filter(F.col("__n") > fan)
-    # The quantity stays between the reserve (or a lower start) and a refill on top of the largest
-    # quantity that triggers one (or a higher start).
-    sizes = steps.groupBy(*STOCK).agg(F.count(F.lit(1)).alias("n"), F.max("qty").alias("most"))
-    spans = sizes.filter(F.col("n") > fan).join(held, STOCK).select(
-        *STOCK,
-        "q0",
-        F.least(F.col("q0"), F.lit(RESERVE)).alias("low"),
-        F.greatest(F.col("q0"), F.col("most") + RESERVE + REFILL - 1).alias("high"),
-    )
-    outcomes = spread_join(busy, spans, STOCK, "list").select(
+    first = started.filter(F.col("seen").isNotNull()).select(
+        *STOCK, "req_seq", "seen", stock_rule(F.col("seen"), F.col("qty")).cast("int").alias("after")
+    )
+    rest = F.col("seen").isNull()
+    # A row's last step by running totals has the largest number among them.
+    spans = started.groupBy(*STOCK).agg(
+        F.count_if(~rest).alias("__first"),
+        F.count_if(rest).alias("__n"),
+        F.max(F.when(rest, F.col("qty"))).alias("__most"),
+        F.coalesce(
+            F.max_by(F.when(~rest, stock_rule(F.col("seen"), F.col("qty"))), F.when(~rest, F.col("__r"))),
+            F.first("q0"),
+        ).cast("int").alias("q1"),
+    )
+    spans = spans.filter(F.col("__n") > 0).withColumn("high", F.col("__most") + (RESERVE + REFILL - 1))
+    place = F.col("__r") - F.col("__first") - 1
+    lists = (
+        started.filter(rest)
+        .drop("seen", "q0")
+        .join(spans, STOCK)
+        .withColumn("__at", place)
+        .withColumn("list", F.expr(f"__at div {fan}"))
+        .withColumn("group", F.expr(f"__at div {fan * fan}"))
+        # Else the gathering would take over the join's partitions, and with them a task per row.
+        .repartition(*STOCK, "list")
+        .groupBy(*STOCK, "__n", "q1", "high", "group", "list")
+        .agg(F.array_sort(F.collect_list(F.struct("req_seq", "qty"))).alias("steps"))
+    )
+    return first.unionByName(_walk_lists(lists, fan))
+
+
+def _walk_lists(lists: DataFrame, fan: int) -> DataFrame:
+    """The steps of all lists, each list started from the outcome of those before it."""
+    low = F.lit(RESERVE)
+    outcomes = lists.filter(F.col("__n") > fan).select(
         *STOCK,
-        "q0",
-        "low",
+        "q1",
         "high",
         "group",
         "list",
         F.aggregate(
             "steps",
-            F.sequence("low", "high"),
+            F.sequence(low, F.col("high")),
             lambda acc, s: F.transform(acc, lambda q: stock_rule(q, s["qty"]).cast("int")),
         ).alias("outcome"),
     )
-    groups = outcomes.groupBy(*STOCK, "q0", "low", "high", "group").agg(
+    groups = outcomes.groupBy(*STOCK, "q1", "high", "group").agg(
         F.array_sort(F.collect_list(F.struct("list", "outcome"))).alias("parts")
     )
     group_starts = (
         groups.select(
             *STOCK,
-            "q0",
-            "low",
+            "q1",
             F.struct(
                 "group",
                 F.aggregate(
                     "parts",
-                    F.sequence("low", "high"),
-                    lambda acc, s: F.transform(acc, lambda q: F.get(s["outcome"], q - F.col("low"))),
+                    F.sequence(low, F.col("high")),
+                    lambda acc, s: F.transform(acc, lambda q: F.get(s["outcome"], q - low)),
                 ).alias("outcome"),
             ).alias("whole"),
         )
-        .groupBy(*STOCK, "q0", "low")
+        .groupBy(*STOCK, "q1")
         .agg(F.array_sort(F.collect_list("whole")).alias("wholes"))
-        .select(*STOCK, F.inline(_starts(F.col("wholes"), "group", F.col("q0"), F.col("low"))))
+        .select(*STOCK, F.inline(_starts(F.col("wholes"), "group", F.col("q1"), low)))
         .withColumnRenamed("part", "group")
     )
     list_starts = (
         groups.join(group_starts, [*STOCK, "group"])
-        .select(*STOCK, F.inline(_starts(F.col("parts"), "list", F.col("start"), F.col("low"))))
+        .select(*STOCK, F.inline(_starts(F.col("parts"), "list", F.col("start"), low)))
         .withColumnRenamed("part", "list")
     )
-    started = lists.join(held, STOCK).join(list_starts, [*STOCK, "list"], "left")
+    started = lists.join(list_starts, [*STOCK, "list"], "left")
     # A row with one list starts from its quantity; a later list without a start is a fault.
     lost = F.raise_error(F.lit("a list of stock steps has no start")).cast("int")
-    start = F.when(F.col("__n") <= fan, F.col("q0")).otherwise(F.coalesce("start", lost))
+    start = F.when(F.col("__n") <= fan, F.col("q1")).otherwise(F.coalesce("start", lost))
     return started.select(*STOCK, F.inline(_walk(F.col("steps"), start)))
 
 
 def apply_stock_quantity(
-    stock: DataFrame, placed: DataFrame, fan: int = FAN, width: int = CHUNK
+    stock: DataFrame, placed: DataFrame, fan: int = FAN, rows: int | None = None
 ) -> DataFrame:
     """Stock with each row's quantity after all requests."""
     last = (
-        scan_stock(stock_steps(placed), stock, fan, width)
+        scan_stock(stock_steps(placed), stock, fan, rows)
         .groupBy(*STOCK)
         .agg(F.max_by("after", "req_seq").alias("__left"))
     )
@@ -504,10 +525,10 @@ def append_orders(
 
 
 def order_results(
-    checked: DataFrame, numbered: DataFrame, stock: DataFrame, fan: int = FAN, width: int = CHUNK
+    checked: DataFrame, numbered: DataFrame, stock: DataFrame, fan: int = FAN, rows: int | None = None
 ) -> DataFrame:
     """Per request: status, order id, total and, for placed orders, each line with what it saw."""
-    seen = scan_stock(stock_steps(numbered), stock, fan, width).select(
+    seen = scan_stock(stock_steps(numbered), stock, fan, rows).select(
         F.col("s_w_id").alias("ol_supply_w_id"),
         F.col("s_i_id").alias("ol_i_id"),
         "req_seq",
@@ -551,7 +572,7 @@ def new_order(
     *,
     max_item: int = MAX_ITEM,
     fan: int = FAN,
-    width: int = CHUNK,
+    rows: int | None = None,
     cut: bool = True,
 ) -> Applied:
     """Apply all requests. With `cut`, the checked requests are written once for all outputs."""
@@ -559,11 +580,11 @@ def new_order(
     if cut:
         checked = cut_lineage(checked)
     placed = placed_requests(checked)
-    numbered = allocate_order_ids(placed, width)
+    numbered = allocate_order_ids(placed, rows)
     if cut:
         numbered = cut_lineage(numbered)
     stock = apply_stock_counters(
-        apply_stock_quantity(tables["stock"], placed, fan, width), placed
+        apply_stock_quantity(tables["stock"], placed, fan, rows), placed
     )
     after = {
         **tables,
@@ -571,5 +592,5 @@ def new_order(
         "stock": stock,
         **append_orders(tables, numbered, as_of),
     }
-    result = order_results(checked, numbered, tables["stock"], fan, width)
+    result = order_results(checked, numbered, tables["stock"], fan, rows)
     return Applied(after, result, failed_requests(checked))

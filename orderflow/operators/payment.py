@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from ..functions.scan import CHUNK, running, trailing
+from ..functions.scan import numbered, running, trailing
 from ..session import cut_lineage
 from ..sources.schemas import conform_like
 from .customers import PLACE, lookup_customer, resolve_customer
@@ -151,20 +151,14 @@ def apply_bad_credit_data(customer: DataFrame, paid: DataFrame) -> DataFrame:
     )
 
 
-def history_rows(history: DataFrame, paid: DataFrame, as_of: str, width: int = CHUNK) -> DataFrame:
+def history_rows(history: DataFrame, paid: DataFrame, as_of: str) -> DataFrame:
     """A history row per payment, numbered on from the last one by `req_seq`."""
     last = history.agg(F.coalesce(F.max("hist_id"), F.lit(0)).alias("m")).scalar()
-    numbered = running(
-        paid.select(
-            "req_seq", *CUSTOMER, "d_id", "w_id", "h_amount", "w_name", "d_name"
-        ),
-        [],
-        "req_seq",
-        rank="__nth",
-        width=width,
+    rows = numbered(
+        paid.select("req_seq", *CUSTOMER, "d_id", "w_id", "h_amount", "w_name", "d_name"), ["req_seq"], "__nth"
     )
     return conform_like(
-        numbered.select(
+        rows.select(
             (last + F.col("__nth")).alias("hist_id"),
             F.col("c_id").alias("h_c_id"),
             F.col("c_d_id").alias("h_c_d_id"),
@@ -179,13 +173,11 @@ def history_rows(history: DataFrame, paid: DataFrame, as_of: str, width: int = C
     )
 
 
-def append_history(
-    history: DataFrame, paid: DataFrame, as_of: str, width: int = CHUNK
-) -> DataFrame:
-    return history.unionByName(history_rows(history, paid, as_of, width))
+def append_history(history: DataFrame, paid: DataFrame, as_of: str) -> DataFrame:
+    return history.unionByName(history_rows(history, paid, as_of))
 
 
-def payment_results(checked: DataFrame, as_of: str, width: int = CHUNK) -> DataFrame:
+def payment_results(checked: DataFrame, as_of: str, rows: int | None = None) -> DataFrame:
     """Per request: addresses and the customer as it stood right after that payment.
 
     Failed requests stay in, but add nothing to what the others see: they keep the number of the
@@ -202,7 +194,7 @@ def payment_results(checked: DataFrame, as_of: str, width: int = CHUNK) -> DataF
             "__nth": done.cast("bigint"),
             "__paid": F.when(done, F.col("h_amount")).otherwise(F.lit(0).cast("decimal(6,2)")),
         },
-        width=width,
+        rows=rows,
     ).withColumn("c_balance", (F.col("c_balance") - F.col("__paid")).cast(kind))
     seen = trailing(
         owed.withColumn("__record", F.when(bad, payment_record())),
@@ -210,7 +202,7 @@ def payment_results(checked: DataFrame, as_of: str, width: int = CHUNK) -> DataF
         "__nth",
         RECORDS,
         {"__records": F.collect_list(F.when(F.col("__record").isNotNull(), F.struct("__nth", "__record")))},
-        width=max(width, RECORDS),
+        rows=rows,
     )
     newest_first = F.array_join(
         F.transform(F.sort_array("__records", asc=False), lambda r: r["__record"]), ""
@@ -229,7 +221,7 @@ def payment(
     req: DataFrame,
     as_of: str,
     *,
-    width: int = CHUNK,
+    rows: int | None = None,
     cut: bool = True,
 ) -> Applied:
     """Apply all payments. With `cut`, the checked requests are written once for all outputs."""
@@ -242,7 +234,7 @@ def payment(
         "district": apply_district_ytd(tables["district"], paid),
         "warehouse": apply_warehouse_ytd(tables["warehouse"], paid),
         "customer": apply_bad_credit_data(apply_payments(tables["customer"], paid), paid),
-        "history": append_history(tables["history"], paid, as_of, width),
+        "history": append_history(tables["history"], paid, as_of),
     }
     errors = checked.filter(F.col("code").isNotNull()).select("req_seq", "code", "message")
-    return Applied(after, payment_results(checked, as_of, width), errors)
+    return Applied(after, payment_results(checked, as_of, rows), errors)

@@ -8,7 +8,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..functions import values as V
-from ..functions.scan import running
+from ..functions.scan import numbered
 from .generate import DISTRICTS
 
 # Default mix in percent.
@@ -65,9 +65,7 @@ def gen_homes(places: DataFrame, terminals: int, seed: int = 1) -> DataFrame:
         "__draw",
         V.uniform(0, (1 << 32) - 1, seed, "home", F.col("w_id"), F.col("d_id")),
     )
-    ranked = running(
-        drawn, [], "__draw", rank="terminal", ties=["w_id", "d_id"], width=1 << 22
-    )
+    ranked = numbered(drawn, ["__draw", "w_id", "d_id"], "terminal")
     return ranked.filter(F.col("terminal") <= terminals).select("terminal", "w_id", "d_id")
 
 

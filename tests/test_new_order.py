@@ -22,9 +22,9 @@ def serial_stock(start, orders):
     return held, seen
 
 
-@pytest.mark.parametrize("fan,width", [(2, 5), (3, 1 << 16), (1024, 7), (1024, 1 << 16)])
-@pytest.mark.parametrize("start", [50, 5, 1000])
-def test_stock_scan(spark, fan, width, start):
+@pytest.mark.parametrize("fan,size", [(2, 5), (64, None), (1024, 7)])
+@pytest.mark.parametrize("start", [50, 5, 1000, 1_000_000, -400])
+def test_stock_scan(spark, fan, size, start):
     rnd = random.Random(fan * 1000 + start)
     stock = {1: start, 2: start + 1, 3: start + 2}
     # Item 1 is in nearly every order.
@@ -39,7 +39,7 @@ def test_stock_scan(spark, fan, width, start):
     )
     table = S.rows(spark, "stock", *[S.stock(i, q=q) for i, q in stock.items()])
     held, seen = serial_stock(stock, orders)
-    got = no.scan_stock(steps, table, fan, width).collect()
+    got = no.scan_stock(steps, table, fan, size).collect()
     assert {(r.req_seq, r.s_i_id): r.seen for r in got} == seen and len(got) == len(seen)
     last = {}
     for r in sorted(got, key=lambda r: r.req_seq):
@@ -81,7 +81,7 @@ def test_whole_batch(spark):
         S.order(9, (1, 1, 1), c=99),
         S.order(10, (1, 1, 1), d=2),
     )
-    done = no.new_order(tables(spark), req, AT, fan=2, width=2)
+    done = no.new_order(tables(spark), req, AT, fan=2, rows=2)
     result = {r.req_seq: r for r in done.result.collect()}
     assert [result[i].status for i in (1, 2, 3, 4, 5, 10)] == [
         no.PLACED,
@@ -130,7 +130,7 @@ def test_same_result_on_one_partition(spark):
     )
 
     def answer(parts):
-        done = no.new_order(tables(spark), req.repartition(parts), AT, fan=3, width=4)
+        done = no.new_order(tables(spark), req.repartition(parts), AT, fan=3, rows=4)
         return sorted(done.result.select("req_seq", "o_id", F.to_json("lines")).collect())
 
     assert answer(1) == answer(8)

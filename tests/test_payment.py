@@ -55,8 +55,8 @@ def serial(people, pays):
     return seen
 
 
-@pytest.mark.parametrize("width", [4, 1 << 16])
-def test_payments_in_turn(spark, width):
+@pytest.mark.parametrize("size", [4, None])
+def test_payments_in_turn(spark, size):
     raw = [
         S.customer(1, c_credit="BC", c_data="z" * 480),
         S.customer(2, c_credit="BC", c_data=""),
@@ -94,7 +94,7 @@ def test_payments_in_turn(spark, width):
     ]
     named = {**base, "req_seq": 502, "c_last": "ABLEABLEABLE", "h_amount": "8.00"}
     req = S.requests(spark, "payment", *good, *bad, named)
-    done = p.payment(tables, req, AT, width=width)
+    done = p.payment(tables, req, AT, rows=size)
     seen = serial(people, [*good, {**named, "c_id": 4}])
     got = {r.req_seq: r for r in done.result.collect()}
     assert {s: (r.c_balance, r.c_data) for s, r in got.items() if r.code is None} == seen

@@ -39,10 +39,10 @@ def req(spark, n):
     return S.requests(spark, "delivery", *[{"req_seq": 10 * i, "w_id": 1, "o_carrier_id": i} for i in range(1, n + 1)])
 
 
-@pytest.mark.parametrize("width", [2, 1 << 16])
-def test_delivery_runs_out(spark, width):
+@pytest.mark.parametrize("size", [2, None])
+def test_delivery_runs_out(spark, size):
     t = orders(spark)
-    done = delivery.delivery(t, req(spark, 4), AT, width=width)
+    done = delivery.delivery(t, req(spark, 4), AT, rows=size)
     got = {r.req_seq: r for r in done.result.collect()}
     assert [got[10 * i].delivered_o_id[:3] for i in (1, 2, 3, 4)] == [
         [7, 7, -1],
