@@ -141,19 +141,25 @@ def apply_delivery_credit(customer: DataFrame, claims: DataFrame) -> DataFrame:
 def delivery_result(
     req: DataFrame, claims: DataFrame, districts: int = DISTRICTS
 ) -> DataFrame:
-    """Per request the delivered order id of each district (-1 for none) and the number skipped."""
+    """Per request the delivered order id of each district (-1 for none) and the number skipped.
+
+    Slots go up to `districts`, or to the highest district delivered if there is one above; such a
+    district's orders are reported too. Skipped are those of the first `districts` without an order.
+    """
     taken = claims.groupBy("req_seq").agg(
         F.map_from_entries(F.collect_list(F.struct("d_id", "o_id"))).alias("__taken")
     )
+    highest = F.coalesce(F.array_max(F.map_keys("__taken")).cast("int"), F.lit(0))
     slots = F.transform(
-        F.sequence(F.lit(1), F.lit(districts)),
+        F.sequence(F.lit(1), F.greatest(F.lit(districts), highest)),
         lambda d: F.coalesce(F.col("__taken")[d], F.lit(NONE_DELIVERED)),
     )
     return (
         req.join(taken, "req_seq", "left")
         .withColumn("delivered_o_id", slots)
         .withColumn(
-            "skipped", F.size(F.filter("delivered_o_id", lambda o: o == NONE_DELIVERED))
+            "skipped",
+            F.size(F.filter(F.slice("delivered_o_id", 1, districts), lambda o: o == NONE_DELIVERED)),
         )
         .drop("__taken")
     )

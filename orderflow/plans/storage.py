@@ -9,9 +9,10 @@ from pyspark.sql import functions as F
 from ..operators import analytics
 from ..session import checkpoint_root
 from ..sources import csvfiles, layout, logs
+from ..sources.partitioned import PartitionedTables
 from ..sources.versions import TableVersions
 from ..streaming import apply, live, watch
-from .catalog import register
+from .catalog import REGISTRY, register
 from .logs import _fix
 from .transactions import AT, _AT
 
@@ -165,39 +166,85 @@ def _(b):
 )
 def _(b):
     path = scratch(b.spark)
-    versions = TableVersions(b.spark, f"{path}/tables")
-    versions.write(0, b.tables("new_order", "oorder", "order_line", "customer"))
+    apply.start_tables(b.spark, path, b.tables("new_order", "oorder", "order_line", "customer"))
     apply.enqueue_deliveries(b.delivery_req(), f"{path}/queue", AT)
-    apply.drain_deliveries(
-        b.spark, f"{path}/queue", f"{path}/tables", f"{path}/cp", AT
-    ).awaitTermination()
-    return versions.results("result_delivery")
+    apply.drain_deliveries(b.spark, f"{path}/queue", path, f"{path}/cp", AT).awaitTermination()
+    return TableVersions(b.spark, f"{path}/batches").results("result_delivery")
+
+
+#: Per table the warehouse and a number that every changed column goes into.
+_TELLING = {
+    "warehouse": ("w_id", "w_ytd"),
+    "district": ("d_w_id", "d_ytd + 1000 * d_id * d_next_o_id"),
+    "customer": ("c_w_id", "c_balance + 3 * c_ytd_payment + 7 * c_id * c_payment_cnt + 11 * c_id * c_delivery_cnt"),
+    "history": ("h_w_id", "h_amount + h_c_id * (hist_id % 1000)"),
+    "new_order": ("no_w_id", "no_o_id * no_d_id"),
+    "oorder": ("o_w_id", "o_d_id * o_id * coalesce(o_carrier_id, 0) + o_c_id * o_ol_cnt"),
+    "order_line": ("ol_w_id", "ol_amount + 5 * ol_o_id * ol_quantity + 3 * case when ol_delivery_d is null then 0 else ol_o_id end"),
+    "item": ("0", "i_price"),
+    "stock": ("s_w_id", "s_i_id * s_quantity + 3 * s_ytd + 7 * s_i_id * s_order_cnt + 11 * s_remote_cnt"),
+}
+
+# The tables after all deliveries, then all new orders, then all payments.
+_AFTER = {
+    "warehouse": REGISTRY["pay_warehouse_ytd"].sql,
+    "district": (
+        "select d_w_id, d.d_id, d_ytd + coalesce((select sum(h_amount) from pay p where p.w_id = d_w_id and "
+        "p.d_id = d.d_id), 0) as d_ytd, d_next_o_id + (select count(*) from no_placed n where n.w_id = d_w_id "
+        "and n.d_id = d.d_id) as d_next_o_id from t_district d"
+    ),
+    "customer": (
+        "select c_w_id, c_d_id, c_id, x.c_balance + y.c_balance - t.c_balance as c_balance, x.c_ytd_payment, "
+        f"x.c_payment_cnt, y.c_delivery_cnt from ({REGISTRY['pay_customer_after'].sql}) x join "
+        f"({REGISTRY['dl_customer_after'].sql}) y using (c_w_id, c_d_id, c_id) join t_customer t using "
+        "(c_w_id, c_d_id, c_id)"
+    ),
+    "history": REGISTRY["pay_history_after"].sql,
+    "new_order": f"{REGISTRY['dl_new_order_after'].sql} union all select w_id, d_id, o_id from no_placed",
+    "oorder": (
+        f"select o_w_id, o_d_id, o_id, t.o_c_id, x.o_carrier_id, t.o_ol_cnt from ({REGISTRY['dl_oorder_after'].sql}) x "
+        "join t_oorder t using (o_w_id, o_d_id, o_id) union all select w_id, d_id, o_id, c_id, null, o_ol_cnt from no_placed"
+    ),
+    "order_line": (
+        "select t.ol_w_id, ol_o_id, t.ol_amount, t.ol_quantity, x.ol_delivery_d from "
+        f"({REGISTRY['dl_order_line_after'].sql}) x join t_order_line t using (ol_w_id, ol_d_id, ol_o_id, ol_number) "
+        "union all select p.w_id, o_id, ol_amount, ol_quantity, null from no_good join no_placed p using (req_seq)"
+    ),
+    "item": "select * from t_item",
+    "stock": REGISTRY["no_stock_quantity"].sql,
+}
 
 
 @register(
     "stream_apply",
-    "d_w_id:i d_id:i d_ytd:f d_next_o_id:i",
-    "select d_w_id, d.d_id, d_ytd + coalesce((select sum(h_amount) from pay p where p.w_id = d_w_id and "
-    "p.d_id = d.d_id), 0) as d_ytd, d_next_o_id + (select count(*) from no_placed n where n.w_id = d_w_id "
-    "and n.d_id = d.d_id) as d_next_o_id from t_district d",
+    "name:s w:i n:i total:r",
+    " union all ".join(
+        f"select '{n}' as name, {w} as w, count(*) as n, sum(cast({x} as double)) as total from ({_AFTER[n]}) group by all"
+        for n, (w, x) in _TELLING.items()
+    ),
 )
 def _(b):
-    """All requests of all types in one file drop; the districts of the version that comes of it."""
+    """Deliveries, new orders, then payments and reads as three micro-batches; all nine tables after."""
     path = scratch(b.spark)
-    versions = TableVersions(b.spark, f"{path}/tables")
-    versions.write(0, b.tables(*apply.TABLES))
-    for req, ttype in (
-        (b.new_order_req(), "NEW_ORDER"),
-        (b.payment_req(), "PAYMENT"),
-        (b.delivery_req(), "DELIVERY"),
-        (b.order_status_req(), "ORDER_STATUS"),
-        (b.stock_level_req(), "STOCK_LEVEL"),
-    ):
-        apply.envelope(req, ttype).write.mode("append").parquet(f"{path}/requests")
-    apply.stream_apply(
-        b.spark, f"{path}/requests", f"{path}/tables", f"{path}/cp", AT
-    ).awaitTermination()
-    return versions.read(["district"])["district"]
+    apply.start_tables(b.spark, path, b.tables(*apply.TABLES), parts=3)
+    for at, kinds in enumerate((("DELIVERY",), ("NEW_ORDER",), ("PAYMENT", "ORDER_STATUS", "STOCK_LEVEL"))):
+        asked = None
+        for ttype in kinds:
+            rows = apply.envelope(getattr(b, f"{ttype.lower()}_req")(), ttype)
+            asked = rows if asked is None else asked.unionByName(rows)
+        asked.write.parquet(f"{path}/requests/{at}")
+        apply.stream_apply(
+            b.spark, f"{path}/requests/{at}", path, f"{path}/cp{at}", AT, parts=3
+        ).awaitTermination()
+    out = None
+    for name, df in PartitionedTables(b.spark, f"{path}/tables", 3).read(apply.TABLES).items():
+        w, x = _TELLING[name]
+        found = df.groupBy(F.expr(w).cast("bigint").alias("w")).agg(
+            F.count(F.lit(1)).alias("n"), F.sum(F.expr(f"cast({x} as double)")).alias("total")
+        )
+        found = found.select(F.lit(name).alias("name"), "w", "n", "total")
+        out = found if out is None else out.unionByName(found)
+    return out
 
 
 _FAULTY_STOCK = " union all ".join(

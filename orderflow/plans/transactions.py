@@ -234,6 +234,23 @@ def _(b):
     return new_order.scan_stock(_steps(b), b.stock())
 
 
+@register(
+    "no_stock_hot",
+    "s_w_id:i s_i_id:i req_seq:i seen:i after:i",
+    "select *, case when seen >= qty + 10 then seen - qty else seen + 91 end as after from (select h.s_w_id, "
+    "h.s_i_id, req_seq, qty, list_reduce(coalesce(list(qty) over (partition by h.s_w_id, h.s_i_id order by "
+    "req_seq rows between unbounded preceding and 1 preceding), []::bigint[]), lambda a, x: case when a >= x + "
+    "10 then a - x else a + 91 end, t.s_quantity) as seen from (select s_w_id, s_i_id % 3 + 1 as s_i_id, "
+    "req_seq, max(qty) as qty from no_steps group by all) h join t_stock t on t.s_w_id = h.s_w_id and "
+    "t.s_i_id = h.s_i_id)",
+)
+def _(b):
+    """All orders fall on three items, so that every stock row has more steps than one list holds."""
+    item = (F.col("s_i_id") % 3 + 1).cast("int").alias("s_i_id")
+    steps = _steps(b).groupBy("s_w_id", item, "req_seq").agg(F.max("qty").alias("qty"))
+    return new_order.scan_stock(cut_lineage(steps), b.stock())
+
+
 _STOCK_AFTER = (
     "select t.s_w_id, t.s_i_id, coalesce(l.s_quantity, t.s_quantity) as s_quantity, "
     "coalesce(c.s_ytd, 0) as s_ytd, coalesce(c.s_order_cnt, 0) as s_order_cnt, "

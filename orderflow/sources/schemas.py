@@ -5,6 +5,7 @@ from __future__ import annotations
 import re
 
 from pyspark.sql import SparkSession
+from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
 # Table columns in file order, as SQL types.
@@ -52,6 +53,9 @@ TABLE_COLUMNS: dict[str, str] = {
     ),
 }
 
+#: Columns that tables in folders carry: part of the warehouses, and batch.
+LAYOUT = ("x_part", "x_batch")
+
 # Primary keys.
 TABLE_KEYS: dict[str, list[str]] = {
     "config": ["cfg_name"],
@@ -130,7 +134,12 @@ def conform(df, name: str):
 
 
 def conform_like(df, table):
-    """Columns of `df` in the order and with the types of the DataFrame `table`."""
+    """Columns of `df` in the order and with the types of the DataFrame `table`.
+
+    A new row has no place in the layout yet, so those columns are null.
+    """
+    new = [f.name for f in table.schema if f.name in LAYOUT and f.name not in df.columns]
+    df = df.withColumns({n: F.lit(None) for n in new}) if new else df
     return df.select(*[df[f.name].cast(f.dataType).alias(f.name) for f in table.schema])
 
 

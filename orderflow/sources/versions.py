@@ -16,16 +16,22 @@ class TableVersions:
         self.spark = spark
         self.root = root.rstrip("/")
 
-    def _path(self, *parts: str):
-        return self.spark.sparkContext._jvm.org.apache.hadoop.fs.Path("/".join([self.root, *parts]))
+    def path_of(self, place: str):
+        return self.spark.sparkContext._jvm.org.apache.hadoop.fs.Path(place)
 
-    def _fs(self):
-        conf = self.spark.sparkContext._jsc.hadoopConfiguration()
-        return self._path().getFileSystem(conf)
+    def path(self, *parts: str):
+        return self.path_of("/".join([self.root, *parts]))
+
+    def files(self):
+        return self.path().getFileSystem(self.spark.sparkContext._jsc.hadoopConfiguration())
 
     def complete(self) -> list[int]:
         """Numbers of the complete versions, newest first."""
-        fs, marks = self._fs(), self._path("current")
+        return self.marked("current")
+
+    def marked(self, folder: str) -> list[int]:
+        """Numbers of the versions with a mark in a folder, newest first."""
+        fs, marks = self.files(), self.path(folder)
         if not fs.exists(marks):
             return []
         names = [s.getPath().getName() for s in fs.listStatus(marks)]
@@ -36,7 +42,7 @@ class TableVersions:
 
     def holds(self, *parts: str) -> bool:
         """Whether a path under the root exists."""
-        return self._fs().exists(self._path(*parts))
+        return self.files().exists(self.path(*parts))
 
     def next(self) -> int:
         """The number after the newest complete version."""
@@ -53,7 +59,7 @@ class TableVersions:
 
     def finish(self, version: int) -> None:
         """Mark a version complete."""
-        self._fs().create(self._path("current", f"v={version}"), True).close()
+        self.files().create(self.path("current", f"v={version}"), True).close()
 
     def write(self, version: int, tables: dict[str, DataFrame]) -> None:
         """Write a version once; a version left half-written is written over, a complete one kept."""
@@ -64,22 +70,22 @@ class TableVersions:
 
     def read(self, names: Iterable[str], before: int | None = None) -> dict[str, DataFrame]:
         """The tables as of the newest complete version, or the newest one before a number."""
-        fs = self._fs()
-        usable = [v for v in self.complete() if before is None or v < before]
-        out = {}
-        for name in names:
-            held = [v for v in usable if fs.exists(self._path(f"v={v}", name))]
-            if not held:
-                raise FileNotFoundError(f"no complete version of {name} under {self.root}")
-            out[name] = self.spark.read.parquet(f"{self.root}/v={held[0]}/{name}")
-        return out
+        return {n: self.spark.read.parquet(f"{self.root}/v={self.newest(n, before)}/{n}") for n in names}
+
+    def newest(self, name: str, before: int | None = None) -> int:
+        """The newest complete version that holds a table, or the newest one before a number."""
+        fs = self.files()
+        for v in self.complete():
+            if (before is None or v < before) and fs.exists(self.path(f"v={v}", name)):
+                return v
+        raise FileNotFoundError(f"no complete version of {name} under {self.root}")
 
     def results(self, name: str) -> DataFrame | None:
         """A result written with each version, over all complete versions."""
-        fs = self._fs()
+        fs = self.files()
         paths = [
             f"{self.root}/v={v}/{name}"
             for v in self.complete()
-            if fs.exists(self._path(f"v={v}", name))
+            if fs.exists(self.path(f"v={v}", name))
         ]
         return self.spark.read.parquet(*paths) if paths else None

@@ -1,4 +1,4 @@
-"""Request files applied to table versions as they arrive, and the delivery queue."""
+"""Request files applied to tables as they arrive, and the delivery queue."""
 
 from __future__ import annotations
 
@@ -15,6 +15,7 @@ from ..operators.order_status import order_status
 from ..operators.payment import payment
 from ..operators.stock_level import stock_level
 from ..session import cut_lineage
+from ..sources.partitioned import PartitionedTables
 from ..sources.schemas import REQUEST_COLUMNS
 from ..sources.versions import TableVersions
 
@@ -30,6 +31,9 @@ TABLES = [
     "stock",
 ]
 
+#: Growing tables of which a delivery changes rows that are there.
+REWRITTEN = {"new_order", "oorder", "order_line"}
+
 #: A request row of any type: the columns of all request tables side by side.
 ENVELOPE = (
     "req_seq bigint, ttype string, w_id bigint, d_id bigint, c_w_id bigint, c_d_id bigint, "
@@ -58,12 +62,13 @@ def open_envelope(batch: DataFrame, ttype: str) -> DataFrame:
 
 
 def apply_batch(
-    tables: dict[str, DataFrame], batch: DataFrame, as_of: str, types: Iterable[str], settle
-) -> None:
-    """Apply a batch in the order new orders, payments, deliveries, reads.
+    tables: dict[str, DataFrame], batch: DataFrame, as_of: str, types: Iterable[str], settle, keep
+) -> list[str]:
+    """Apply a batch in the order new orders, payments, deliveries, reads; names the tables changed.
 
-    `settle` writes tables or results and gives them back as written. Only the types present are
-    applied, so that untouched tables are not rewritten; reads look at the tables as written.
+    `settle` writes changed tables and gives them back as written, `keep` writes results. Only the
+    types present are applied, so that untouched tables are not rewritten; reads look at the tables
+    as written.
     """
     types = set(types)
     before = dict(tables)
@@ -76,17 +81,18 @@ def apply_batch(
             results[f"errors_{ttype.lower()}"] = done.errors
     changed = {n: df for n, df in tables.items() if df is not before[n]}
     tables = {**tables, **settle(changed)}
-    settle(results)
+    keep(results)
     if "ORDER_STATUS" in types:
         asked = open_envelope(batch, "ORDER_STATUS")
-        settle({"result_order_status": order_status(tables, asked)})
+        keep({"result_order_status": order_status(tables, asked)})
     if "STOCK_LEVEL" in types:
         asked = open_envelope(batch, "STOCK_LEVEL")
-        settle({"result_stock_level": stock_level(tables, asked)})
+        keep({"result_stock_level": stock_level(tables, asked)})
+    return list(changed)
 
 
 def _fresh(versions: TableVersions, batch: DataFrame, queue: str) -> DataFrame:
-    """The batch's rows from files of this queue that no complete version has applied, written once."""
+    """The batch's rows from files of this queue that no complete batch has applied, written once."""
     applied = versions.results("applied")
     if applied is not None:
         seen = applied.filter(F.col("queue") == queue).select("file").distinct()
@@ -94,6 +100,17 @@ def _fresh(versions: TableVersions, batch: DataFrame, queue: str) -> DataFrame:
     return cut_lineage(batch)
 
 
+def touched_parts(tables: PartitionedTables, batch: DataFrame) -> list[int]:
+    """The parts of all warehouses that a batch names; no more than there are parts."""
+    named = [F.col(c) for c in ("w_id", "c_w_id") if c in batch.columns]
+    every = F.array(*named)
+    if "lines" in batch.columns:
+        supplying = F.transform("lines", lambda x: x["ol_supply_w_id"])
+        every = F.concat(every, F.coalesce(supplying, F.array().cast("array<bigint>")))
+    found = batch.select(F.explode(every).alias("w")).filter("w is not null")
+    return sorted(r[0] for r in found.select(tables.part_of(F.col("w"))).distinct().collect())
+
+
 def _files(batch: DataFrame, queue: str) -> DataFrame:
     return batch.select(F.lit(queue).alias("queue"), "file").distinct()
 
@@ -107,6 +124,13 @@ def unknown_types(batch: DataFrame) -> DataFrame:
     )
 
 
+def start_tables(spark: SparkSession, root: str, tables: dict[str, DataFrame], parts: int = 64) -> PartitionedTables:
+    """Lay out the tables that `stream_apply` and `drain_deliveries` change under `root`."""
+    laid = PartitionedTables(spark, f"{root}/tables", parts)
+    laid.create(tables)
+    return laid
+
+
 def stream_apply(
     spark: SparkSession,
     requests: str,
@@ -114,19 +138,22 @@ def stream_apply(
     checkpoint: str,
     as_of: str,
     *,
+    parts: int = 64,
     files_per_batch: int = 1000,
     once: bool = True,
 ) -> StreamingQuery:
-    """Apply request files (parquet envelopes) to the versions under `root`.
+    """Apply request files (parquet envelopes) to the tables that `start_tables` laid out in `root`.
 
-    Version 0 holds the tables to start from; each micro-batch becomes the next free version and
-    records in it which files of the queue it applied. Files that a complete version has recorded
-    are left out, whatever stream or checkpoint brings them again, so each request is applied once.
-    One writer per `root` at a time.
+    Each micro-batch takes the next free number, reads the parts of the warehouses it names and
+    replaces only their folders, or adds to them. Its results, and which files it applied, are kept
+    under its number. Files that a complete batch has recorded are left out, whatever stream or
+    checkpoint brings them again, so each request is applied once. One writer per `root` at a time.
     """
-    versions = TableVersions(spark, root)
+    versions = TableVersions(spark, f"{root}/batches")
+    laid = PartitionedTables(spark, f"{root}/tables", parts)
 
     def apply(batch: DataFrame, batch_id: int) -> None:
+        laid.recover(versions)
         batch = _fresh(versions, batch, requests)
         version = versions.next()
         known = [t.upper() for t in REQUEST_COLUMNS]
@@ -136,12 +163,22 @@ def stream_apply(
         if not counts["all"]:
             return
         types = [t for t in known if counts[t]]
-        tables = versions.read(TABLES, before=version)
-        apply_batch(tables, batch, as_of, types, lambda t: versions.stage(version, t))
+        touched = touched_parts(laid, batch)
+        # History rows are numbered on from the last one of all warehouses.
+        tables = {**laid.open(TABLES, touched), **laid.open(["history"])}
+        rewritten = REWRITTEN if "DELIVERY" in types else set()
+        changed = apply_batch(
+            tables,
+            batch,
+            as_of,
+            types,
+            lambda t: laid.stage(versions, version, t, tables, rewritten),
+            lambda r: versions.stage(version, r),
+        )
         versions.stage(
             version, {"applied": _files(batch, requests), "errors_unknown": unknown_types(batch)}
         )
-        versions.finish(version)
+        laid.finish(versions, version, changed, rewritten, touched)
 
     stream = (
         spark.readStream.schema(ENVELOPE)
@@ -165,23 +202,30 @@ def enqueue_deliveries(req: DataFrame, queue: str, due: str) -> DataFrame:
 
 
 def drain_deliveries(
-    spark: SparkSession, queue: str, root: str, checkpoint: str, as_of: str, *, once: bool = True
+    spark: SparkSession, queue: str, root: str, checkpoint: str, as_of: str, *, parts: int = 64, once: bool = True
 ) -> StreamingQuery:
-    """Apply queued deliveries to the versions under `root`; results keep when each was due.
+    """Apply queued deliveries to the tables laid out in `root`; results keep when each was due.
 
-    As in `stream_apply`, each queue file is applied once, whatever checkpoint brings it.
+    As in `stream_apply`, each queue file is applied once, whatever checkpoint brings it, and only
+    the folders of the warehouses that deliver are replaced.
     """
-    versions = TableVersions(spark, root)
+    versions = TableVersions(spark, f"{root}/batches")
+    laid = PartitionedTables(spark, f"{root}/tables", parts)
     needed = ["new_order", "oorder", "order_line", "customer"]
 
     def drain(batch: DataFrame, batch_id: int) -> None:
+        laid.recover(versions)
         batch = _fresh(versions, batch, queue)
         if batch.isEmpty():
             return
         version = versions.next()
-        done = delivery(versions.read(needed, before=version), batch.drop("file"), as_of)
+        touched = touched_parts(laid, batch)
+        tables = laid.open(needed, touched)
+        done = delivery(tables, batch.drop("file"), as_of)
+        laid.stage(versions, version, done.tables, tables, REWRITTEN)
         results = {"result_delivery": done.result, "errors_delivery": done.errors}
-        versions.write(version, {**done.tables, **results, "applied": _files(batch, queue)})
+        versions.stage(version, {**results, "applied": _files(batch, queue)})
+        laid.finish(versions, version, needed, REWRITTEN, touched)
 
     schema = "req_seq bigint, w_id bigint, o_carrier_id int, due timestamp"
     writer = (

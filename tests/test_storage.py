@@ -95,9 +95,9 @@ def test_versions(spark, tmp_path):
 
 def test_queue_applies_each_request_once(spark, tmp_path):
     root, queue, cp = (str(tmp_path / n) for n in ("tables", "queue", "cp"))
-    v = TableVersions(spark, root)
+    v = TableVersions(spark, f"{root}/batches")
     start = orders(spark)
-    v.write(0, start)
+    laid = apply.start_tables(spark, root, start)
     req = S.requests(spark, "delivery", *[{"req_seq": n, "w_id": 1, "o_carrier_id": n} for n in (1, 2, 3)])
     answer = apply.enqueue_deliveries(req.filter("req_seq < 3"), queue, AT)
     assert {r.execution_status for r in answer.collect()} == {"Delivery has been queued"}
@@ -109,19 +109,22 @@ def test_queue_applies_each_request_once(spark, tmp_path):
     whole = delivery.delivery(start, req, AT)
     got = {r.req_seq: r.delivered_o_id for r in v.results("result_delivery").collect()}
     assert got == {r.req_seq: r.delivered_o_id for r in whole.result.collect()}
-    assert v.read(["customer"])["customer"].exceptAll(whole.tables["customer"]).count() == 0
+    for name in apply.REWRITTEN | {"customer"}:
+        now = laid.read([name])[name]
+        assert now.exceptAll(whole.tables[name].select(now.columns)).count() == 0
+        assert now.count() == whole.tables[name].count()
 
 
 def test_new_checkpoints_lose_and_repeat_nothing(spark, tmp_path):
     root, queue = str(tmp_path / "tables"), str(tmp_path / "queue")
-    v = TableVersions(spark, root)
-    v.write(0, orders(spark))
+    v = TableVersions(spark, f"{root}/batches")
+    apply.start_tables(spark, root, orders(spark))
     for n in (1, 2):
         req = S.requests(spark, "delivery", {"req_seq": n, "w_id": 1, "o_carrier_id": n})
         apply.enqueue_deliveries(req, queue, AT)
         apply.drain_deliveries(spark, queue, root, str(tmp_path / f"cp{n}"), AT).awaitTermination()
     assert sorted(r.req_seq for r in v.results("result_delivery").collect()) == [1, 2]
-    assert v.complete() == [2, 1, 0]
+    assert v.complete() == [1, 0]
 
 
 def test_unknown_request_types_are_errors(spark):
@@ -144,3 +147,53 @@ def test_append_mode_holds_back_the_open_window(spark, tmp_path):
     # The last row is at 299 minutes, so windows ending by 239 minutes are out.
     assert got.count() == 23
     assert got.exceptAll(batch).count() == 0
+
+
+def files_of(root):
+    return {str(p.relative_to(root)) for p in root.rglob("*.parquet")}
+
+
+def test_a_batch_leaves_other_warehouses_alone(spark, tmp_path):
+    start = orders(spark)
+    far = {"oorder": "o_w_id", "order_line": "ol_w_id", "new_order": "no_w_id", "customer": "c_w_id"}
+    start = {n: df.unionByName(df.withColumn(far[n], F.lit(2))) for n, df in start.items()}
+    laid = apply.start_tables(spark, str(tmp_path / "t"), start)
+    data = tmp_path / "t" / "tables" / "data"
+    before = files_of(data)
+    req = S.requests(spark, "delivery", {"req_seq": 1, "w_id": 1, "o_carrier_id": 3})
+    apply.enqueue_deliveries(req, str(tmp_path / "queue"), AT)
+    apply.drain_deliveries(spark, str(tmp_path / "queue"), str(tmp_path / "t"), str(tmp_path / "cp"), AT).awaitTermination()
+    after = files_of(data)
+    assert {f for f in before if "x_part=2" in f} == {f for f in after if "x_part=2" in f}
+    assert not {f for f in before if "x_part=1/" in f} & after
+    whole = delivery.delivery(start, req, AT).tables
+    for name in far:
+        now = laid.read([name])[name]
+        assert now.exceptAll(whole[name].select(now.columns)).count() == 0 and now.count() == whole[name].count()
+
+
+def test_a_batch_staged_whole_is_installed_once(spark, tmp_path):
+    """A driver lost between staging and installing, or while installing: the next batch catches up."""
+    start = orders(spark)
+    root = str(tmp_path / "t")
+    laid = apply.start_tables(spark, root, start)
+    versions = TableVersions(spark, f"{root}/batches")
+    req = S.requests(spark, "delivery", *[{"req_seq": n, "w_id": 1, "o_carrier_id": n} for n in (1, 2, 3)])
+    tables = laid.open(start, [1])
+    done = delivery.delivery(tables, req, AT)
+    laid.stage(versions, 0, done.tables, tables, apply.REWRITTEN)
+    rows = [(n, n in apply.REWRITTEN, [1]) for n in start]
+    versions.stage(0, {"replaced": spark.createDataFrame(rows, "name string, rewritten boolean, parts array<int>")})
+    assert laid.read(["new_order"])["new_order"].count() == 5
+    laid.recover(versions)
+    assert laid.read(["new_order"])["new_order"].count() == 5  # staged, but not marked whole
+    versions.finish(0)
+    laid.replace("oorder", spark.read.parquet(f"{root}/batches/v=0/table_oorder"))  # as far as the driver came
+    laid.recover(versions)
+    laid.recover(versions)
+    # All pending orders are gone, and with them the last folder.
+    assert laid.read(["new_order"])["new_order"].count() == 0
+    for name in ("oorder", "order_line", "customer"):
+        now = laid.read([name])[name]
+        assert now.count() == start[name].count()
+        assert now.exceptAll(delivery.delivery(start, req, AT).tables[name].select(now.columns)).count() == 0
