@@ -198,11 +198,9 @@ def session_summary(
     )
 
 
-def running_tpm(
-    result: DataFrame, recent: int = RECENT_SECONDS, rows: int | None = None
-) -> DataFrame:
-    """For each second with transactions: throughput so far and over the last seconds."""
-    per_second = (
+def per_second(result: DataFrame) -> DataFrame:
+    """Foreground transactions and new orders per run and second; also over a stream."""
+    return (
         result.filter(F.col("ttype") != BACKGROUND)
         .groupBy("run", F.expr("elapsed div 1000").alias("second"))
         .agg(
@@ -210,8 +208,19 @@ def running_tpm(
             F.count_if(F.col("ttype") == "NEW_ORDER").alias("c"),
         )
     )
+
+
+def running_tpm(
+    result: DataFrame, recent: int = RECENT_SECONDS, rows: int | None = None
+) -> DataFrame:
+    """For each second with transactions: throughput so far and over the last seconds."""
+    return rates(per_second(result), recent, rows)
+
+
+def rates(seconds: DataFrame, recent: int = RECENT_SECONDS, rows: int | None = None) -> DataFrame:
+    """The same from counts per second."""
     so_far = running(
-        per_second,
+        seconds,
         ["run"],
         "second",
         sums={"all_n": F.col("n"), "all_c": F.col("c")},

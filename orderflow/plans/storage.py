@@ -43,6 +43,33 @@ _csv(
     "ol_w_id:i ol_d_id:i ol_o_id:i ol_number:i ol_i_id:i ol_delivery_d:t ol_amount:f "
     "ol_supply_w_id:i ol_quantity:i ol_dist_info:s",
 )
+_csv(
+    "warehouse",
+    "w_id:i w_ytd:f w_tax:f w_name:s w_street_1:s w_street_2:s w_city:s w_state:s w_zip:s",
+)
+_csv(
+    "district",
+    "d_w_id:i d_id:i d_ytd:f d_tax:f d_next_o_id:i d_name:s d_street_1:s d_street_2:s d_city:s "
+    "d_state:s d_zip:s",
+)
+_csv(
+    "history",
+    "hist_id:i h_c_id:i h_c_d_id:i h_c_w_id:i h_d_id:i h_w_id:i h_date:t h_amount:f h_data:s",
+)
+_csv(
+    "new_order",
+    "no_w_id:i no_d_id:i no_o_id:i",
+)
+_csv(
+    "item",
+    "i_id:i i_name:s i_price:f i_data:s i_im_id:i",
+)
+_csv(
+    "stock",
+    "s_w_id:i s_i_id:i s_quantity:i s_ytd:i s_order_cnt:i s_remote_cnt:i s_data:s s_dist_01:s "
+    "s_dist_02:s s_dist_03:s s_dist_04:s s_dist_05:s s_dist_06:s s_dist_07:s s_dist_08:s s_dist_09:s "
+    "s_dist_10:s",
+)
 
 
 @register(
@@ -144,10 +171,10 @@ def _(b):
 
 @register(
     "stream_tpm",
-    "start:t n:i new_orders:i latency:r",
-    "select time_bucket(interval '10 minutes', timestamp '2024-01-01 00:00:00' + to_milliseconds(elapsed)) "
+    "run:i start:t n:i new_orders:i latency:r",
+    "select 1 as run, time_bucket(interval '10 minutes', timestamp '2024-01-01 00:00:00' + to_milliseconds(elapsed)) "
     "as start, count(*) as n, count(*) filter (ttype = 'NEW_ORDER') as new_orders, avg(latency) as latency "
-    "from front group by 1",
+    "from front group by 2",
 )
 def _(b):
     """The result log written as files, read as a stream and totalled in complete mode."""
@@ -158,6 +185,30 @@ def _(b):
     return live.last_batch(b.spark, f"{path}/out", query)
 
 
+@register(
+    "stream_rates",
+    "run:i second:i tpm_total:f tpm_c:f recent_tpm_total:i recent_tpm_c:i",
+    "select run, second, 6000000 * (sum(n) over a) // ((second + 1) * 1000) / 100.0 as tpm_total, "
+    "6000000 * (sum(c) over a) // ((second + 1) * 1000) / 100.0 as tpm_c, (sum(n) over r) * 60 // 5 as "
+    "recent_tpm_total, (sum(c) over r) * 60 // 5 as recent_tpm_c from (select run, elapsed // 1000 as second, "
+    "count(*) as n, count(*) filter (ttype = 'NEW_ORDER') as c from (select 1 as run, elapsed, ttype from front "
+    "union all select 2, elapsed, ttype from front where latency % 2 = 0) group by 1, 2) "
+    "window a as (partition by run order by second rows between unbounded preceding and current row), "
+    "r as (partition by run order by second range between 4 preceding and current row)",
+)
+def _(b):
+    """The logs of two runs, which come in three drops with seconds in common, as live rates."""
+    path = scratch(b.spark)
+    two = b.result().unionByName(b.result().filter("latency % 2 = 0").withColumn("run", F.lit(2)))
+    for at in range(3):
+        logs.write_log(two.filter(F.col("elapsed") % 3 == at), "result", f"{path}/in")
+        query = live.stream_rates(
+            live.read_result_stream(b.spark, f"{path}/in"), f"{path}/out", f"{path}/cp", interval=None
+        )
+        query.awaitTermination()
+    return live.last_batch(b.spark, f"{path}/out", query)
+
+
 @register(
     "stream_delivery_queue",
     "req_seq:i w_id:i skipped:i due:t",

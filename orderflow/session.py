@@ -4,6 +4,8 @@ from __future__ import annotations
 
 import os
 import uuid
+from collections.abc import Iterator
+from contextlib import contextmanager
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -65,9 +67,23 @@ def cut_lineage(df: DataFrame) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+def _delete(spark: SparkSession, path: str) -> None:
+    place = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    place.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(place, True)
+
+
 def drop_cuts(spark: SparkSession) -> None:
     """Delete what `cut_lineage` has written in this process, once its readers are done."""
-    jvm = spark.sparkContext._jvm
     while _CUTS:
-        path = jvm.org.apache.hadoop.fs.Path(_CUTS.pop())
-        path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(path, True)
+        _delete(spark, _CUTS.pop())
+
+
+@contextmanager
+def batch_cuts(spark: SparkSession) -> Iterator[None]:
+    """Deletes at its end what has been cut inside: the intermediates of a micro-batch."""
+    before = len(_CUTS)
+    try:
+        yield
+    finally:
+        while len(_CUTS) > before:
+            _delete(spark, _CUTS.pop())

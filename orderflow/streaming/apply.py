@@ -14,7 +14,7 @@ from ..operators.new_order import new_order
 from ..operators.order_status import order_status
 from ..operators.payment import payment
 from ..operators.stock_level import stock_level
-from ..session import cut_lineage
+from ..session import batch_cuts, cut_lineage
 from ..sources.partitioned import PartitionedTables
 from ..sources.schemas import REQUEST_COLUMNS
 from ..sources.versions import TableVersions
@@ -153,6 +153,10 @@ def stream_apply(
     laid = PartitionedTables(spark, f"{root}/tables", parts)
 
     def apply(batch: DataFrame, batch_id: int) -> None:
+        with batch_cuts(spark):
+            apply_whole(batch)
+
+    def apply_whole(batch: DataFrame) -> None:
         laid.recover(versions)
         batch = _fresh(versions, batch, requests)
         version = versions.next()
@@ -214,6 +218,10 @@ def drain_deliveries(
     needed = ["new_order", "oorder", "order_line", "customer"]
 
     def drain(batch: DataFrame, batch_id: int) -> None:
+        with batch_cuts(spark):
+            drain_whole(batch)
+
+    def drain_whole(batch: DataFrame) -> None:
         laid.recover(versions)
         batch = _fresh(versions, batch, queue)
         if batch.isEmpty():

@@ -6,7 +6,8 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
-from ..operators.analytics import BACKGROUND
+from ..operators.analytics import BACKGROUND, RECENT_SECONDS, per_second, rates
+from ..session import batch_cuts, cut_lineage
 from ..sources.schemas import log_schema
 
 
@@ -23,7 +24,7 @@ def with_time(result: DataFrame, session_start: str) -> DataFrame:
 
 
 def stream_tpm(timed: DataFrame, bucket: str = "10 minutes", late: str = "1 hour") -> DataFrame:
-    """Per window of `bucket`: counts and mean latency of foreground transactions.
+    """Per run and window of `bucket`: counts and mean latency of foreground transactions.
 
     `timed` is a stream (or a table) with an `ended` time. In append mode a window comes out when
     the watermark has passed it, and rows later than `late` are left out.
@@ -31,13 +32,14 @@ def stream_tpm(timed: DataFrame, bucket: str = "10 minutes", late: str = "1 hour
     front = timed.filter(F.col("ttype") != BACKGROUND)
     return (
         front.withWatermark("ended", late)
-        .groupBy(F.window("ended", bucket).alias("w"))
+        .groupBy("run", F.window("ended", bucket).alias("w"))
         .agg(
             F.count(F.lit(1)).alias("n"),
             F.count_if(F.col("ttype") == "NEW_ORDER").alias("new_orders"),
             F.sum("latency").alias("latency_sum"),
         )
         .select(
+            "run",
             F.col("w.start").alias("start"),
             F.col("w.end").alias("end"),
             "n",
@@ -47,6 +49,33 @@ def stream_tpm(timed: DataFrame, bucket: str = "10 minutes", late: str = "1 hour
     )
 
 
+def stream_rates(
+    result: DataFrame,
+    path: str,
+    checkpoint: str,
+    *,
+    recent: int = RECENT_SECONDS,
+    interval: str | None = "5 seconds",
+) -> StreamingQuery:
+    """Throughput so far and over the last `recent` seconds, per run and second, while logs grow.
+
+    The stream's state are the counts per run and second. After each micro-batch the rates are worked
+    out from them and replace those of the batch before, in `path/batch=<n>`; so a row that comes
+    late still corrects every second after it. Without `interval`, what is there is processed.
+    """
+
+    def publish(seconds: DataFrame, batch: int) -> None:
+        with batch_cuts(seconds.sparkSession):
+            rates(cut_lineage(seconds), recent).write.mode("overwrite").parquet(f"{path}/batch={batch}")
+
+    writer = per_second(result).writeStream.outputMode("complete").foreachBatch(publish)
+    writer = writer.option("checkpointLocation", checkpoint)
+    writer = (
+        writer.trigger(processingTime=interval) if interval else writer.trigger(availableNow=True)
+    )
+    return writer.start()
+
+
 def run_available(
     stream: DataFrame, path: str, checkpoint: str, mode: str = "append"
 ) -> StreamingQuery:

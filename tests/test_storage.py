@@ -1,10 +1,10 @@
 import pytest
 from pyspark.sql import functions as F
 
-from orderflow.operators import delivery, errors
+from orderflow.operators import analytics, audit, delivery, errors
 from orderflow.sources import csvfiles, jdbc, layout, logs, schemas
 from orderflow.sources.versions import TableVersions
-from orderflow.streaming import apply, live
+from orderflow.streaming import apply, live, watch
 from tests import small as S
 from tests.test_reads_and_delivery import orders
 
@@ -42,6 +42,25 @@ def test_csv_keeps_nulls_and_commas_out(spark, tmp_path, null):
     assert first == "1,1,1,2,5,2,1,2024-01-01 00:00:00.000"
 
 
+def test_csv_quotes_and_rejects(spark, tmp_path):
+    people = S.rows(
+        spark, "customer", S.customer(1, c_data='a, b and "c"'), S.customer(2, c_data="", c_street_1=None), S.customer(3)
+    )
+    csvfiles.write_csv({"customer": people}, str(tmp_path))
+    back = csvfiles.load_csv(spark, str(tmp_path), ["customer"])["customer"]
+    assert back.exceptAll(people).count() == 0 and back.count() == 3
+    (tmp_path / "new-order.csv").mkdir()
+    lines = ["1,2,3", "1,x,3", "4,5", "1,2,3,4", "6,7,8", ",,", "9,9,99999999999"]
+    (tmp_path / "new-order.csv" / "part.csv").write_text("\n".join(lines) + "\n")
+    good, bad = csvfiles.load_csv_apart(spark, str(tmp_path), "new_order")
+    assert sorted(tuple(r) for r in good.collect() if r.no_w_id) == [(1, 2, 3), (6, 7, 8)] and good.count() == 3
+    assert sorted(r.line for r in bad.collect()) == ["1,2,3,4", "1,x,3", "4,5", "9,9,99999999999"]
+    assert {r.file.rsplit("/", 1)[1] for r in bad.collect()} == {"part.csv"}
+    assert good.select("no_d_id").count() == 3 and good.count() + bad.count() == len(lines)
+    with pytest.raises(Exception):
+        csvfiles.load_csv(spark, str(tmp_path), ["new_order"])["new_order"].collect()
+
+
 def test_clustered_files_hold_ranges(spark, tmp_path):
     people = spark.range(1000).select(
         (F.col("id") % 10).alias("c_w_id"), F.lit(1).alias("c_d_id"), F.lit("A").alias("c_last"),
@@ -197,3 +216,38 @@ def test_a_batch_staged_whole_is_installed_once(spark, tmp_path):
         now = laid.read([name])[name]
         assert now.count() == start[name].count()
         assert now.exceptAll(delivery.delivery(start, req, AT).tables[name].select(now.columns)).count() == 0
+
+
+def test_live_rates_of_two_runs(spark, tmp_path):
+    schema = "run int, elapsed bigint, latency bigint, dblatency bigint, ttype string, rbk int, dskipped int, error int"
+    rows = [(1 + n % 2, (n * 7919) % 60_000, 5, 5, "NEW_ORDER" if n % 3 else "PAYMENT", 0, 0, 0) for n in range(900)]
+    rows += [(1, 5, 1, 1, "DELIVERY_BG", 0, 0, 0)]
+    for at in range(3):  # later files hold rows of earlier seconds
+        part = spark.createDataFrame(rows[at::3], schema)
+        logs.write_log(part.coalesce(1), "result", str(tmp_path / "in"))
+        stream = live.read_result_stream(spark, str(tmp_path / "in"))
+        query = live.stream_rates(stream, str(tmp_path / "out"), str(tmp_path / "cp"), interval=None)
+        query.awaitTermination()
+        got = live.last_batch(spark, str(tmp_path / "out"), query)
+        known = [r for k in range(at + 1) for r in rows[k::3]]
+        want = analytics.running_tpm(spark.createDataFrame(known, schema))
+        assert got.exceptAll(want).count() == 0 and got.count() == want.count()
+
+
+def test_later_looks_read_only_what_changed(spark, tmp_path):
+    from orderflow.operators.generate import generate
+
+    tables = {n: df for n, df in generate(spark, 1, seed=3).items() if n in watch.NEEDED}
+    versions = TableVersions(spark, str(tmp_path / "t"))
+    versions.write(0, tables)
+    versions.write(1, {"stock": tables["stock"].union(tables["stock"].filter("s_i_id % 9999 = 0"))})
+    versions.write(2, {"oorder": tables["oorder"].filter("o_id <> 77")})
+    for version in (0, 1, 2):
+        facts = watch.facts_of(versions, version, str(tmp_path / "f"))
+        want = audit.run_checks(versions.read(watch.NEEDED, before=version + 1), True)
+        found = audit.judge_facts(facts, True)
+        assert found.exceptAll(want).count() == 0 and found.count() == want.count()
+        assert (found.count() > 0) == (version > 0)
+    kept = TableVersions(spark, str(tmp_path / "f"))
+    held = {n for n in watch.NEEDED for v in (1, 2) if kept.holds(f"v={v}", n)}
+    assert held == {"stock", "oorder"}
