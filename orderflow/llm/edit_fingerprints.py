@@ -187,10 +187,13 @@ def with_next(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "text"
         (r["range"], r["head"]) for r in dealt.groupBy("range").agg(F.min("doc").alias("head")).collect()
     )
     # Where the first document of each range is copied to: the filled range before, in a circle.
-    target = F.lit(None).cast("int")
-    for k, (_, head) in enumerate(heads):
-        target = F.when(F.col("doc").eqNullSafe(F.lit(head)), heads[k - 1][0]).otherwise(target)
-    copies = dealt.select(target.alias("range"), F.lit(1).alias("copy"), "doc", "text").filter("range is not null")
+    # A row per range; a join, since an expression with a branch per range outgrows the parser's stack.
+    targets = F.broadcast(
+        spark.createDataFrame([(head, heads[k - 1][0]) for k, (_, head) in enumerate(heads)], "head bigint, target int")
+    )
+    copies = dealt.join(targets, F.col("doc").eqNullSafe(F.col("head"))).select(
+        F.col("target").alias("range"), F.lit(1).alias("copy"), "doc", "text"
+    )
     rows = dealt.select("range", F.lit(0).alias("copy"), "doc", "text").union(copies)
     rows = rows.repartition(ranges, "range").sortWithinPartitions("range", "copy", F.col("doc").asc_nulls_last(), "text")
 
