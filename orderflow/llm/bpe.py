@@ -28,8 +28,8 @@ from .workers import map_batches
 WORDS = regex.compile(
     r"'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"
 )
-#: Words whose tokens a worker remembers before it starts anew.
-REMEMBERED = 800_000
+#: Words whose tokens a task remembers before it starts anew (about 40 MB), and judged pairs.
+REMEMBERED = 200_000
 #: Longer words are merged with a queue.
 SHORT = 64
 _NONE = 1 << 62
@@ -172,6 +172,11 @@ class Vocabulary:
             self.words[word] = body[begin:end] if ok else array("I", self.merged(text)).tobytes()
             begin = end
 
+    def forget(self) -> None:
+        """Drop what was learned of words and pairs."""
+        self.words.clear()
+        self.judged.clear()
+
     def _plain(self, texts: list[str]) -> list[bytes]:
         pieces = [WORDS.findall(t) for t in texts]
         if len(self.words) > REMEMBERED:
@@ -218,6 +223,8 @@ def encode(docs: DataFrame, path: str, *, id_col: str = "doc_id", text_col: str
 
     def run(batches):
         words = vocabulary(path)
+        # Workers outlive their tasks; what one has remembered must not pile up beside the next.
+        words.forget()
         for batch in batches:
             _, at = raw(batch.column(1))
             for low, high in slices(at):
@@ -226,6 +233,7 @@ def encode(docs: DataFrame, path: str, *, id_col: str = "doc_id", text_col: str
                 yield pa.RecordBatch.from_arrays(
                     [part.column(0), pa.array(ids, pa.binary())], names=["doc_id", "ids"]
                 )
+        words.forget()
 
     given = docs.select(F.col(id_col).cast("bigint").alias("doc_id"), F.col(text_col).alias("text"))
     return map_batches(given, run, "doc_id bigint, ids binary")

@@ -9,6 +9,7 @@ equally well is flagged as ambiguous.
 
 from __future__ import annotations
 
+from collections.abc import Iterator
 from dataclasses import dataclass
 
 import numpy as np
@@ -19,6 +20,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
 from .bytetext import raw, slices
+from .cuts import unused
 from .workers import map_batches, ship
 
 #: Labelled texts a model is fitted on, over all languages; each language has an equal share.
@@ -29,6 +31,9 @@ ROUNDS = 150
 AMBIGUOUS = 0.6
 UNKNOWN = "und"
 
+#: Texts whose features are worked out together.
+SLICE_ROWS = 512
+
 # Letters, lower-cased in ASCII, and all bytes of other scripts; the rest counts as a blank.
 _FOLD = np.full(256, 32, np.uint32)
 _FOLD[97:123] = np.arange(97, 123)
@@ -63,6 +68,13 @@ def features(data: np.ndarray, at: np.ndarray) -> np.ndarray:
     return np.sqrt(counts / size[:, None]).astype(np.float32)
 
 
+def few(at: np.ndarray) -> Iterator[tuple[int, int]]:
+    """Slices of bounded bytes and rows: a row takes a whole line of cells, however short its text."""
+    for low, high in slices(at):
+        for k in range(low, high, SLICE_ROWS):
+            yield k, min(k + SLICE_ROWS, high)
+
+
 def codewords(languages: int) -> np.ndarray:
     """Languages x places. Up to five languages get every split, more get spread random ones."""
     if languages < 2:
@@ -127,7 +139,9 @@ def fit(
         place = key[0]
         table = pa.array(rows["text"], pa.large_string())
         body, at = raw(table)
-        x = np.concatenate([features(body[at[a] : at[b]], at[a : b + 1] - at[a]) for a, b in slices(at)])
+        x = np.empty((len(table), CELLS), np.float32)
+        for a, b in few(at):
+            x[a:b] = features(body[at[a] : at[b]], at[a : b + 1] - at[a])
         index = rows["lang"].map({k: i for i, k in enumerate(languages)}).to_numpy()
         sign = code[index, place].astype(np.float32)
         n = np.bincount(index, minlength=len(languages))
@@ -190,14 +204,14 @@ def with_language(
     lettered = F.coalesce(F.col(text_col).rlike(r"\p{L}"), F.lit(False))
     schema = StructType(docs.schema.fields)
     schema = schema.add("lang_pred", "string").add("score", "double").add("ambiguous", "boolean")
-    return map_batches(docs.select("*", lettered.alias("_lettered")), score, schema)
+    return map_batches(docs.select("*", lettered.alias(unused(docs, "_lettered"))), score, schema)
 
 
 def _answers(model: Model, texts: pa.Array, lettered: list[bool]):
     """Language, probability and doubt of each text."""
     body, at = raw(texts)
     names, sureness = [], []
-    for low, high in slices(at):
+    for low, high in few(at):
         if not model.languages:
             names += [UNKNOWN] * (high - low)
             sureness += [0.0] * (high - low)
