@@ -52,9 +52,24 @@ class Cuts:
 def by_size(small: DataFrame, rows: int = BROADCAST_ROWS) -> DataFrame:
     """`small` with a broadcast hint if it was counted and is small, else as it is.
 
-    `small` must be a written table, so that counting it costs only its footers.
+    `small` must be a written table, so that counting it costs little. The elements of lists count as
+    rows, and so do each 64 bytes of texts and binaries.
     """
-    return F.broadcast(small) if small.count() <= rows else small
+    weight = F.lit(1)
+    for name, kind in small.dtypes:
+        if kind.startswith("array"):
+            weight = weight + F.coalesce(F.size(name), F.lit(0))
+        elif kind in ("string", "binary"):
+            weight = weight + F.expr(f"coalesce(octet_length(`{name}`) div 64, 0)")
+    return F.broadcast(small) if (small.agg(F.sum(weight)).head()[0] or 0) <= rows else small
+
+
+def unused(df: DataFrame, name: str) -> str:
+    """`name`, or what is free of it among the columns of `df`."""
+    taken = {c.lower() for c in df.columns}
+    while name.lower() in taken:
+        name += "_"
+    return name
 
 
 def release(spark: SparkSession) -> None:

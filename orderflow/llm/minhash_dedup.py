@@ -20,7 +20,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from .bytetext import Hasher, mix, odd_numbers, raw, repeat_index, slices, words
-from .cuts import Cuts, by_size
+from .cuts import Cuts, by_size, unused
 from .setjoin import SetJoin, numbered
 from .workers import map_batches
 
@@ -211,5 +211,6 @@ def without_copies(docs: DataFrame, decided: DataFrame, *, id_col: str = "doc_id
     Rows with one doc_id are one document; a null doc_id is kept as it is.
     """
     cuts = Cuts(docs.sparkSession)
-    gone = cuts.cut(decided.filter("not kept").select(F.col("doc_id").alias("gone")).distinct())
-    return docs.join(by_size(gone), F.col(id_col).cast("bigint") == F.col("gone"), "left_anti")
+    off = unused(docs, "gone")
+    gone = cuts.cut(decided.filter("not kept").select(F.col("doc_id").alias(off)).distinct())
+    return docs.join(by_size(gone), F.col(id_col).cast("bigint") == F.col(off), "left_anti")

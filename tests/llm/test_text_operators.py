@@ -270,3 +270,17 @@ def test_pages_awkward(spark):
     found = extract(table).collect()
     assert [r["text"] for r in found] == ["", "", *[main_text(PAGE)] * 3]
     assert extract(table.filter("false")).count() == 0
+
+
+def test_next_documents_over_many_ranges(spark):
+    docs = documents(spark, [(k, prose(k, 20)) for k in range(300)] + [(None, "no id"), (7, prose(7, 20))])
+    few = sorted(tuple(r) for r in edit_fingerprints.with_next(docs).fillna(-1, ["doc_id"]).collect())
+    before = spark.conf.get("spark.sql.shuffle.partitions")
+    spark.conf.set("spark.sql.shuffle.partitions", "3000")
+    try:
+        many = edit_fingerprints.with_next(docs).fillna(-1, ["doc_id"])
+        assert many.count() == len(few) == 302
+        spark.conf.set("spark.sql.shuffle.partitions", "64")
+        assert sorted(tuple(r) for r in edit_fingerprints.with_next(docs).fillna(-1, ["doc_id"]).collect()) == few
+    finally:
+        spark.conf.set("spark.sql.shuffle.partitions", before)
