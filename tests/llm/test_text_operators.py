@@ -31,6 +31,7 @@ def test_bpe_table(spark):
     rows = awkward()
     coded = bpe.decode(bpe.encode(documents(spark, rows), PATH), PATH).collect()
     assert [r["text"] for r in coded] == [t or "" for _, t in rows]
+    assert bpe.round_trip(documents(spark, rows), PATH).collect() == coded
     assert bpe.encode(documents(spark, []), PATH).count() == 0
 
 
