@@ -42,7 +42,7 @@ def decontaminate(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFram
 def encode(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Token ids of each document, as unsigned 32-bit integers, with digests of ids and decoded text."""
     path = public_tokenizers.path("byte_bpe_50k.json")
-    coded = bpe.decode(bpe.encode(docs, path), path)
+    coded = bpe.round_trip(docs, path)
     return coded.select(
         "doc_id",
         (F.octet_length("ids") / 4).cast("bigint").alias("n_tokens"),
