@@ -1,6 +1,7 @@
 from decimal import Decimal
 
 import pytest
+from pyspark.sql import functions as F
 
 from orderflow.operators import delivery, order_status, stock_level
 from tests import small as S
@@ -108,3 +109,13 @@ def test_stock_level(spark):
     assert [r.low_stock for r in level.orderBy("req_seq").collect()] == [0, 0, 0, 4, 0, 0]
     level = stock_level.stock_level(t, S.requests(spark, "stock_level", *asked))
     assert [r.low_stock for r in level.orderBy("req_seq").collect()] == [0, 1, 4, 9, 0, 0]
+
+
+def test_districts_above_ten_are_reported(spark):
+    t = orders(spark)
+    far = {"oorder": "o_d_id", "order_line": "ol_d_id", "new_order": "no_d_id", "customer": "c_d_id"}
+    t = {n: df.withColumn(far[n], F.when(F.col(far[n]) == 2, 12).otherwise(F.col(far[n]))) for n, df in t.items()}
+    got = {r.req_seq: r for r in delivery.delivery(t, req(spark, 2), AT).result.collect()}
+    first = got[min(got)]
+    assert len(first.delivered_o_id) == 12 and first.delivered_o_id[0] == 7 and first.delivered_o_id[11] == 7
+    assert first.skipped == 9
