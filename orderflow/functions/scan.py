@@ -228,6 +228,36 @@ def trailing(
     return framed.filter(F.col("__own") == F.col("__range")).drop("__own", "__range")
 
 
+def pick(
+    df: DataFrame, keys: Sequence[str], order: Sequence[str], position: Column, *, rows: int | None = None
+) -> DataFrame:
+    """Of each key the row at `position` by `order`; `position` is an expression of the row count `size`.
+
+    Positions count from 1; one outside the group gives no row. The sizes of a key's ranges tell in
+    which one the row lies, and nothing but that range is sorted. `df` is read three times, so it
+    should be a table or a short plan on one.
+    """
+    keys = list(keys)
+    ranged = _in_ranges(df, keys, _cut_points(df, keys, order, rows), {"__range": F.struct(*order)})
+    sizes = ranged.groupBy(*keys, "__range").agg(F.count(F.lit(1)).alias("__n"))
+    every = Window.partitionBy(*keys)
+    before = F.sum("__n").over(every.orderBy("__range").rowsBetween(Window.unboundedPreceding, -1))
+    held = sizes.select(
+        *keys, "__range", "__n", F.coalesce(before, F.lit(0)).alias("__before"), F.sum("__n").over(every).alias("size")
+    ).withColumn("__nth", position.cast("bigint") - F.col("__before"))
+    held = held.filter(F.col("__nth").between(1, F.col("__n"))).select(
+        *[F.col(k).alias(f"__key_{k}") for k in keys], F.col("__range").alias("__of"), "__nth"
+    )
+    same = [F.col(k).eqNullSafe(F.col(f"__key_{k}")) for k in keys]
+    at = F.row_number().over(Window.partitionBy(*keys, "__range").orderBy(*order))
+    return (
+        ranged.join(held, [*same, F.col("__range") == F.col("__of")])
+        .withColumn("__at", at)
+        .filter(F.col("__at") == F.col("__nth"))
+        .select(*df.columns)
+    )
+
+
 def numbered(df: DataFrame, order: Sequence[str], name: str) -> DataFrame:
     """Add consecutive numbers from 1 by `order` over the whole table, without a window.
 

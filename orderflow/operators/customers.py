@@ -4,59 +4,28 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ..functions.scan import spread_join
+from ..functions.scan import pick
+from ..session import cut_lineage
 
 PLACE = ["c_w_id", "c_d_id"]
 NAME = [*PLACE, "c_last"]
 
-def _at_half(counts: DataFrame, keys: list[str], part: list[str]) -> DataFrame:
-    """Of the parts of each key, in order, the one with position `pos`, and the place in it."""
-    upto = F.sum("__n").over(
-        Window.partitionBy(*keys).orderBy(*part).rowsBetween(Window.unboundedPreceding, 0)
-    )
-    return (
-        counts.withColumn("__upto", upto)
-        .filter((F.col("pos") <= F.col("__upto")) & (F.col("pos") > F.col("__upto") - F.col("__n")))
-        .withColumn("pos", F.col("pos") - (F.col("__upto") - F.col("__n")))
-        .select(*keys, *part, "pos")
-    )
-
 
-def resolve_by_last_name(req: DataFrame, customer: DataFrame) -> DataFrame:
+def resolve_by_last_name(req: DataFrame, customer: DataFrame, rows: int | None = None) -> DataFrame:
     """(c_w_id, c_d_id, c_last, c_id): of n namesakes by first name, the one at (n + 1) div 2.
 
-    `req` holds the names asked for; equal first names are settled by c_id. Namesakes are not
-    sorted as a group: counts per leading characters of the first name tell where the middle one
-    is, counts per whole first name and span of ids narrow that down, and only what is left, no
-    more than one span of ids, is sorted.
+    `req` holds the names asked for; equal first names are settled by c_id, and missing ones come
+    first. Namesakes are not sorted as a group: a name with very many bearers is cut into ranges of
+    about `rows` rows at sampled (first name, id), and only the range in the middle is sorted.
     """
     names = req.filter(F.col("c_last").isNotNull()).select(*NAME).distinct()
-    rows = customer.select(
-        *NAME,
-        F.substring("c_first", 1, 3).alias("__head"),
-        "c_first",
-        F.expr("c_id div 65536").alias("__span"),
-        "c_id",
-    )
-    one = F.count(F.lit(1)).alias("__n")
-    heads = spread_join(rows, names, NAME, "c_id").groupBy(*NAME, "__head").agg(one)
-    size = F.sum("__n").over(Window.partitionBy(*NAME))
-    heads = heads.withColumn("__size", size).withColumn("pos", F.expr("(__size + 1) div 2"))
-    head = _at_half(heads, NAME, ["__head"])
-    keys = [*NAME, "__head"]
-    spans = spread_join(rows, head, keys, "c_id").groupBy(*keys, "pos", "c_first", "__span").agg(one)
-    span = _at_half(spans, keys, ["c_first", "__span"])
-    keys = [*keys, "c_first", "__span"]
-    nth = F.row_number().over(Window.partitionBy(*keys).orderBy("c_id"))
-    return (
-        rows.join(span, keys)
-        .withColumn("__nth", nth)
-        .filter(F.col("__nth") == F.col("pos"))
-        .select(*NAME, "c_id")
-    )
+    # Written right after the join, where a skewed partition may still be split.
+    named = cut_lineage(customer.select(*NAME, "c_first", "c_id").join(names, NAME, "left_semi"))
+    middle = pick(named, NAME, ["c_first", "c_id"], F.expr("(size + 1) div 2"), rows=rows)
+    return middle.select(*NAME, "c_id")
 
 
 def resolve_customer(req: DataFrame, customer: DataFrame) -> DataFrame:

@@ -1,9 +1,11 @@
 from decimal import Decimal
 
 import pytest
+from pyspark.sql import functions as F
 
+from orderflow.functions.scan import _cut_points, _in_ranges
 from orderflow.operators import payment as p
-from orderflow.operators.customers import resolve_by_last_name
+from orderflow.operators.customers import NAME, resolve_by_last_name
 from tests import small as S
 
 AT = "2024-02-01 00:00:00"
@@ -20,8 +22,6 @@ def test_middle_namesake(spark, n, position):
 
 
 def test_middle_of_many_equal_first_names(spark):
-    from pyspark.sql import functions as F
-
     # One name with 200,001 bearers, most of them with one first name, over several spans of ids.
     people = spark.range(200_001).select(
         F.lit(1).alias("c_w_id"),
@@ -36,6 +36,25 @@ def test_middle_of_many_equal_first_names(spark):
     assert found.c_id == names[100_000][1]
 
 
+def test_namesakes_of_one_beginning_are_spread(spark):
+    # A million bearers of one name whose first names share ten letters.
+    people = spark.range(1_000_000).select(
+        F.lit(1).alias("c_w_id"),
+        F.lit(1).alias("c_d_id"),
+        F.col("id").alias("c_id"),
+        F.lit("ABLE").alias("c_last"),
+        F.concat(F.lit("MARIANNEXX"), F.lpad(F.pmod(F.col("id") * 7919, 1_000_003).cast("string"), 7, "0")).alias("c_first"),
+    )
+    asked = people.select("c_w_id", "c_d_id", "c_last").limit(1)
+    (found,) = resolve_by_last_name(asked, people).collect()
+    assert found.c_id == sorted(range(1_000_000), key=lambda i: i * 7919 % 1_000_003)[499_999]
+    order = ["c_first", "c_id"]
+    cuts = _cut_points(people, NAME, order, None)
+    sizes = _in_ranges(people, NAME, cuts, {"at": F.struct(*order)}).groupBy("at").count().collect()
+    parts = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    assert len(sizes) >= parts and max(r["count"] for r in sizes) < 2 * 1_000_000 / parts
+
+
 def serial(people, pays):
     """One payment after another, on dicts."""
     seen = {}

@@ -3,7 +3,7 @@ import random
 import pytest
 from pyspark.sql import functions as F
 
-from orderflow.functions.scan import _cut_points, _in_ranges, numbered, percentiles, previous, running, trailing
+from orderflow.functions.scan import _cut_points, _in_ranges, numbered, percentiles, pick, previous, running, trailing
 
 SIZES = [3, 10, 50, None]
 
@@ -120,3 +120,17 @@ def test_numbers_without_a_key(spark, rows, parts):
     assert numbered(df.filter("s < 0"), ["s"], "nth").count() == 0
     plan = out._jdf.queryExecution().executedPlan().toString()
     assert "SinglePartition" not in plan and "Window" not in plan
+
+
+@pytest.mark.parametrize("size", SIZES)
+def test_pick(spark, rows, size):
+    df = spark.createDataFrame([*rows, *rows[:1], (None, 4, 1), (None, None, 2)], "k string, s bigint, v int")
+    every = [*rows, rows[0], (None, 4, 1), (None, None, 2)]
+    for position, nth in (("(size + 1) div 2", lambda n: (n + 1) // 2), ("size", lambda n: n), ("3", lambda n: 3)):
+        want = []
+        for key in ("hot", "cold", None):
+            mine = sorted((r for r in every if r[0] == key), key=lambda r: (r[1] is not None, r[1:]))
+            want += mine[nth(len(mine)) - 1 : nth(len(mine))]
+        got = pick(df, ["k"], ["s", "v"], F.expr(position), rows=size).collect()
+        assert sorted(map(tuple, got), key=str) == sorted(want, key=str)
+    assert pick(df.limit(0), ["k"], ["s"], F.lit(1)).count() == 0
