@@ -86,17 +86,21 @@ def lookup_item(lines: DataFrame, item: DataFrame) -> DataFrame:
 def lookup_stock(lines: DataFrame, stock: DataFrame) -> DataFrame:
     """Add the stock row's text and the district text picked for the order's district."""
     dist = [f"s_dist_{n:02d}" for n in range(1, 11)]
-    cols = stock.select(
-        F.col("s_w_id").alias("ol_supply_w_id"),
-        F.col("s_i_id").alias("ol_i_id"),
-        "s_data",
-        *dist,
-        F.lit(True).alias("s_found"),
-    )
-    joined = lines.join(cols, ["ol_supply_w_id", "ol_i_id"], "left")
+    cols = stock.select(*STOCK, "s_data", *dist, F.lit(True).alias("s_found"))
+    supplied = zip(("ol_supply_w_id", "ol_i_id"), STOCK)
+    same = [F.col(line).try_cast(stock.schema[row].dataType) == F.col(row) for line, row in supplied]
+    joined = lines.join(cols, same, "left").drop(*STOCK)
     return joined.withColumn("ol_dist_info", pick_dist_info(F.col("d_id"))).drop(*dist)
 
 
+def stock_keys_like(df: DataFrame, stock: DataFrame) -> DataFrame:
+    """`df` with its stock key in the types of `stock`, so that a join leaves a bucketed table in place.
+
+    A value that does not fit the type belongs to no row and becomes null.
+    """
+    return df.withColumns({k: F.col(k).try_cast(stock.schema[k].dataType) for k in STOCK})
+
+
 def pick_dist_info(district: Column) -> Column:
     """The one of the ten district texts that belongs to the district."""
     texts = F.array(*[F.col(f"s_dist_{n:02d}") for n in range(1, 11)])
@@ -329,7 +333,7 @@ def scan_stock(steps: DataFrame, stock: DataFrame, fan: int = FAN, rows: int | N
     """
     held = stock.select(*STOCK, F.col("s_quantity").alias("q0"))
     ranked = running(steps, STOCK, "req_seq", rank="__r", sums={"__upto": F.col("qty")}, rows=rows)
-    started = ranked.join(held, STOCK)
+    started = stock_keys_like(ranked, stock).join(held, STOCK)
     refills = F.expr(f"({RESERVE + REFILL - 1} - q0) div {REFILL}")
     rising = (F.col("q0") < RESERVE) & (F.col("__r") <= refills)
     falling = F.col("q0") >= F.col("__upto") + RESERVE
@@ -430,7 +434,7 @@ def apply_stock_quantity(
         .agg(F.max_by("after", "req_seq").alias("__left"))
     )
     return (
-        stock.join(last, STOCK, "left")
+        stock.join(stock_keys_like(last, stock), STOCK, "left")
         .withColumn("s_quantity", F.coalesce("__left", "s_quantity"))
         .select(*stock.columns)
     )
@@ -452,7 +456,7 @@ def apply_stock_counters(stock: DataFrame, placed: DataFrame) -> DataFrame:
         return (F.col(col) + F.coalesce(by, F.lit(0))).cast(stock.schema[col].dataType)
 
     return (
-        stock.join(added, STOCK, "left")
+        stock.join(stock_keys_like(added, stock), STOCK, "left")
         .withColumn("s_ytd", plus("s_ytd", "__qty"))
         .withColumn("s_order_cnt", plus("s_order_cnt", "__orders"))
         .withColumn("s_remote_cnt", plus("s_remote_cnt", "__remote"))

@@ -17,8 +17,9 @@ def recent_items(
 ) -> DataFrame:
     """Distinct items in the last orders of each district asked for: (w_id, d_id, ol_i_id).
 
-    The districts' bounds are few rows, used twice, and written once. The lowest order id any of the districts looks back to is a scalar bound on the scan, so that
-    old lines are dropped before the shuffle.
+    The districts' bounds are few rows, used twice, and written once. The lowest order id any of the
+    districts looks back to is a scalar bound on the scan, so that old lines are dropped before the
+    shuffle, and files of old lines are skipped where the table is laid out by order id.
     """
     asked = req.select("w_id", "d_id").distinct()
     bounds = district.select(
@@ -52,6 +53,10 @@ def stock_level(
     held = tables["stock"].select(
         F.col("s_w_id").alias("w_id"), F.col("s_i_id").alias("ol_i_id"), "s_quantity"
     )
+    # In the types of the stock key, so that a table bucketed by it stays in place.
+    items = items.withColumns(
+        {c: F.col(c).try_cast(held.schema[c].dataType) for c in ("w_id", "ol_i_id")}
+    )
     counts = (
         items.join(held, ["w_id", "ol_i_id"])
         .groupBy("w_id", "d_id", "s_quantity")

@@ -6,7 +6,7 @@ import uuid
 
 from pyspark.sql import functions as F
 
-from ..operators import analytics
+from ..operators import analytics, new_order, stock_level
 from ..session import checkpoint_root
 from ..sources import csvfiles, layout, logs
 from ..sources.partitioned import PartitionedTables
@@ -87,6 +87,32 @@ def _(b):
     )
 
 
+def _laid_out(b, *names: str) -> dict:
+    db = f"layout_{uuid.uuid4().hex}"
+    layout.save_layout(b.tables(*names), db, scratch(b.spark))
+    return layout.open_layout(b.spark, db, names)
+
+
+@register(
+    "io_bucketed_lookup",
+    "req_seq:i ol_number:i s_data:s ol_dist_info:s",
+    REGISTRY["no_stock_lookup"].sql,
+)
+def _(b):
+    """Order lines joined with the stock rows of a saved table, which stay where they are."""
+    return new_order.lookup_stock(new_order.sequence_lines(b.new_order_req()), _laid_out(b, "stock")["stock"])
+
+
+@register(
+    "io_layout_stock_level",
+    "req_seq:i w_id:i d_id:i threshold:i low_stock:i",
+    REGISTRY["stock_level"].sql,
+)
+def _(b):
+    """Stock level on saved tables: files without recent lines are skipped, stock is not shuffled."""
+    return stock_level.stock_level(_laid_out(b, "district", "order_line", "stock"), b.stock_level_req())
+
+
 @register(
     "io_result_log",
     "run:i elapsed:i latency:i dblatency:i ttype:s rbk:i dskipped:i error:i",

@@ -1,7 +1,7 @@
 import pytest
 from pyspark.sql import functions as F
 
-from orderflow.operators import analytics, audit, delivery, errors
+from orderflow.operators import analytics, audit, delivery, errors, new_order, stock_level
 from orderflow.sources import csvfiles, jdbc, layout, logs, schemas
 from orderflow.sources.versions import TableVersions
 from orderflow.streaming import apply, live, watch
@@ -73,6 +73,68 @@ def test_clustered_files_hold_ranges(spark, tmp_path):
     assert len(files) == 5 and all(a.hi <= b.lo for a, b in zip(files, files[1:]))
 
 
+def nodes(plan, upto_joins=False):
+    """The operators of an executed plan, through stages that ran on their own."""
+    name = plan.nodeName()
+    if name.startswith("AdaptiveSparkPlan"):
+        return nodes(plan.executedPlan(), upto_joins)
+    if "QueryStage" in name:
+        return nodes(plan.plan(), upto_joins)
+    if upto_joins and "Join" in name:
+        return []
+    under = plan.children()
+    return [plan, *[n for i in range(under.size()) for n in nodes(under.apply(i), upto_joins)]]
+
+
+def shuffled(plan, table):
+    """Whether the scan of `table` is shuffled before it is joined, in the plan that ran."""
+    moved = [n for n in nodes(plan) if n.nodeName() == "Exchange"]
+    return any(f".{table}" in n.nodeName() for m in moved for n in nodes(m, upto_joins=True))
+
+
+def test_layout_for_joins_and_scans(spark, tmp_path):
+    # 2 districts of 1,000 orders with 2 lines each; 500 items in stock.
+    t = {
+        "district": S.rows(spark, "district", S.district(1, d_next_o_id=1001), S.district(2, d_next_o_id=1001)),
+        "stock": spark.range(500).select(
+            F.lit(1).alias("s_w_id"), F.col("id").cast("int").alias("s_i_id"), (F.col("id") % 20).cast("int").alias("s_quantity"),
+            F.lit("x").alias("s_data"), *[F.concat(F.lit(f"d{n}-"), "id").alias(f"s_dist_{n:02d}") for n in range(1, 11)],
+        ),
+        "order_line": spark.range(4000).selectExpr(
+            "1 as ol_w_id", "cast(id % 2 + 1 as int) as ol_d_id", "cast(id div 4 + 1 as int) as ol_o_id",
+            "cast(id div 2 % 2 + 1 as int) as ol_number", "cast(id * 7 % 500 as int) as ol_i_id",
+        ),
+    }
+    level = S.requests(spark, "stock_level", *[{"req_seq": n, "w_id": 1, "d_id": n, "threshold": 12} for n in (1, 2, 3)])
+    # Ids wider than those of the table, one beyond them.
+    asked = spark.createDataFrame(
+        [(1, 1, 1, 7), (2, 1, 2, 499), (3, 2, 3, 7), (4, 1, 4, 1 << 40)],
+        "req_seq bigint, d_id int, ol_number int, ol_i_id bigint",
+    ).withColumn("ol_supply_w_id", F.col("d_id").cast("bigint"))
+    before = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    layout.save_layout(t, "laid", str(tmp_path / "laid"), buckets=4, files=10)
+    try:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+        saved = layout.open_layout(spark, "laid", t)
+        got, want = (stock_level.stock_level(x, level) for x in (saved, t))
+        assert sorted(got.collect()) == sorted(want.collect())
+        plan = got._jdf.queryExecution().executedPlan()
+        assert shuffled(plan, "order_line") and not shuffled(plan, "stock")
+        (lines,) = [n for n in nodes(plan) if "order_line" in n.nodeName()]
+        # The last twenty orders lie in one of ten files.
+        assert lines.metrics().apply("numOutputRows").value() <= 2 * 4000 / 10
+        got, want = (new_order.lookup_stock(asked, x["stock"]) for x in (saved, t))
+        assert sorted(got.collect()) == sorted(want.collect())
+        assert [(r.req_seq, r.ol_i_id, r.ol_dist_info) for r in sorted(got.collect())] == [
+            (1, 7, "d1-7"), (2, 499, "d1-499"), (3, 7, None), (4, 1 << 40, None)
+        ]
+        plan = got._jdf.queryExecution().executedPlan()
+        assert not shuffled(plan, "stock") and [n for n in nodes(plan) if n.nodeName() == "Exchange"]
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", before)
+        spark.sql("DROP DATABASE laid CASCADE")
+
+
 def test_jdbc_column_types():
     assert jdbc.column_types("new_order") == "NO_W_ID INTEGER, NO_D_ID INTEGER, NO_O_ID INTEGER"
     assert "C_DATA VARCHAR(500)" in jdbc.column_types("customer")
