@@ -6,14 +6,14 @@ import uuid
 
 from pyspark.sql import functions as F
 
-from ..operators import analytics, new_order, stock_level
+from ..operators import analytics, config, new_order, stock_level
 from ..session import checkpoint_root
-from ..sources import csvfiles, layout, logs
+from ..sources import csvfiles, layout, logs, schemas
 from ..sources.partitioned import PartitionedTables
+from ..sources.schemas import log_schema
 from ..sources.versions import TableVersions
-from ..streaming import apply, live, watch
+from ..streaming import apply, feed, live, watch
 from .catalog import REGISTRY, register
-from .logs import _fix
 from .transactions import AT, _AT
 
 
@@ -138,37 +138,97 @@ def _(b):
     return b.spark.read.schema(schema + ", device string").option("header", "true").csv(path)
 
 
+def _feed(b, kind: str):
+    """The three machine logs as one feed of two drops, split by a stream; the log of one kind."""
+    path = scratch(b.spark)
+    made = {
+        "sys_info": analytics.cpu_fractions(b.raw_cpu()),
+        "blk": analytics.blk_rates(b.raw_blk()),
+        "net": analytics.net_rates(b.raw_net()),
+    }
+    for drop in range(2):
+        for name, rows in made.items():
+            now = rows.filter(F.expr("elapsed div 60000 % 2") == drop)
+            logs.feed_lines(now, name).write.mode("append").text(f"{path}/in")
+        feed.stream_os_feed(b.spark, f"{path}/in", f"{path}/out", f"{path}/cp", interval=None).awaitTermination()
+    return logs.read_os_metrics(b.spark, f"{path}/out/{kind}", kind)
+
+
 @register(
     "io_os_feed",
     "run:i elapsed:i device:s rxpktsps:r rxkbps:r txpktsps:r txkbps:r",
     "select 1 as run, * from net",
 )
 def _(b):
-    net = analytics.net_rates(b.raw_net())
-    cols = ["run", "elapsed", "device", "rxpktsps", "rxkbps", "txpktsps", "txkbps"]
-    blk = analytics.blk_rates(b.raw_blk())
-    feed = net.select(
-        F.lit("net").alias("kind"), F.concat_ws(",", *[F.col(c).cast("string") for c in cols]).alias("value")
-    ).unionByName(
-        blk.select(F.lit("blk").alias("kind"), F.concat_ws(",", "run", "elapsed", "device").alias("value"))
+    return _feed(b, "net")
+
+
+@register("io_os_feed_cpu", REGISTRY["cpu_fractions"].columns, REGISTRY["cpu_fractions"].sql)
+def _(b):
+    return _feed(b, "sys_info")
+
+
+@register("io_run_info", "run:i db:s sessionStart:t runMins:i runWarehouses:i thinkTimeMultiplier:f", (
+    "select 1 as run, 'spark, \"local\"' as db, timestamp '2024-01-01 00:00:00' as sessionStart, 43200 as runMins, "
+    "(select count(*) from region) as runWarehouses, null as thinkTimeMultiplier"
+))
+def _(b):
+    """The settings of a run, with a text that needs quotes and columns left empty."""
+    path = scratch(b.spark)
+    info = b.run_info().withColumns(
+        {
+            "db": F.lit('spark, "local"'),
+            "sessionStart": F.lit("2024-01-01").cast("timestamp"),
+            **{c: F.lit(None) for c in log_schema("run_info").names if c not in ("run", "db", "sessionStart", "runMins", "runWarehouses")},
+        }
     )
-    return logs.split_os_metrics(feed)["net"]
+    logs.write_log(info, "run_info", path)
+    return logs.read_run_info(b.spark, path)
 
 
-@register(
-    "io_tx_summary",
-    "tx_name:s tx_count:s tx_limit:s",
-    "select ttype as tx_name, cast(count(*) as varchar) as tx_count, case ttype when 'STOCK_LEVEL' then "
-    "'20.0' when 'DELIVERY_BG' then '80.0' else '5.0' end as tx_limit from result group by ttype union all "
-    f"select 'tpmC', {_fix('count(*) / 43200.0', 2, '')}, null from front where ttype = 'NEW_ORDER' union "
-    f"all select 'tpmTotal', {_fix('count(*) / 43200.0', 2, '')}, null from front",
+_TWO_SUMMARIES = (
+    f"select * from ({REGISTRY['tx_summary'].sql}) union all select 2 as run, x.* exclude (run) from "
+    f"({REGISTRY['tx_summary'].sql}) x"
 )
+
+
+@register("io_tx_summary", REGISTRY["tx_summary"].columns, _TWO_SUMMARIES)
 def _(b):
+    """The summaries of two runs with the same log, a file for each."""
     path = scratch(b.spark)
-    logs.write_tx_summary(analytics.tx_summary(b.result(), b.run_info()), path)
+    both = [df.withColumn("run", F.explode(F.array(F.lit(1), F.lit(2)))) for df in (b.result(), b.run_info())]
+    logs.write_tx_summary(analytics.tx_summary(*both), path)
     return logs.read_tx_summary(b.spark, path)
 
 
+@register(
+    "io_tables",
+    "name:s loaded:i truncated:i dropped:i",
+    " union all ".join(
+        f"select '{n}' as name, count(*) as loaded, {kept} as truncated, 0 as dropped from {source}"
+        for n, kept, source in (("district", 0, "t_district"), ("item", 0, "t_item"), ("config", 4, "range(4)"))
+    ),
+)
+def _(b):
+    """Typed tables are made, filled, emptied but for the load parameters, and dropped."""
+    db = f"made_{uuid.uuid4().hex}"
+    schemas.create_tables(b.spark, db)
+    rows = b.tables("district", "item")
+    rows["config"] = config.config_rows(b.spark, rows["district"].select("d_w_id").distinct().count(), 1, 2, 3)
+    csvfiles.insert_tables(rows, db)
+    if config.get_config(b.spark.table(f"{db}.config"), "warehouses") != str(b.warehouse().count()):
+        raise ValueError("the load parameter differs from the tables")
+    counts = {n: [b.spark.table(f"{db}.{n}").count()] for n in rows}
+    schemas.truncate_tables(b.spark, db)
+    for name, row in counts.items():
+        row.append(b.spark.table(f"{db}.{name}").count())
+    schemas.drop_tables(b.spark, db)
+    left = b.spark.sql(f"SHOW TABLES IN {db}").count()
+    b.spark.sql(f"DROP DATABASE {db}")
+    found = [(name, *row, left) for name, row in counts.items()]
+    return b.spark.createDataFrame(found, "name string, loaded bigint, truncated bigint, dropped bigint")
+
+
 @register(
     "io_session",
     "run:i db:s runMins:i runWarehouses:i TpmTOTAL:f TpmC:f TpmE:f",

@@ -33,8 +33,12 @@ TX_SUMMARY = [
     "tx_dskipped",
 ]
 NOT_AVAILABLE = "N/A"
+MACHINE = ("sys_info", "blk", "net")
 TIME = "yyyy-MM-dd HH:mm:ss[.SSS]"
 
+#: Column that holds a line which does not fit.
+BAD = "__bad"
+
 
 def _read(spark: SparkSession, kind: str, path: str) -> DataFrame:
     return (
@@ -60,20 +64,50 @@ def write_log(df: DataFrame, kind: str, path: str, mode: str = "append") -> None
 
 
 def read_os_metrics(spark: SparkSession, path: str, kind: str) -> DataFrame:
-    """A machine log: `sys_info`, `blk` or `net`. Devices written apart come back as one table."""
-    return _read(spark, kind, path)
+    """A machine log: `sys_info`, `blk` or `net`. Devices and batches written apart come back as one table."""
+    return _read(spark, kind, path).select(*log_schema(kind).names)
+
+
+def feed_lines(rows: DataFrame, kind: str) -> DataFrame:
+    """Rows of a machine log as lines of the feed: the kind, then the columns as CSV."""
+    cols = F.to_csv(F.struct(*[f.name for f in log_schema(kind)]))
+    return rows.select(F.concat(F.lit(f"{kind},"), cols).alias("value"))
+
+
+def tagged(lines: DataFrame) -> DataFrame:
+    """Lines of the feed as (kind, value, line), where the value is what follows the first comma."""
+    kind = F.substring_index("value", ",", 1)
+    rest = F.substr("value", F.length(kind) + 2)
+    return lines.select(kind.alias("kind"), rest.alias("value"), F.col("value").alias("line"))
+
+
+def _parsed(feed: DataFrame, kind: str) -> DataFrame:
+    """The lines of one kind with their columns; `__bad` holds a line that does not fit them."""
+    columns = ", ".join(f"{f.name} {f.dataType.simpleString()}" for f in log_schema(kind))
+    row = F.from_csv("value", f"{columns}, {BAD} string", {"columnNameOfCorruptRecord": BAD})
+    return feed.filter(F.col("kind") == kind).withColumn("__row", row).select(*feed.columns, "__row.*")
 
 
 def split_os_metrics(feed: DataFrame) -> dict[str, DataFrame]:
-    """The machine logs in one feed of tagged lines (`kind`, `value` as CSV text), each parsed."""
+    """The machine logs in one feed of tagged lines (`kind`, `value` as CSV text), each parsed.
+
+    Lines that do not fit the columns of their kind are left to `unfit_lines`.
+    """
     out = {}
-    for kind in ("sys_info", "blk", "net"):
-        schema = log_schema(kind)
-        parsed = F.from_csv("value", schema.simpleString()[len("struct<") : -1].replace(":", " "))
-        out[kind] = feed.filter(F.col("kind") == kind).select(parsed.alias("r")).select("r.*")
+    for kind in MACHINE:
+        good = _parsed(feed, kind).filter(F.col(BAD).isNull())
+        out[kind] = good.select(*log_schema(kind).names)
     return out
 
 
+def unfit_lines(feed: DataFrame) -> DataFrame:
+    """The lines of a `tagged` feed that are of no known kind or do not fit the columns of theirs."""
+    out = feed.filter(~F.col("kind").isin(*MACHINE)).select("line")
+    for kind in MACHINE:
+        out = out.union(_parsed(feed, kind).filter(F.col(BAD).isNotNull()).select("line"))
+    return out.withColumnRenamed("line", "value")
+
+
 def write_os_metrics(df: DataFrame, path: str, mode: str = "append") -> None:
     """Write a machine log, a folder per device where there are devices."""
     writer = df.write.mode(mode).option("header", "true")
@@ -83,14 +117,20 @@ def write_os_metrics(df: DataFrame, path: str, mode: str = "append") -> None:
 
 
 def write_tx_summary(df: DataFrame, path: str, mode: str = "errorifexists") -> None:
-    """The transaction summary of a run, in its row order, with N/A for what does not apply."""
-    rows = df.orderBy("run", "pos").select(*TX_SUMMARY).coalesce(1)
-    rows.write.mode(mode).options(header="true", nullValue=NOT_AVAILABLE).csv(path)
+    """The transaction summary of each run, in its row order, with N/A for what does not apply.
+
+    A file per run, in a folder `run=<n>`: runs are dealt to tasks, and each is sorted where it lies.
+    """
+    rows = df.repartition("run").sortWithinPartitions("run", "pos").select("run", *TX_SUMMARY)
+    writer = rows.write.mode(mode).partitionBy("run")
+    writer.options(header="true", nullValue=NOT_AVAILABLE).csv(path)
 
 
 def read_tx_summary(spark: SparkSession, path: str) -> DataFrame:
+    """The summaries of all runs under `path`, with the run."""
     schema = ", ".join(f"{c} string" for c in TX_SUMMARY)
-    return spark.read.schema(schema).options(header="true", nullValue=NOT_AVAILABLE).csv(path)
+    reader = spark.read.schema(f"run int, {schema}").options(header="true", nullValue=NOT_AVAILABLE)
+    return reader.csv(path).select("run", *TX_SUMMARY)
 
 
 def session_rows(run_info: DataFrame, summary: DataFrame) -> DataFrame:

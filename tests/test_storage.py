@@ -4,7 +4,7 @@ from pyspark.sql import functions as F
 from orderflow.operators import analytics, audit, delivery, errors, new_order, stock_level
 from orderflow.sources import csvfiles, jdbc, layout, logs, schemas
 from orderflow.sources.versions import TableVersions
-from orderflow.streaming import apply, live, watch
+from orderflow.streaming import apply, feed, live, watch
 from tests import small as S
 from tests.test_reads_and_delivery import orders
 
@@ -149,6 +149,23 @@ def test_logs(spark, tmp_path):
     assert logs.read_result(spark, str(tmp_path / "r")).collect() == rows.collect()
 
 
+def test_machine_feed(spark, tmp_path):
+    first = ["blk,1,60000,sda,1.5,0,2,0,0,0", "net,1,60000,eth0,1,2,3,4", "gpu,1,60000,9", "blk,1,60000,sdb,1"]
+    second = ["blk,1,120000,sdb,7,0,2,0,0,0", "net,1,x,eth0,1,2,3,4", "", "net,1,120000,eth/1,1,2,3,"]
+    inn, out, cp = (str(tmp_path / n) for n in ("in", "out", "cp"))
+    (tmp_path / "in").mkdir()
+    for at, lines in enumerate((first, second, [])):
+        (tmp_path / "in" / f"{at}.txt").write_text("".join(f"{x}\n" for x in lines))
+        feed.stream_os_feed(spark, inn, out, cp, interval=None).awaitTermination()
+    blk = logs.read_os_metrics(spark, f"{out}/blk", "blk")
+    assert [tuple(r)[:4] for r in blk.orderBy("elapsed").collect()] == [(1, 60000, "sda", 1.5), (1, 120000, "sdb", 7.0)]
+    net = logs.read_os_metrics(spark, f"{out}/net", "net").orderBy("elapsed").collect()
+    assert [tuple(r) for r in net] == [(1, 60000, "eth0", 1.0, 2.0, 3.0, 4.0), (1, 120000, "eth/1", 1.0, 2.0, 3.0, None)]
+    assert logs.read_os_metrics(spark, f"{out}/sys_info", "sys_info").count() == 0
+    bad = sorted(r.value for r in spark.read.text(f"{out}/{feed.REJECTED}").collect())
+    assert bad == ["", "blk,1,60000,sdb,1", "gpu,1,60000,9", "net,1,x,eth0,1,2,3,4"]
+
+
 def test_error_log(spark, tmp_path):
     found = spark.createDataFrame([(1, 9999, "no row"), (2, 1062, "twice")], "req_seq bigint, code int, message string")
     assert {r.error_class for r in errors.classify_errors(found, []).collect()} == {"UNEXPECTED"}
