@@ -1,9 +1,10 @@
 """Main text of web pages by tree scoring.
 
-A page is read into a tree of elements. Elements that by their name, role, class or id are menus,
-headers, footers, sidebars, notices, adverts, forms or reader comments are left out with all they
-hold, as are scripts, styles and hidden parts. Each remaining paragraph has points for its length
-and commas; its parent gets all of them, the next ancestor half, those above a third, a quarter
+A page is read into a tree of elements. Scripts, styles, hidden parts and elements that are by tag or
+role a menu, header, footer or sidebar are left out with all they hold. Forms, and elements whose
+class or id speaks of notices, adverts or reader comments, are only suspects: they are left out too,
+unless the article itself lies in them. Each remaining paragraph has points for its length
+and commas; its parent gets all of them, the next ancestor half, the one above a quarter
 and so on. An element's points are lessened by the share of its text that stands in links. The
 element with the most points is the article; of its siblings, headings and those with a fair share
 of its points stay too.
@@ -13,6 +14,7 @@ from __future__ import annotations
 
 import html
 import re
+from collections import Counter
 from dataclasses import dataclass, field
 
 import pyarrow as pa
@@ -25,7 +27,7 @@ from .workers import map_batches
 VOID = frozenset("area base br col embed hr img input link meta param source track wbr".split())
 RAW = frozenset("script style textarea title xmp iframe noembed noframes noscript".split())
 DROPPED = frozenset(
-    "aside audio button canvas dialog footer form head header iframe menu nav noscript object "
+    "aside audio button canvas dialog footer head header iframe menu nav noscript object "
     "script select style svg template textarea title video".split()
 )
 BLOCKS = frozenset(
@@ -64,33 +66,42 @@ class Element:
     tag: str
     parent: int
     dropped: bool
+    suspect: bool = False
+    named: bool = False
     points: float = 0.0
     chars: int = 0
     linked: int = 0
     children: list[int] = field(default_factory=list)
 
 
-def _out(tag: str, written: str, inside_article: bool) -> bool:
-    """Whether an element is no part of an article, by its name and attributes."""
-    if tag in DROPPED and not (tag == "header" and inside_article):
-        return True
-    if not written or tag in ("html", "body", "article", "main"):
-        return False
-    attributes = {
+def _attributes(written: str) -> dict[str, str]:
+    return {
         m[1].lower(): m[2] if m[2] is not None else m[3] if m[3] is not None else m[4] or ""
         for m in _ATTRIBUTE.finditer(written)
     }
-    if not attributes.keys() & {"class", "id", "role", "hidden", "aria-hidden", "style"}:
+
+
+def _out(tag: str, attributes: dict[str, str], inside_article: bool) -> bool:
+    """Whether an element is no part of an article, by its tag, its role or since it is hidden."""
+    if tag in DROPPED and not (tag == "header" and inside_article):
+        return True
+    if not attributes or tag in ("html", "body", "article", "main"):
         return False
     if "hidden" in attributes or attributes.get("aria-hidden") == "true" or attributes.get("role", "").lower() in ROLES:
         return True
-    if re.search(r"display\s*:\s*none|visibility\s*:\s*hidden", attributes.get("style", "")):
-        return True
-    named = attributes.get("class", "") + " " + attributes.get("id", "")
+    return bool(re.search(r"display\s*:\s*none|visibility\s*:\s*hidden", attributes.get("style", "")))
+
+
+def _suspect(tag: str, attributes: dict[str, str]) -> tuple[bool, bool]:
+    """Whether an element may be no part of an article, and whether a whole name of it says so."""
+    if tag == "form":
+        return True, False
+    if tag in ("html", "body", "article", "main"):
+        return False, False
+    named = f"{attributes.get('class', '')} {attributes.get('id', '')}"
     words = {w.lower() for w in _NAME.findall(named)}
-    if words & NEVER_TEXT:
-        return True
-    return bool(words & SELDOM_TEXT) and not words & LIKELY_TEXT
+    suspect = bool(words & NEVER_TEXT) or bool(words & SELDOM_TEXT) and not words & LIKELY_TEXT
+    return suspect, suspect and any(n.lower() in NEVER_TEXT | SELDOM_TEXT for n in named.split())
 
 
 class Page:
@@ -98,16 +109,19 @@ class Page:
 
     def __init__(self, source: str):
         self.elements = [Element("", -1, False)]
-        self.blocks: list[tuple[int, str]] = []
+        self.blocks: list[tuple[int, str, int]] = []
         self.open = [0]
+        self.open_tags = Counter([""])
         self.buffer: list[str] = []
         self.links = self.in_link = 0
         self._read(source)
         self._flush()
+        self._leave_suspects_out()
+        self._score()
 
     def _read(self, source: str) -> None:
-        at = 0
-        while (tag := _TAG.search(source, at)) is not None:
+        at, last = 0, source.rfind(">")
+        while at <= last and (tag := _TAG.search(source, at)) is not None:
             self._text(source[at : tag.start()])
             at = tag.end()
             name = (tag[2] or "").lower()
@@ -121,7 +135,7 @@ class Page:
                 end = re.compile(rf"</{re.escape(name)}[^>]*>", re.IGNORECASE).search(source, at)
                 at = end.end() if end else len(source)
                 self._close(name)
-        self._text(source[at:])
+        self._text(source[at:].partition("<!--")[0])
 
     def _text(self, text: str) -> None:
         if text and not self.elements[self.open[-1]].dropped:
@@ -142,11 +156,14 @@ class Page:
             return
         above = self.open[-1]
         up = self.elements[above]
-        inside = any(self.elements[k].tag in ("article", "main") for k in self.open) if name == "header" else False
-        self.elements.append(Element(name, above, up.dropped or _out(name, written, inside)))
+        inside = bool(self.open_tags["article"] or self.open_tags["main"])
+        attributes = _attributes(written) if written.strip() else {}
+        dropped = up.dropped or _out(name, attributes, inside)
+        self.elements.append(Element(name, above, dropped, *_suspect(name, attributes)))
         here = len(self.elements) - 1
         up.children.append(here)
         self.open.append(here)
+        self.open_tags[name] += 1
         self.in_link += name == "a"
 
     def _close_open_paragraph(self) -> None:
@@ -168,38 +185,64 @@ class Page:
                 return
 
     def _close(self, name: str) -> None:
-        if not any(self.elements[k].tag == name for k in self.open):
+        if not self.open_tags[name]:
             return
         if name in BLOCKS:
             self._flush()
         while True:
             tag = self.elements[self.open.pop()].tag
+            self.open_tags[tag] -= 1
             self.in_link -= tag == "a"
             if tag == name:
                 return
 
     def _flush(self) -> None:
-        """End the block of text read so far, and give its points to what holds it."""
+        """End the block of text read so far."""
         text = " ".join("".join(self.buffer).split())
         linked, self.links = min(self.links, len(text)), 0
         self.buffer = []
-        if not text:
-            return
-        at = next((k for k in reversed(self.open) if self.elements[k].tag in BLOCKS), 0)
-        self.blocks.append((at, text))
-        points = 0.0
-        if self.elements[at].tag not in HEADINGS:
-            points = 1 + text.count(",") + min(len(text) / 100, 3)
-        up = self.elements[at].parent if self.elements[at].tag in PARAGRAPHS else at
-        above = at
-        while above >= 0:
-            self.elements[above].chars += len(text)
-            self.elements[above].linked += linked
-            above = self.elements[above].parent
-        share = 1
+        if text:
+            at = next((k for k in reversed(self.open) if self.elements[k].tag in BLOCKS), 0)
+            self.blocks.append((at, text, linked))
+
+    def _leave_suspects_out(self) -> None:
+        """Drop suspects, but for those in which the article itself lies.
+
+        One that holds most of the page's text and the first heading or element named an article is a
+        wrapper of the page. So is one that holds nearly all text, if only a part of a name is suspect.
+        """
+        chars = [0] * len(self.elements)
+        for at, text, _ in self.blocks:
+            chars[at] += len(text)
+        total = sum(chars)
+        for k in range(len(self.elements) - 1, 0, -1):  # children come after their parents
+            chars[self.elements[k].parent] += chars[k]
+        shown = (k for k, one in enumerate(self.elements) if not one.dropped and one.tag in ("h1", "article", "main"))
+        around, up = set(), next(shown, -1)
         while up >= 0:
-            self.elements[up].points += points / share
-            up, share = self.elements[up].parent, share + 1
+            around.add(up)
+            up = self.elements[up].parent
+        for k, one in enumerate(self.elements):
+            wrapper = k in around and 2 * chars[k] > total or not one.named and 5 * chars[k] > 4 * total
+            one.dropped = one.dropped or one.suspect and not wrapper
+            one.dropped = one.dropped or k > 0 and self.elements[one.parent].dropped
+        self.blocks = [block for block in self.blocks if not self.elements[block[0]].dropped]
+
+    def _score(self) -> None:
+        """Give the points of each block to what holds it, and halves of them further up."""
+        for at, text, linked in self.blocks:
+            here = self.elements[at]
+            here.chars += len(text)
+            here.linked += linked
+            if here.tag not in HEADINGS:
+                up = here.parent if here.tag in PARAGRAPHS else at
+                self.elements[up].points += 1 + text.count(",") + min(len(text) / 100, 3)
+        for k in range(len(self.elements) - 1, 0, -1):  # children come after their parents
+            one = self.elements[k]
+            up = self.elements[one.parent]
+            up.chars += one.chars
+            up.linked += one.linked
+            up.points += one.points / 2
 
     def worth(self, k: int) -> float:
         one = self.elements[k]
@@ -235,7 +278,7 @@ class Page:
         chosen = self.article()
         for k, one in enumerate(self.elements):  # parents come before children
             inside[k] = k in chosen or inside[one.parent]
-        return " ".join(text for k, text in self.blocks if inside[k])
+        return " ".join(text for k, text, _ in self.blocks if inside[k])
 
 
 def main_text(source: str | None) -> str:

@@ -1,8 +1,10 @@
 import random
 import re
+import time
 
 import numpy as np
 import public_tokenizers
+import pytest
 from hypothesis import given, settings
 from hypothesis import strategies as st
 from texts import awkward, documents, prose
@@ -10,7 +12,7 @@ from tokenizers import Tokenizer
 
 from orderflow.llm import bpe, edit_fingerprints
 from orderflow.llm.decontamination import Items, _hits, _word_hashes, find_leaks, window_distance, without_leaks
-from orderflow.llm.html_extraction import extract, main_text
+from orderflow.llm.html_extraction import Page, extract, main_text
 
 PATH = public_tokenizers.path("byte_bpe_50k.json")
 REFERENCE = Tokenizer.from_file(PATH)
@@ -265,6 +267,72 @@ def test_main_text():
     assert main_text("<div>" * 3000 + "deep" + "</div>" * 3000) == "deep"
 
 
+PARAGRAPHS = [f"A long, plain paragraph of words, number {i}, and then some more of them." for i in range(5)]
+
+
+@pytest.mark.parametrize(
+    "name", ["site has-sidebar", "content ads-enabled", "post comments-open", "social-history", "page-form", "plain"]
+)
+def test_wrappers_with_suspect_names(name):
+    body = "".join(f"<p>{p}</p>" for p in PARAGRAPHS)
+    want = " ".join(PARAGRAPHS)
+    assert main_text(f"<body><div class='{name}'>{body}</div></body>") == want
+    assert main_text(f"<body><form id='{name}'>{body}</form></body>") == want
+    aside = "<div class='sidebar'><p>Buy, buy, buy</p></div><div class='ad-slot'>Cheap, new</div>"
+    comments = f"<div class='comments'>{'<p>I, for, one, agree.</p>' * 8}</div>"
+    whole = f"<body><div class='{name}'>{aside}<h1>Title</h1>{body}{comments}{aside}</div></body>"
+    assert main_text(whole) == f"Title {want}"
+
+
+def test_suspects_beside_the_article_go():
+    article = f"<article><h1>Title</h1><p>{PARAGRAPHS[0]}</p></article>"
+    for name in ("comment-list", "comments", "newsletter-box", "ad"):
+        long = f"<div class='{name}'>{'<p>I, for, one, like, this, very, much.</p>' * 2}</div>"
+        assert main_text(f"<body>{long}{article}{long}</body>") == f"Title {PARAGRAPHS[0]}"
+    thread = f"<ol class='comments'>{'<li><article><p>Me, too, and, so, on.</p></article>' * 40}</ol>"
+    assert main_text(f"<body>{article}{thread}</body>") == f"Title {PARAGRAPHS[0]}"
+
+
+def test_points_by_brute_force():
+    rnd = random.Random(3)
+    for _ in range(30):
+        # A random tree of sections with paragraphs; points go up halved, worked out path by path.
+        parents = [None] + [rnd.randrange(k) for k in range(1, 12)]
+        held = [[f"w{'x, ' * rnd.randrange(6)}{'y' * rnd.randrange(200)}" for _ in range(rnd.randrange(3))] for _ in parents]
+
+        def written(k):
+            inner = "".join(f"<p>{' '.join(p.split())}</p>" for p in held[k])
+            return f"<div>{inner}{''.join(written(c) for c in range(len(parents)) if parents[c] == k)}</div>"
+
+        page = Page(written(0))
+        divs = [one for one in page.elements if one.tag == "div"]
+        order = []
+
+        def visit(k):
+            order.append(k)
+            for c in range(len(parents)):
+                if parents[c] == k:
+                    visit(c)
+
+        visit(0)
+        want = [0.0] * len(parents)
+        for k, texts in enumerate(held):
+            for text in (" ".join(t.split()) for t in texts):
+                up, share = k, 1.0
+                while up is not None:
+                    want[up] += share * (1 + text.count(",") + min(len(text) / 100, 3))
+                    up, share = parents[up], share / 2
+        assert [one.points for one in divs] == pytest.approx([want[k] for k in order])
+
+
+def test_broken_pages_in_linear_time():
+    began = time.monotonic()
+    main_text("<div>x" * 100_000)
+    main_text("<div>" * 50_000 + "x" + "</div>" * 50_000)
+    assert main_text("<a " * 340_000) == " ".join(["<a"] * 340_000)
+    assert time.monotonic() - began < 60
+
+
 def test_pages_awkward(spark):
     rows = [(1, "u", None, 1), (2, None, "", 2), (None, "v", PAGE, 3), (3, "w", PAGE, 4), (3, "w", PAGE, 4)]
     table = spark.createDataFrame(rows, "page_id bigint, url string, html string, text int")
