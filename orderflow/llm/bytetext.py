@@ -99,6 +99,14 @@ class Hasher:
         value = (self.sums[end] - self.sums[start]) * self.inverse[start]
         return mix(value + (end - start).astype(_U))
 
+    def runs(self, at: np.ndarray, width: int) -> np.ndarray:
+        """What `of` gives for the runs [at[k], at[k + width]) of all k, without a look-up per run."""
+        sums = self.sums[at]
+        value = sums[width:] - sums[:-width]
+        value *= self.inverse[at[:-width]]
+        value += (at[width:] - at[:-width]).astype(_U)
+        return mix(value)
+
 
 def words(
     data: np.ndarray, at: np.ndarray, letters: bool = False

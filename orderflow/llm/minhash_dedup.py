@@ -107,15 +107,12 @@ def signatures(docs: DataFrame, width: int, parts: int, id_col: str, text_col: s
     return map_batches(given, sign, "doc bigint, n bigint, node binary, sig binary")
 
 
-def _sets(width: int):
-    def sets_of(texts: pa.Array) -> list[np.ndarray]:
-        return [
-            np.unique(hashes[at[row] : at[row + 1]])
-            for hashes, at, low, high in Shingler(width).rows(texts)
-            for row in range(high - low)
-        ]
+def _items(width: int):
+    def items_of(texts: pa.Array) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+        for hashes, at, _, _ in Shingler(width).rows(texts):
+            yield hashes, at
 
-    return sets_of
+    return items_of
 
 
 def _bodies(found: DataFrame, width: int) -> DataFrame:
@@ -125,10 +122,14 @@ def _bodies(found: DataFrame, width: int) -> DataFrame:
     """
 
     def run(batches):
-        sets_of = _sets(width)
+        items_of = _items(width)
         for batch in batches:
-            nodes = batch.column(1).to_pylist()
-            same = [_digest(x) == n for x, n in zip(sets_of(batch.column(2)), nodes, strict=True)]
+            nodes = iter(batch.column(1).to_pylist())
+            same = [
+                _digest(np.unique(hashes[low:high])) == next(nodes)
+                for hashes, at in items_of(batch.column(2))
+                for low, high in zip(at[:-1].tolist(), at[1:].tolist(), strict=True)
+            ]
             yield batch.select([0, 2]).rename_columns(["id", "body"]).filter(pa.array(same, pa.bool_()))
 
     return map_batches(found, run, "id bigint, body string")
@@ -185,7 +186,7 @@ def near_duplicates(
         return _bodies(found.select("id", "node", "text"), width)
 
     join = SetJoin(
-        cuts, reps, _keys(parts), parts * PLACES, 2 * parts - 1, percent, fetch, _sets(width)
+        cuts, reps, _keys(parts), parts * PLACES, 2 * parts - 1, percent, fetch, _items(width)
     )
     roots = join.roots()
 

@@ -17,7 +17,7 @@ item that only one of them has, so no pair that reaches the share is lost.
 
 from __future__ import annotations
 
-from collections.abc import Callable
+from collections.abc import Callable, Iterator
 from dataclasses import dataclass
 
 import numpy as np
@@ -25,6 +25,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from .bytetext import SLICE_BYTES, raw
 from .components import components
 from .cuts import Cuts
 from .workers import map_batches
@@ -36,6 +37,9 @@ COUNTER_BITS = 20
 PARITIES = 256
 _PARITY = [f"parity{k}" for k in range(PARITIES // 64)]
 _EVERY_OTHER = 0x5555555555555555
+#: Pairs compared together; the row of a pair takes eight bits of an item, 56 of its hash stay.
+PAIRS = 256
+_ROW = np.uint64(56)
 
 
 def numbered(cuts: Cuts, distinct: DataFrame, head: str) -> DataFrame:
@@ -44,6 +48,36 @@ def numbered(cuts: Cuts, distinct: DataFrame, head: str) -> DataFrame:
     return cuts.cut(spread.withColumn("id", F.monotonically_increasing_id()))
 
 
+def _pair_slices(x: pa.Array, y: pa.Array) -> Iterator[tuple[int, int]]:
+    """Row ranges of up to `PAIRS` pairs and about `SLICE_BYTES` bytes; a longer pair is its own."""
+    (_, a), (_, b) = raw(x), raw(y)
+    size, low, n = a - a[0] + b - b[0], 0, len(x)
+    while low < n:
+        high = int(np.searchsorted(size, size[low] + SLICE_BYTES, "right")) - 1
+        high = min(max(high, low + 1), low + PAIRS, n)
+        yield low, high
+        low = high
+
+
+def _marked(parts: Iterator[tuple[np.ndarray, np.ndarray]]) -> np.ndarray:
+    """The items of up to `PAIRS` rows, each once in a row, sorted, the row in the top bits."""
+    hashes, offsets = zip(*parts, strict=True)
+    sizes = np.concatenate([np.diff(at) for at in offsets])
+    items = np.concatenate(hashes) >> np.uint64(64 - int(_ROW))
+    items |= np.repeat(np.arange(len(sizes), dtype=np.uint64) << _ROW, sizes)
+    items.sort()
+    return items[np.append(True, items[1:] != items[:-1])] if len(items) else items
+
+
+def alike(x: np.ndarray, y: np.ndarray, rows: int, percent: int) -> np.ndarray:
+    """For each row whether its sets, as `_marked` gives them, share `percent` percent of their union."""
+    both = np.concatenate([x, y])
+    both.sort()
+    common = both[1:][both[1:] == both[:-1]]
+    n_x, n_y, shared = (np.bincount((items >> _ROW).astype(np.int64), minlength=rows) for items in (x, y, common))
+    return 100 * shared >= percent * (n_x + n_y - shared)
+
+
 @dataclass
 class SetJoin:
     cuts: Cuts
@@ -53,7 +87,17 @@ class SetJoin:
     may_differ: int | None
     percent: int
     fetch: Callable[[DataFrame], DataFrame]  # (id) -> (id, body)
-    sets_of: Callable[[pa.Array], list[np.ndarray]]  # texts -> sorted distinct hashed items
+    # texts -> hashed items, repeats included, and the offsets of the texts among them, by slices
+    items_of: Callable[[pa.Array], Iterator[tuple[np.ndarray, np.ndarray]]]
+
+    def _sets(self) -> Callable[[pa.Array], list[np.ndarray]]:
+        """What gives the sorted distinct items of each text."""
+        items_of = self.items_of
+
+        def sets_of(texts):
+            return [np.unique(x[low:high]) for x, at in items_of(texts) for low, high in zip(at[:-1].tolist(), at[1:].tolist())]
+
+        return sets_of
 
     def roots(self) -> DataFrame:
         """(id, root) for each id whose component has a smaller id."""
@@ -165,15 +209,14 @@ class SetJoin:
         for side in ("a", "b"):
             own = texts.select(F.col("id").alias(side), F.col("body").alias(f"body_{side}"))
             pairs = pairs.join(own, side)
-        sets_of, percent = self.sets_of, self.percent
+        items_of, percent = self.items_of, self.percent
 
         def check(batches):
             for batch in batches:
-                keep = []
-                for x, y in zip(sets_of(batch.column(2)), sets_of(batch.column(3)), strict=True):
-                    shared = len(np.intersect1d(x, y, assume_unique=True))
-                    keep.append(100 * shared >= percent * (len(x) + len(y) - shared))
-                yield batch.select([0, 1]).filter(pa.array(keep, pa.bool_()))
+                for low, high in _pair_slices(batch.column(2), batch.column(3)):
+                    part = batch.slice(low, high - low)
+                    x, y = (_marked(items_of(part.column(k))) for k in (2, 3))
+                    yield part.select([0, 1]).filter(pa.array(alike(x, y, len(part), percent)))
 
         return map_batches(
             pairs.select("a", "b", "body_a", "body_b"), check, "a bigint, b bigint"
@@ -185,7 +228,7 @@ class SetJoin:
         Without a limit of places the parities of the set stand beside.
         """
         rows = max(1, texts.count())
-        sets_of, percent = self.sets_of, self.percent
+        sets_of, percent = self._sets(), self.percent
         draw = F.pmod(F.xxhash64("id"), F.lit(1 << 20))
 
         def count(batches):
