@@ -19,7 +19,7 @@ from pyspark.sql import functions as F
 
 from .bytetext import Hasher, raw, slices, words
 from .cuts import Cuts, by_size
-from .workers import map_batches, ship
+from .workers import map_batches
 
 #: Confirmed and unlabelled texts that a model is fitted on.
 POSITIVES = 4_000
@@ -100,8 +100,8 @@ def fit(
     """(cells, weights, bias) learned from `labels` (doc_id, toxic) and the texts in `docs`.
 
     The prior is the share of toxic rows among the labelled ones. About `positives` confirmed and
-    `unlabelled` other texts, chosen by a hash, go to one task that fits the weights. None if no
-    label is toxic. Labels that are null, or for no document, teach nothing; several labels of a
+    `unlabelled` other texts, chosen by a hash, are turned into cells where they lie; the cells, at
+    most 2^`CELL_BITS` a text, go to one task that fits the weights. None if no label is toxic. Labels that are null, or for no document, teach nothing; several labels of a
     document count as toxic if one of them does.
     """
     cuts = Cuts(docs.sparkSession)
@@ -122,21 +122,30 @@ def fit(
     confirmed = texts.join(by_size(some), "doc").select(F.lit(True).alias("positive"), "text")
     other = texts.filter(draw < min(1.0, unlabelled / max(1, count))).select(F.lit(False).alias("positive"), "text")
 
+    def marked_cells(batches):
+        for batch in batches:
+            body, at = raw(batch.column(1))
+            for low, high in slices(at):
+                row, cell = cells(body[at[low] : at[high]], at[low : high + 1] - at[low])
+                first = np.searchsorted(row, np.arange(high - low + 1)).astype(np.int32)
+                listed = pa.ListArray.from_arrays(pa.array(first), pa.array(cell.astype(np.int32)))
+                yield pa.RecordBatch.from_arrays(
+                    [batch.column(0).slice(low, high - low), listed], names=["positive", "cells"]
+                )
+
     def learn(rows: pd.DataFrame) -> pd.DataFrame:
-        body, at = raw(pa.array(rows["text"], pa.large_string()))
-        where, which = [], []
-        for low, high in slices(at):
-            row, cell = cells(body[at[low] : at[high]], at[low : high + 1] - at[low])
-            where.append(row + low), which.append(cell)
+        held = rows["cells"].to_numpy()
+        where = np.repeat(np.arange(len(held)), [len(x) for x in held])
+        which = np.concatenate([np.zeros(0, np.int64), *held]).astype(np.int64)
         positive = rows["positive"].to_numpy()
         if not positive.any():
             return pd.DataFrame({"cell": [], "w": []})
-        w, bias = fit_weights(np.concatenate(where), np.concatenate(which), positive, prior)
+        w, bias = fit_weights(where, which, positive, prior)
         used = np.flatnonzero(w)
         return pd.DataFrame({"cell": np.append(used, -1), "w": np.append(w[used], bias)})
 
-    ship(docs.sparkSession)
-    fitted = confirmed.union(other).groupBy().applyInPandas(learn, "cell bigint, w double").toPandas()
+    marks = map_batches(confirmed.union(other), marked_cells, "positive boolean, cells array<int>")
+    fitted = marks.groupBy().applyInPandas(learn, "cell bigint, w double").toPandas()
     if not len(fitted):
         return None
     bias = fitted.loc[fitted["cell"] == -1, "w"].iloc[0]
