@@ -79,17 +79,22 @@ def all_local(req: DataFrame) -> DataFrame:
 
 
 def lookup_item(lines: DataFrame, item: DataFrame) -> DataFrame:
+    """Add the item's price and texts. Merged, as the stock rows are (`lookup_stock`)."""
     cols = item.select(F.col("i_id").alias("ol_i_id"), "i_price", "i_name", "i_data")
-    return lines.join(cols, "ol_i_id", "left")
+    return lines.join(cols.hint("merge"), "ol_i_id", "left")
 
 
 def lookup_stock(lines: DataFrame, stock: DataFrame) -> DataFrame:
-    """Add the stock row's text and the district text picked for the order's district."""
+    """Add the stock row's text and the district text picked for the order's district.
+
+    Merged: a file's size says little about how long its texts are in memory, and a stock table that
+    looks small enough to be broadcast may not fit the driver.
+    """
     dist = [f"s_dist_{n:02d}" for n in range(1, 11)]
     cols = stock.select(*STOCK, "s_data", *dist, F.lit(True).alias("s_found"))
     supplied = zip(("ol_supply_w_id", "ol_i_id"), STOCK)
     same = [F.col(line).try_cast(stock.schema[row].dataType) == F.col(row) for line, row in supplied]
-    joined = lines.join(cols, same, "left").drop(*STOCK)
+    joined = lines.join(cols.hint("merge"), same, "left").drop(*STOCK)
     return joined.withColumn("ol_dist_info", pick_dist_info(F.col("d_id"))).drop(*dist)
 
 

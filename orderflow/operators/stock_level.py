@@ -58,7 +58,7 @@ def stock_level(
         {c: F.col(c).try_cast(held.schema[c].dataType) for c in ("w_id", "ol_i_id")}
     )
     counts = (
-        items.join(held, ["w_id", "ol_i_id"])
+        items.join(held.hint("merge"), ["w_id", "ol_i_id"])
         .groupBy("w_id", "d_id", "s_quantity")
         .agg(F.count(F.lit(1)).alias("n"))
         .groupBy("w_id", "d_id")

@@ -134,3 +134,12 @@ def test_same_result_on_one_partition(spark):
         return sorted(done.result.select("req_seq", "o_id", F.to_json("lines")).collect())
 
     assert answer(1) == answer(8)
+
+
+def test_catalogue_and_stock_are_not_broadcast(spark, capsys):
+    """Tables that look small as files are joined by merging, whatever their rows take in memory."""
+    t = tables(spark)
+    lines = spark.createDataFrame([(1, 1, 1, 1, 2)], "req_seq int, d_id int, ol_supply_w_id int, ol_i_id int, ol_quantity int")
+    no.brand_generic(no.price_lines(no.lookup_stock(no.lookup_item(lines, t["item"]), t["stock"]))).explain()
+    plan = capsys.readouterr().out
+    assert plan.count("SortMergeJoin") == 2 and "BroadcastHashJoin" not in plan
