@@ -166,22 +166,16 @@ def check_requests(
         "ol_dist_info",
         "s_found",
     ]
+    wrong = F.col("i_price").isNull() | F.col("s_found").isNull() | F.coalesce(F.col("ol_quantity") < 1, F.lit(True))
+    wrong &= F.col("ol_number").isNotNull()
+    # The first bad line is found apart, so that who asks for no lines carries none of their texts.
     gathered = lines.groupBy("req_seq").agg(
         F.array_sort(
             F.collect_list(F.when(F.col("ol_number").isNotNull(), F.struct(*line_cols)))
-        ).alias("lines")
+        ).alias("lines"),
+        F.min(F.when(wrong, F.struct(*line_cols[:7], "s_found"))).alias("bad"),
     )
     whole = head.drop("lines").join(gathered, "req_seq", "left")
-    bad = F.get(
-        F.filter(
-            "lines",
-            lambda x: x["i_price"].isNull()
-            | x["s_found"].isNull()
-            | F.coalesce(x["ol_quantity"] < 1, F.lit(True)),
-        ),
-        F.lit(0),
-    )
-    whole = whole.withColumn("bad", bad)
     no_item = F.col("bad.ol_number").isNotNull() & F.col("bad.i_price").isNull()
     no_stock = F.col("bad.ol_number").isNotNull() & F.col("bad.i_price").isNotNull()
     no_stock &= F.col("bad.s_found").isNull()
@@ -328,6 +322,8 @@ def _starts(parts: Column, part: str, start: Column, low: Column) -> Column:
 def scan_stock(steps: DataFrame, stock: DataFrame, fan: int = FAN, rows: int | None = None) -> DataFrame:
     """Every step with the quantity it saw and left: (s_w_id, s_i_id, req_seq, seen, after).
 
+    `steps` is read several times, so it should be a table or a short plan on one.
+
     The rule is not a sum, but it is composed of two that are. From a large quantity a row's orders
     are taken off until their running sum has used it up; from one under the reserve, every order
     refills. Either way the quantity of those first steps follows from running totals alone. What is
@@ -336,7 +332,9 @@ def scan_stock(steps: DataFrame, stock: DataFrame, fan: int = FAN, rows: int | N
     every quantity of that short range, outcomes are chained in groups of `fan` to find where each
     list starts, and the lists are then walked, each on its own.
     """
-    held = stock.select(*STOCK, F.col("s_quantity").alias("q0"))
+    wanted = stock_keys_like(steps.select(*STOCK).distinct(), stock)
+    # Written, so that the rows asked for tell their size: few are then broadcast, many are merged.
+    held = cut_lineage(stock.select(*STOCK, F.col("s_quantity").alias("q0")).hint("merge").join(wanted, STOCK))
     ranked = running(steps, STOCK, "req_seq", rank="__r", sums={"__upto": F.col("qty")}, rows=rows)
     started = stock_keys_like(ranked, stock).join(held, STOCK)
     refills = F.expr(f"({RESERVE + REFILL - 1} - q0) div {REFILL}")
@@ -366,7 +364,7 @@ def scan_stock(steps: DataFrame, stock: DataFrame, fan: int = FAN, rows: int | N
     )
     spans = spans.filter(F.col("__n") > 0).withColumn("high", F.col("__most") + (RESERVE + REFILL - 1))
     place = F.col("__r") - F.col("__first") - 1
-    lists = (
+    lists = cut_lineage(
         started.filter(rest)
         .drop("seen", "q0")
         .join(spans, STOCK)
@@ -396,8 +394,10 @@ def _walk_lists(lists: DataFrame, fan: int) -> DataFrame:
             lambda acc, s: F.transform(acc, lambda q: stock_rule(q, s["qty"]).cast("int")),
         ).alias("outcome"),
     )
-    groups = outcomes.groupBy(*STOCK, "q1", "high", "group").agg(
-        F.array_sort(F.collect_list(F.struct("list", "outcome"))).alias("parts")
+    groups = cut_lineage(
+        outcomes.groupBy(*STOCK, "q1", "high", "group").agg(
+            F.array_sort(F.collect_list(F.struct("list", "outcome"))).alias("parts")
+        )
     )
     group_starts = (
         groups.select(
@@ -433,11 +433,12 @@ def apply_stock_quantity(
     stock: DataFrame, placed: DataFrame, fan: int = FAN, rows: int | None = None
 ) -> DataFrame:
     """Stock with each row's quantity after all requests."""
-    last = (
-        scan_stock(stock_steps(placed), stock, fan, rows)
-        .groupBy(*STOCK)
-        .agg(F.max_by("after", "req_seq").alias("__left"))
-    )
+    return leave_stock(stock, scan_stock(stock_steps(placed), stock, fan, rows))
+
+
+def leave_stock(stock: DataFrame, scanned: DataFrame) -> DataFrame:
+    """Stock with the quantity that the last step of each row left."""
+    last = scanned.groupBy(*STOCK).agg(F.max_by("after", "req_seq").alias("__left"))
     return (
         stock.join(stock_keys_like(last, stock), STOCK, "left")
         .withColumn("s_quantity", F.coalesce("__left", "s_quantity"))
@@ -521,23 +522,22 @@ def order_line_rows(placed: DataFrame) -> DataFrame:
 def append_orders(
     tables: dict[str, DataFrame], placed: DataFrame, as_of: str
 ) -> dict[str, DataFrame]:
-    """oorder, new_order and order_line with the placed orders added, not yet delivered."""
+    """Those of oorder, new_order and order_line given, with the placed orders added, not yet delivered."""
     added = {
-        "oorder": order_rows(placed, as_of),
-        "new_order": new_order_rows(placed),
-        "order_line": order_line_rows(placed),
+        "oorder": lambda: order_rows(placed, as_of),
+        "new_order": lambda: new_order_rows(placed),
+        "order_line": lambda: order_line_rows(placed),
     }
     return {
-        name: tables[name].unionByName(conform_like(rows, tables[name]))
+        name: tables[name].unionByName(conform_like(rows(), tables[name]))
         for name, rows in added.items()
+        if name in tables
     }
 
 
-def order_results(
-    checked: DataFrame, numbered: DataFrame, stock: DataFrame, fan: int = FAN, rows: int | None = None
-) -> DataFrame:
+def order_results(checked: DataFrame, numbered: DataFrame, scanned: DataFrame) -> DataFrame:
     """Per request: status, order id, total and, for placed orders, each line with what it saw."""
-    seen = scan_stock(stock_steps(numbered), stock, fan, rows).select(
+    seen = scanned.select(
         F.col("s_w_id").alias("ol_supply_w_id"),
         F.col("s_i_id").alias("ol_i_id"),
         "req_seq",
@@ -592,14 +592,16 @@ def new_order(
     numbered = allocate_order_ids(placed, rows)
     if cut:
         numbered = cut_lineage(numbered)
-    stock = apply_stock_counters(
-        apply_stock_quantity(tables["stock"], placed, fan, rows), placed
-    )
+    steps = stock_steps(placed)
+    scanned = scan_stock(cut_lineage(steps) if cut else steps, tables["stock"], fan, rows)
+    if cut:
+        scanned = cut_lineage(scanned)
+    stock = apply_stock_counters(leave_stock(tables["stock"], scanned), placed)
     after = {
         **tables,
         "district": advance_next_order_id(tables["district"], placed),
         "stock": stock,
         **append_orders(tables, numbered, as_of),
     }
-    result = order_results(checked, numbered, tables["stock"], fan, rows)
+    result = order_results(checked, numbered, scanned)
     return Applied(after, result, failed_requests(checked))

@@ -144,8 +144,10 @@ def _steps(b):
     return cut_lineage(new_order.stock_steps(_placed(b)))
 
 
-def _numbered(b):
-    return new_order.allocate_order_ids(_placed(b))
+def _numbered(b, *extra: str):
+    """Placed requests with their order ids; those checked are written once, since ranks read them several times."""
+    cols = ["req_seq", "w_id", "d_id", "c_id", "d_next_o_id", "o_ol_cnt", "o_all_local", *extra]
+    return new_order.allocate_order_ids(cut_lineage(_placed(b).select(*cols)))
 
 
 @register(
@@ -273,8 +275,9 @@ def _(b):
 
 
 def _appended(b, name: str):
-    tables = b.tables("oorder", "new_order", "order_line")
-    return new_order.append_orders(tables, _numbered(b), AT)[name]
+    b = b.written()
+    numbered = _numbered(b, *(["lines"] if name == "order_line" else []))
+    return new_order.append_orders(b.tables(name), numbered, AT)[name]
 
 
 @register(
@@ -316,6 +319,7 @@ def _(b):
     "n.s_w_id = g.ol_supply_w_id and n.s_i_id = g.ol_i_id",
 )
 def _(b):
+    b = b.written()
     tables = b.tables(*NO_TABLES, "oorder", "new_order", "order_line")
     result = new_order.new_order(tables, b.new_order_req(), AT).result
     return result.select("*", F.explode_outer("lines").alias("x")).select(
