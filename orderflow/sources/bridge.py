@@ -280,8 +280,12 @@ class Bridge:
 
     @cache
     def stock(self) -> DataFrame:
-        """Every part in each of the five warehouses."""
-        p = self.raw("part").select(
+        """Every part in each of the five warehouses.
+
+        The parts are a short file, so they are dealt out before the rows and their texts are made of them.
+        """
+        tasks = int(self.spark.conf.get("spark.sql.shuffle.partitions"))
+        p = self.raw("part").select("p_partkey").repartition(tasks, "p_partkey").select(
             "p_partkey", F.explode(F.sequence(F.lit(1), F.lit(5))).alias("w")
         )
 

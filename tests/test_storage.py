@@ -330,3 +330,30 @@ def test_later_looks_read_only_what_changed(spark, tmp_path):
     kept = TableVersions(spark, str(tmp_path / "f"))
     held = {n for n in watch.NEEDED for v in (1, 2) if kept.holds(f"v={v}", n)}
     assert held == {"stock", "oorder"}
+
+
+def test_stock_is_made_in_as_many_tasks_as_a_shuffle_has(spark, tmp_path):
+    from orderflow.sources.bridge import Bridge
+
+    spark.range(20).selectExpr("id as p_partkey").coalesce(1).write.parquet(str(tmp_path / "part.parquet"))
+    stock = Bridge(spark, str(tmp_path)).stock()
+    assert stock.rdd.getNumPartitions() == int(spark.conf.get("spark.sql.shuffle.partitions"))
+    assert stock.count() == 100
+
+
+def test_a_table_is_computed_once_to_be_laid_out(spark, tmp_path):
+    import uuid
+
+    seen = spark.sparkContext.accumulator(0)
+
+    @F.udf("int")
+    def told(d):
+        seen.add(1)
+        return d
+
+    district = S.rows(spark, "district", *[S.district(d) for d in range(1, 6)])
+    db = f"once_{uuid.uuid4().hex}"
+    layout.save_layout({"district": district.withColumn("d_id", told.asNondeterministic()("d_id"))}, db, str(tmp_path / "db"))
+    assert seen.value == 5
+    assert layout.open_layout(spark, db, ["district"])["district"].count() == 5
+    spark.sql(f"DROP DATABASE {db} CASCADE")
