@@ -143,3 +143,21 @@ def test_catalogue_and_stock_are_not_broadcast(spark, capsys):
     no.brand_generic(no.price_lines(no.lookup_stock(no.lookup_item(lines, t["item"]), t["stock"]))).explain()
     plan = capsys.readouterr().out
     assert plan.count("SortMergeJoin") == 2 and "BroadcastHashJoin" not in plan
+
+
+def test_a_verdict_carries_no_texts(spark, capsys):
+    req = S.requests(spark, "new_order", S.order(1, (1, 1, 2), (9, 1, 2)), S.order(2, (1, 1, 2)))
+    checked = no.check_requests(tables(spark), req)
+    narrow = checked.select("req_seq", "status", "message")
+    narrow.explain()
+    plan = capsys.readouterr().out
+    assert "ol_dist_info" not in plan and "brand_generic" not in plan
+    assert narrow.collect() == checked.select("req_seq", "status", "message", "lines").drop("lines").collect()
+
+
+def test_stock_is_scanned_once_for_tables_and_results(spark, monkeypatch):
+    calls, scan = [], no.scan_stock
+    monkeypatch.setattr(no, "scan_stock", lambda *a, **k: calls.append(1) or scan(*a, **k))
+    req = S.requests(spark, "new_order", S.order(1, (1, 1, 2)))
+    no.new_order(tables(spark), req, AT)
+    assert len(calls) == 1
