@@ -7,7 +7,7 @@ import uuid
 from pyspark.sql import functions as F
 
 from ..operators import analytics, config, new_order, stock_level
-from ..session import checkpoint_root
+from ..session import checkpoint_root, cut_lineage
 from ..sources import csvfiles, layout, logs, schemas
 from ..sources.partitioned import PartitionedTables
 from ..sources.schemas import log_schema
@@ -88,7 +88,7 @@ def _(b):
 
 
 def _laid_out(b, *names: str) -> dict:
-    db = f"layout_{uuid.uuid4().hex}"
+    db, b = f"layout_{uuid.uuid4().hex}", b.written()
     layout.save_layout(b.tables(*names), db, scratch(b.spark))
     return layout.open_layout(b.spark, db, names)
 

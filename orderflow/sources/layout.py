@@ -6,6 +6,7 @@ from collections.abc import Iterable, Mapping, Sequence
 
 from pyspark.sql import DataFrame, SparkSession
 
+from ..session import cut_lineage
 from .schemas import TABLE_KEYS
 
 # The secondary orders looked up by.
@@ -66,7 +67,8 @@ def save_layout(
         if name in BUCKETED:
             save_bucketed(df, f"{db}.{name}", TABLE_KEYS[name], buckets)
         else:
-            ranged(df, CLUSTERED[name], files).write.format("parquet").saveAsTable(f"{db}.{name}")
+            # Ranges are cut from a sample taken beforehand, which would compute the table once more.
+            ranged(cut_lineage(df), CLUSTERED[name], files).write.format("parquet").saveAsTable(f"{db}.{name}")
 
 
 def open_layout(spark: SparkSession, db: str, names: Iterable[str]) -> dict[str, DataFrame]:
