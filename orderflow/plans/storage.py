@@ -142,9 +142,9 @@ def _feed(b, kind: str):
     """The three machine logs as one feed of two drops, split by a stream; the log of one kind."""
     path = scratch(b.spark)
     made = {
-        "sys_info": analytics.cpu_fractions(b.raw_cpu()),
-        "blk": analytics.blk_rates(b.raw_blk()),
-        "net": analytics.net_rates(b.raw_net()),
+        "sys_info": cut_lineage(analytics.cpu_fractions(cut_lineage(b.raw_cpu()))),
+        "blk": cut_lineage(analytics.blk_rates(cut_lineage(b.raw_blk()))),
+        "net": cut_lineage(analytics.net_rates(cut_lineage(b.raw_net()))),
     }
     for drop in range(2):
         for name, rows in made.items():
