@@ -302,7 +302,7 @@ def _(b):
     f"{_AT} as due from r_delivery r",
 )
 def _(b):
-    path = scratch(b.spark)
+    path, b = scratch(b.spark), b.written()
     apply.start_tables(b.spark, path, b.tables("new_order", "oorder", "order_line", "customer"))
     apply.enqueue_deliveries(b.delivery_req(), f"{path}/queue", AT)
     apply.drain_deliveries(b.spark, f"{path}/queue", path, f"{path}/cp", AT).awaitTermination()
