@@ -396,10 +396,10 @@ _FAULTY_STOCK = " union all ".join(
 )
 def _(b):
     """Three versions as a stream sees them: a sound one, and two with other stock rows doubled."""
-    path = scratch(b.spark)
+    path, b = scratch(b.spark), b.written()
     versions = TableVersions(b.spark, f"{path}/tables")
     versions.write(0, b.tables(*watch.NEEDED))
-    stock = b.tables("stock")["stock"]
+    stock = versions.read(["stock"])["stock"]
     for version, each in ((1, 7), (2, 11)):
         versions.write(version, {"stock": stock.union(stock.filter(F.col("s_i_id") % each == 0))})
     watch.watch_checks(
