@@ -141,6 +141,7 @@ def _(b):
 def _feed(b, kind: str):
     """The three machine logs as one feed of two drops, split by a stream; the log of one kind."""
     path = scratch(b.spark)
+    # Counters are read several times to become rates, and rates once per drop: both are written once.
     made = {
         "sys_info": cut_lineage(analytics.cpu_fractions(cut_lineage(b.raw_cpu()))),
         "blk": cut_lineage(analytics.blk_rates(cut_lineage(b.raw_blk()))),
