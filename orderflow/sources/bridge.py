@@ -246,7 +246,8 @@ class Bridge:
         ]
         lines = self.raw("lineitem").select("l_orderkey", *order)
         at = self.oo().select(F.col("ok").alias("l_orderkey"), "w", "d", "o_id", "pending")
-        number = F.row_number().over(Window.partitionBy("l_orderkey").orderBy(*order))
+        # Lines of an order key that is there twice are told apart by nothing but the order's id.
+        number = F.row_number().over(Window.partitionBy("l_orderkey").orderBy(*order, "o_id"))
         text = F.md5(F.concat_ws(":", F.lit("ol"), "l_orderkey", "l_partkey"))
         return lines.join(at, "l_orderkey").select(
             F.col("w").alias("ol_w_id"),
