@@ -108,8 +108,11 @@ def stock_keys_like(df: DataFrame, stock: DataFrame) -> DataFrame:
 
 def pick_dist_info(district: Column) -> Column:
     """The one of the ten district texts that belongs to the district."""
-    texts = F.array(*[F.col(f"s_dist_{n:02d}") for n in range(1, 11)])
-    return F.get(texts, district - 1)
+    # A case and no array, which would copy all ten texts for each line.
+    picked = F.when(district == 1, F.col("s_dist_01"))
+    for n in range(2, 11):
+        picked = picked.when(district == n, F.col(f"s_dist_{n:02d}"))
+    return picked
 
 
 def price_lines(lines: DataFrame) -> DataFrame:
@@ -536,7 +539,10 @@ def append_orders(
 
 
 def order_results(checked: DataFrame, numbered: DataFrame, scanned: DataFrame) -> DataFrame:
-    """Per request: status, order id, total and, for placed orders, each line with what it saw."""
+    """Per request: status, order id, total and, for placed orders, each line with what it saw.
+
+    Lines are taken from `checked`, so `numbered` may come without them.
+    """
     seen = scanned.select(
         F.col("s_w_id").alias("ol_supply_w_id"),
         F.col("s_i_id").alias("ol_i_id"),
@@ -556,7 +562,7 @@ def order_results(checked: DataFrame, numbered: DataFrame, scanned: DataFrame) -
         "ol_amount",
     ]
     lines = (
-        placed_lines(numbered)
+        placed_lines(placed_requests(checked))
         .join(seen, ["req_seq", "ol_supply_w_id", "ol_i_id"], "left")
         .groupBy("req_seq")
         .agg(F.array_sort(F.collect_list(F.struct(*cols))).alias("lines"))
@@ -587,11 +593,15 @@ def new_order(
     """Apply all requests. With `cut`, the checked requests are written once for all outputs."""
     checked = check_requests(tables, req, max_item)
     if cut:
-        checked = cut_lineage(checked)
+        checked = cut_lineage(checked.withColumn("__row", F.monotonically_increasing_id()))
     placed = placed_requests(checked)
-    numbered = allocate_order_ids(placed, rows)
     if cut:
-        numbered = cut_lineage(numbered)
+        # Ranked without their lines, which whoever reads them finds again by the written row's number.
+        narrow = [c for c in placed.columns if c != "lines"]
+        heads = cut_lineage(allocate_order_ids(placed.select(*narrow), rows))
+        numbered = heads.join(placed.select("__row", "lines"), "__row").drop("__row")
+    else:
+        heads = numbered = allocate_order_ids(placed, rows)
     steps = stock_steps(placed)
     scanned = scan_stock(cut_lineage(steps) if cut else steps, tables["stock"], fan, rows)
     if cut:
@@ -603,5 +613,5 @@ def new_order(
         "stock": stock,
         **append_orders(tables, numbered, as_of),
     }
-    result = order_results(checked, numbered, scanned)
+    result = order_results(checked, heads, scanned)
     return Applied(after, result, failed_requests(checked))

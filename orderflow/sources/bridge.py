@@ -166,9 +166,9 @@ class Bridge:
 
     @cache
     def district(self) -> DataFrame:
-        by = self.oo().groupBy(*PLACE).agg(
-            F.sum(self._h_amount()).alias("paid"), F.max("o_id").alias("last")
-        )
+        # Order ids of a place count from 1, so its last one is the number of its orders; none is ranked for it.
+        paid = self.placed().select(*PLACE, _cents("o_totalprice").alias("cents"))
+        by = paid.groupBy(*PLACE).agg(F.sum(self._h_amount()).alias("paid"), F.count(F.lit(1)).alias("last"))
         return self.dist().join(by, PLACE, "left").select(
             F.col("w").alias("d_w_id"),
             F.col("d").alias("d_id"),
@@ -337,7 +337,9 @@ class Bridge:
     @cache
     def new_order_req(self) -> DataFrame:
         parts = self.raw("part").agg(F.count(F.lit(1)).alias("n")).scalar()
-        req = self._picked(self._events("purchase"), "w_id", "d_id")
+        # Requests are few bytes, which would leave all lines made of them to a task or two.
+        tasks = int(self.spark.conf.get("spark.sql.shuffle.partitions"))
+        req = self._picked(self._events("purchase"), "w_id", "d_id").repartition(tasks, "req_seq")
         e = F.col("req_seq")
         sized = req.withColumn("n", (e % 11 + 5).cast("int")).withColumn("parts", parts)
 
@@ -493,7 +495,7 @@ class Bridge:
 
 
 class Written(Bridge):
-    """Views over places and order ids that are written when first asked for, for the length of one query."""
+    """Views over places, order ids and new orders that are written when first asked for, for the length of one query."""
 
     @cache
     def ranked_buyers(self) -> DataFrame:
@@ -510,3 +512,7 @@ class Written(Bridge):
     @cache
     def district(self) -> DataFrame:
         return cut_lineage(super().district())
+
+    @cache
+    def new_order_req(self) -> DataFrame:
+        return cut_lineage(super().new_order_req())

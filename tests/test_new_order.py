@@ -161,3 +161,46 @@ def test_stock_is_scanned_once_for_tables_and_results(spark, monkeypatch):
     req = S.requests(spark, "new_order", S.order(1, (1, 1, 2)))
     no.new_order(tables(spark), req, AT)
     assert len(calls) == 1
+
+
+def test_orders_are_ranked_without_their_lines(spark, monkeypatch):
+    """Also where a request number comes twice, the order lines are those of the orders."""
+    ranked, allocate = [], no.allocate_order_ids
+    monkeypatch.setattr(no, "allocate_order_ids", lambda df, *a: ranked.append(df.columns) or allocate(df, *a))
+    orders = [S.order(1, (1, 1, 2), (2, 1, 3)), S.order(2, (3, 1, 1), d=2), S.order(2, (4, 1, 1)), S.order(3, (9, 1, 2))]
+    req = S.requests(spark, "new_order", *orders)
+    t = tables(spark) | {n: S.rows(spark, n) for n in ("oorder", "new_order", "order_line")}
+    got, plain = (no.new_order(t, req, AT, cut=cut) for cut in (True, False))
+    assert "lines" not in ranked[0]
+    for name in ("oorder", "new_order", "order_line"):
+        assert got.tables[name].columns == plain.tables[name].columns
+        assert sorted(map(str, got.tables[name].collect())) == sorted(map(str, plain.tables[name].collect()))
+    assert got.tables["order_line"].count() > 0
+    assert got.result.columns == plain.result.columns
+    assert sorted(map(str, got.result.collect())) == sorted(map(str, plain.result.collect()))
+
+
+def test_a_result_numbers_no_old_order(spark, monkeypatch, tmp_path):
+    from orderflow.plans import REGISTRY
+    from orderflow.sources.bridge import Bridge
+
+    given = {
+        "nation": [(0, "N", 0)],
+        "region": [(0, "R")],
+        "customer": [(k, f"C{k}", 0, 1.0, "M") for k in range(3)],
+        "part": [(k, f"p{k}", "b", "t", 1, 2.5) for k in range(4)],
+        "orders": [(k, k % 3, "O", 10.0, None, "1") for k in range(5)],
+        "lineitem": [],
+        "events": [(5 * k, None, 5, "purchase", 1.0, "") for k in range(4)],
+    }
+    from orderflow.sources.bridge import GIVEN
+
+    for name, some in given.items():
+        spark.createDataFrame(some, GIVEN[name]).write.parquet(str(tmp_path / f"{name}.parquet"))
+
+    def ranks(self):
+        raise AssertionError("old orders are ranked")
+
+    monkeypatch.setattr(Bridge, "oo", ranks)
+    found = REGISTRY["no_result"].run(spark, str(tmp_path)).collect()
+    assert {r["o_id"] for r in found if r["status"] == no.PLACED} == {6, 7, 8}
