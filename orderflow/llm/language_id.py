@@ -13,7 +13,6 @@ from collections.abc import Iterator
 from dataclasses import dataclass
 
 import numpy as np
-import pandas as pd
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -21,7 +20,7 @@ from pyspark.sql.types import StructType
 
 from .bytetext import raw, slices
 from .cuts import unused
-from .workers import map_batches, ship
+from .workers import give_back, map_batches, ship
 
 #: Labelled texts a model is fitted on, over all languages; each language has an equal share.
 SAMPLE = 6_000
@@ -65,7 +64,9 @@ def features(data: np.ndarray, at: np.ndarray) -> np.ndarray:
     row = np.repeat(np.arange(rows), np.diff(at))
     counts = np.bincount(row * CELLS + cell, minlength=rows * CELLS).reshape(rows, CELLS)
     size = np.maximum(np.diff(at), 1)
-    return np.sqrt(counts / size[:, None]).astype(np.float32)
+    shares = counts / size[:, None]
+    del counts
+    return np.sqrt(shares, out=shares).astype(np.float32)
 
 
 def few(at: np.ndarray) -> Iterator[tuple[int, int]]:
@@ -135,14 +136,21 @@ def fit(
     draw = F.pmod(F.xxhash64("doc", "text"), F.lit(1 << 24)) / float(1 << 24)
     chosen = known.filter(draw < keep).select("lang", "text")
 
-    def fit_place(key, rows):
-        place = key[0]
-        table = pa.array(rows["text"], pa.large_string())
-        body, at = raw(table)
-        x = np.empty((len(table), CELLS), np.float32)
-        for a, b in few(at):
-            x[a:b] = features(body[at[a] : at[b]], at[a : b + 1] - at[a])
-        index = rows["lang"].map({k: i for i, k in enumerate(languages)}).to_numpy()
+    def fit_place(key: tuple[pa.Scalar, ...], rows: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        place = key[0].as_py()
+        # Texts pass by in batches; only their features stay. Pages of the table that no row reaches take no memory.
+        x, named = np.empty((2 * sample, CELLS), np.float32), []
+        for batch in rows:
+            body, at = raw(batch.column("text"))
+            begin = len(named)
+            named += batch.column("lang").to_pylist()
+            if len(named) > len(x):
+                x = np.concatenate([x[:begin], np.empty((max(begin, batch.num_rows), CELLS), np.float32)])
+            for a, b in few(at):
+                x[begin + a : begin + b] = features(body[at[a] : at[b]], at[a : b + 1] - at[a])
+        x = x[: len(named)]
+        number = {k: i for i, k in enumerate(languages)}
+        index = np.array([number[k] for k in named])
         sign = code[index, place].astype(np.float32)
         n = np.bincount(index, minlength=len(languages))
         weight = 1.0 / n[index]
@@ -152,22 +160,26 @@ def fit(
         w, b = _fit_place(x, sign, weight)
         right = (sign * (x @ w + b)) > 0
         hits = np.bincount(index, right, minlength=len(languages)) / np.maximum(n, 1)
-        return pd.DataFrame({"place": [place], "w": [w.astype(float)], "b": [b], "hits": [hits]})
+        del x
+        give_back()
+        yield pa.RecordBatch.from_pydict(
+            {"place": pa.array([place], pa.int32()), "w": [w.astype(float)], "b": [b], "hits": [hits]}
+        )
 
     ship(docs.sparkSession)
     fitted = (
         chosen.withColumn("place", F.explode(F.array(*map(F.lit, range(places)))))
         .groupBy("place")
-        .applyInPandas(fit_place, "place int, w array<double>, b double, hits array<double>")
-        .toPandas()
-        .sort_values("place")
+        .applyInArrow(fit_place, "place int, w array<double>, b double, hits array<double>")
+        .toArrow()
+        .sort_by("place")
     )
-    trust = np.array(fitted["hits"].tolist()).T + 1e-6
+    trust = np.array(fitted["hits"].to_pylist()).T + 1e-6
     return Model(
         languages,
         code,
         trust / trust.sum(1, keepdims=True),
-        np.array(fitted["w"].tolist(), np.float32).T,
+        np.array(fitted["w"].to_pylist(), np.float32).T,
         fitted["b"].to_numpy(),
     )
 

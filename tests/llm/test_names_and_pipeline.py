@@ -61,3 +61,39 @@ def test_pipeline(spark, tmp_path, empty):
         assert found[i]["n_tokens"] == len(ids)
         assert found[i]["ids_sha256"] == hashlib.sha256(np.array(ids, "<u4").tobytes()).hexdigest()
         assert found[i]["decoded_sha256"] == hashlib.sha256(text.encode()).hexdigest()
+
+
+def test_texts_that_lose_no_line_are_not_shuffled(spark, monkeypatch):
+    """Joined by size or merged, the same rows; those merged are the marked ones."""
+    from orderflow.llm import cuts, line_dedup
+
+    own = [(k, prose(k, 40), "xx", "s", None) for k in range(200)]
+    again = [(1000 + k, prose(k, 40) + "\n" + prose(2000 + k, 10), "xx", "s", 5) for k in range(0, 40, 2)]
+    odd = [(None, prose(7, 40) + "\n" + prose(5000, 9), "xx", "s", 5), (3, None, "xx", "s", None), (5000, "", "xx", "s", 0)]
+    docs = spark.createDataFrame([*own, *again, *odd], SCHEMA)
+    decided = near_lines(docs).cache()
+    small = sorted(map(str, without_repeats(docs, decided).collect()))
+    monkeypatch.setattr(line_dedup, "by_size", lambda df: df)
+    large = without_repeats(docs, decided)
+    assert sorted(map(str, large.collect())) == small and len(small) == 222
+    cut = [r for r in large.collect() if (r["doc_id"] or 0) >= 1000 and r["text"]]
+    assert all(r["n_chars"] == len(r["text"]) and "\n" not in r["text"] for r in cut) and len(cut) == 20
+    gone = decided.filter("not kept").select("doc_id").distinct()
+    told = cuts.marked(docs, F.col("doc_id"), gone, "loses", 16)
+    lost = {r["doc_id"] for r in gone.collect()}
+    marked = {r["doc_id"] for r in told.filter("loses").collect()}
+    assert lost <= marked and len(marked) < len(lost) + 60
+    assert told.count() == docs.count()
+
+
+def test_language_fit_takes_arrow_batches(spark):
+    """No task holds the texts as a pandas table, and more texts than were asked for have room."""
+    assert "pandas" not in vars(language_id) and "pd" not in vars(language_id)
+    spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", "7")
+    try:
+        docs = spark.createDataFrame(rows(), SCHEMA)
+        few = language_id.fit(docs.union(docs).union(docs), sample=10)
+        full = language_id.fit(docs)
+    finally:
+        spark.conf.unset("spark.sql.execution.arrow.maxRecordsPerBatch")
+    assert few.languages == full.languages == ["xx", "yy"] and full.weights.shape == (language_id.CELLS, 1)
