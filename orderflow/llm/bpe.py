@@ -4,36 +4,124 @@ Each word is first cut greedily into the longest tokens. That is the exact resul
 every token alone and every two neighbours would come out as they are when merged by rank, so all
 neighbours of all new words are looked up at once among the judged pairs; pairs not seen before
 are judged by merging just the two. Only the words that fail are merged exactly, in the order of
-the ranks.
+the ranks. All three steps work on arrays of all new words together.
 """
 
 from __future__ import annotations
 
 import heapq
 import json
-from array import array
 from functools import lru_cache
-from itertools import chain, pairwise
+from itertools import pairwise
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 import regex
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .bytetext import raw, slices
+from .bytetext import raw, repeat_index, slices
 from .workers import map_batches
 
-# Fixed value: how the byte-level scheme splits text into words before any merge.
+# Fixed value: how the byte-level scheme splits text into words before any merge (`split_words`).
 WORDS = regex.compile(
     r"'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"
 )
 #: Words whose tokens a task remembers before it starts anew (about 40 MB), and judged pairs.
 REMEMBERED = 200_000
+#: Bytes of text worked on together: the more, the fewer times a word is looked up.
+TEXT_BYTES = 1 << 21
 #: Longer words are merged with a queue.
 SHORT = 64
 _NONE = 1 << 62
 _TOKEN = (1 << 32) - 1
+_ODD = np.uint64(0x9E3779B97F4A7C15)
+
+_LETTER, _NUMBER, _SPACE, _OTHER, _UNKNOWN = range(5)
+#: What each code point is to `WORDS`, found out when it is first met.
+_kinds = np.full(0x110000, _UNKNOWN, np.uint8)
+_ONE_MORE = np.frombuffer(b"stmd", np.uint8)
+_TWO_MORE = ("re", "ve", "ll")
+
+
+def _kinds_of(points: np.ndarray) -> np.ndarray:
+    kinds = _kinds[points]
+    if (kinds == _UNKNOWN).any():
+        for point in np.unique(points[kinds == _UNKNOWN]).tolist():
+            found = regex.match(r"(\p{L})|(\p{N})|(\s)|", chr(point)).lastindex
+            _kinds[point] = found - 1 if found else _OTHER
+        kinds = _kinds[points]
+    return kinds
+
+
+def split_words(data: np.ndarray, at: np.ndarray) -> np.ndarray:
+    """Where the words of a slice of texts start, as `WORDS` finds them in each text; `at` are the texts' offsets."""
+    n = len(data)
+    if not n:
+        return np.zeros(0, np.int64)
+    heads, points, edges = None, data, at
+    if data.max() > 127:
+        heads = np.flatnonzero((data & 0xC0) != 0x80)
+        points = np.frombuffer(data.tobytes().decode().encode("utf-32-le"), "<u4")
+        n, edges = len(points), np.searchsorted(heads, at)
+    kinds = _kinds_of(points)
+    edge = np.zeros(n + 3, bool)
+    edge[edges] = True
+    edge[n:] = True
+    start = edge.copy()
+    start[1:n] |= kinds[1:] != kinds[:-1]
+    # The last blank before other characters is a word of its own, or goes with them if it is a space.
+    after = np.flatnonzero((kinds[:-1] == _SPACE) & (kinds[1:] != _SPACE) & ~edge[1:n]) + 1
+    start[after - 1] = True
+    start[after] = points[after - 1] != 32
+    # An apostrophe that begins a word takes the letters of a contraction, and no more of them.
+    mark = np.flatnonzero((points == 39) & start[:n])
+    if len(mark):
+        one, two = (np.append(points, (0, 0))[mark + k] for k in (1, 2))
+        inside = ~edge[mark + 1]
+        short = inside & np.isin(one, _ONE_MORE)
+        long = np.zeros(len(mark), bool)
+        for x, y in _TWO_MORE:
+            long |= (one == ord(x)) & (two == ord(y))
+        long &= inside & ~edge[mark + 2]
+        start[mark[short | long] + 1] = False
+        start[mark[short] + 2] = True
+        start[mark[long] + 3] = True
+    found = np.flatnonzero(start[:n])
+    return found if heads is None else heads[found]
+
+
+class _Lookup:
+    """Whole numbers by distinct keys from 0 on, for many keys at a time: open addressing in arrays."""
+
+    def __init__(self, keys: np.ndarray, values: np.ndarray):
+        bits = max(4, (4 * len(keys)).bit_length())
+        self.shift, self.mask = np.uint64(64 - bits), (1 << bits) - 1
+        self.keys, self.values = np.full(1 << bits, -1, np.int64), np.zeros(1 << bits, np.int64)
+        place = self._place(keys)
+        while len(keys):
+            free = self.keys[place] < 0
+            self.keys[place[free]] = keys[free]
+            mine = self.keys[place] == keys
+            self.values[place[mine]] = values[mine]
+            keys, values, place = keys[~mine], values[~mine], place[~mine] + 1 & self.mask
+
+    def _place(self, keys: np.ndarray) -> np.ndarray:
+        return (keys.view(np.uint64) * _ODD >> self.shift).view(np.int64)
+
+    def get(self, keys: np.ndarray, none: int) -> np.ndarray:
+        place = self._place(keys)
+        held = self.keys[place]
+        out = np.where(held == keys, self.values[place], none)
+        left = np.flatnonzero((held != keys) & (held >= 0))
+        while len(left):
+            place[left] = place[left] + 1 & self.mask
+            held = self.keys[place[left]]
+            found = held == keys[left]
+            out[left[found]] = self.values[place[left[found]]]
+            left = left[~found & (held >= 0)]
+        return out
 
 
 def byte_letters() -> dict[str, int]:
@@ -69,39 +157,81 @@ class Vocabulary:
             else None
         )
         self.id_of = {self.bytes_of[n]: n for t, n in ids.items() if t not in added}
-        self.of_byte = [self.id_of[bytes([b])] for b in range(256)]
+        self.of_byte = np.array([self.id_of[bytes([b])] for b in range(256)])
         #: Both tokens in one number to the rank and the new token in one number.
         self.merges: dict[int, int] = {}
         for rank, pair in enumerate(spec["model"]["merges"]):
             left, right = pair.split(" ") if isinstance(pair, str) else pair
             self.merges[ids[left] << 32 | ids[right]] = rank << 32 | ids[left + right]
-        #: The longest token that begins with these three bytes.
-        self.longest: dict[bytes, int] = {}
-        for token in self.id_of:
-            if len(token) > 2:
-                self.longest[token[:3]] = max(self.longest.get(token[:3], 0), len(token))
-        self.judged: dict[int, bool] = {}
-        self.words: dict[str, bytes] = {}
-
-    def merged(self, word: bytes) -> list[int]:
-        """The exact result: merge the pair of least rank, the leftmost first, until none is left."""
-        ids = [self.of_byte[b] for b in word]
-        if len(ids) > SHORT:
-            return self._merged_long(ids)
-        rule = self.merges.get
-        ranks = [rule(a << 32 | b, _NONE) for a, b in pairwise(ids)]
-        while ranks:
-            best = min(ranks)
-            if best == _NONE:
-                break
-            k = ranks.index(best)
-            ids[k : k + 2] = [best & _TOKEN]
-            del ranks[k]
-            if k:
-                ranks[k - 1] = rule(ids[k - 1] << 32 | ids[k], _NONE)
-            if k < len(ranks):
-                ranks[k] = rule(ids[k] << 32 | ids[k + 1], _NONE)
-        return ids
+        self.rules = _Lookup(*(np.fromiter(x, np.int64, len(self.merges)) for x in (self.merges, self.merges.values())))
+        self._plant()
+        self.texts = pa.array(self.bytes_of, pa.binary())
+        self.forget()
+
+    def _plant(self) -> None:
+        """The tokens as a tree by their bytes; node b + 1 is byte b, and a token lies at its node or -1."""
+        below: dict[int, int] = {b: b + 1 for b in range(256)}
+        token_at = {0: -1}
+        for token, number in self.id_of.items():
+            node = 0
+            for byte in token:
+                node = below.setdefault(node << 8 | byte, len(below) + 1)
+            token_at[node] = number
+        self.below = _Lookup(*(np.fromiter(x, np.int64, len(below)) for x in (below, below.values())))
+        self.token_at = np.full(len(below) + 1, -1)
+        self.token_at[list(token_at)] = list(token_at.values())
+
+    def merged(self, body: np.ndarray, at: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """The exact results for the words at `at`: merge the pair of least rank, the leftmost first, until none is left.
+
+        Each round does the next merge of every word that still has one. Gives all tokens and how many a word has.
+        """
+        size = np.diff(at)
+        parts: list[tuple[np.ndarray, np.ndarray, np.ndarray]] = []
+        for k in np.flatnonzero(size > SHORT).tolist():
+            ids = np.array(self._merged_long(self.of_byte[body[at[k] : at[k + 1]]].tolist()))
+            parts.append((np.array([k]), np.array([len(ids)]), ids))
+        which = np.flatnonzero((size > 0) & (size <= SHORT))
+        count = size[which]
+        ids = self.of_byte[body[np.repeat(at[which], count) + repeat_index(count)]]
+        start = np.cumsum(count) - count
+        codes = np.full(len(ids), _NONE)
+        inner = np.ones(len(ids), bool)
+        inner[start + count - 1] = False
+        inner = np.flatnonzero(inner)
+        codes[inner] = self._rule(ids, inner)
+        while len(which):
+            best = np.minimum.reduceat(codes, start)
+            done = best == _NONE
+            if done.any():
+                over = np.repeat(done, count)
+                parts.append((which[done], count[done], ids[over]))
+                ids, codes, which, count, best = ids[~over], codes[~over], which[~done], count[~done], best[~done]
+                if not len(which):
+                    break
+                start = np.cumsum(count) - count
+            hits = np.flatnonzero(codes == np.repeat(best, count))
+            first = hits[np.searchsorted(hits, start)]
+            ids[first] = best & _TOKEN
+            stay = np.ones(len(ids), bool)
+            stay[first + 1] = False
+            ids, codes = ids[stay], codes[stay]
+            gone = np.arange(len(first))
+            first, start, count = first - gone, start - gone, count - 1
+            codes[first] = _NONE
+            for pairs in (first[first < start + count - 1], first[first > start] - 1):
+                codes[pairs] = self._rule(ids, pairs)
+        number = np.zeros(len(size), np.int64)
+        for which, count, _ in parts:
+            number[which] = count
+        start, flat = np.cumsum(number) - number, np.zeros(int(number.sum()), np.int64)
+        for which, count, ids in parts:
+            flat[np.repeat(start[which], count) + repeat_index(count)] = ids
+        return flat, number
+
+    def _rule(self, ids: np.ndarray, at: np.ndarray) -> np.ndarray:
+        """Rank and new token of each token at `at` with the one after it."""
+        return self.rules.get(ids[at] << 32 | ids[at + 1], _NONE)
 
     def _merged_long(self, ids: list[int]) -> list[int]:
         """The same with a queue, for words in which looking for the least rank would be slow."""
@@ -130,33 +260,51 @@ class Vocabulary:
                 offer(before[k])
         return [x for x in ids if x >= 0]
 
-    def longest_match(self, word: bytes) -> list[int]:
-        out, at, end = [], 0, len(word)
-        find, longest = self.id_of.get, self.longest.get
-        while at < end:
-            size = min(longest(word[at : at + 3], 2), end - at)
-            while (one := find(word[at : at + size])) is None:
-                size -= 1
-            out.append(one)
-            at += size
-        return out
+    def longest_match(self, data: np.ndarray, at: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """The tokens of words that lie at `at` in `data`, each the longest that fits, and how many a word has."""
+        ends = np.repeat(at[1:], np.diff(at))
+        places, node, depth = np.arange(len(data)), data.astype(np.int64) + 1, 1
+        token, size = self.of_byte[data], np.ones(len(data), np.int64)
+        while len(places):
+            inside = places + depth < ends[places]
+            places, node = places[inside], node[inside]
+            node = self.below.get(node << 8 | data[places + depth], -1)
+            places, node = places[node >= 0], node[node >= 0]
+            depth += 1
+            here = self.token_at[node]
+            longer = here >= 0
+            token[places[longer]], size[places[longer]] = here[longer], depth
+        begins = np.zeros(len(data), bool)
+        now, end = at[:-1], at[1:]
+        while len(now):
+            begins[now] = True
+            now = now + size[now]
+            now, end = now[now < end], end[now < end]
+        return token[begins], np.add.reduceat(begins, at[:-1], dtype=np.int64)
 
     def _stands(self, pairs: np.ndarray) -> np.ndarray:
         """Whether each coded pair, or token alone coded with no right one, is what merging gives."""
         asked, where = np.unique(pairs, return_inverse=True)
-        codes = asked.tolist()
-        for code in set(codes).difference(self.judged):
-            right, left = (code & _TOKEN) - 1, code >> 32
-            tokens = [left] if right < 0 else [left, right]
-            self.judged[code] = self.merged(b"".join(self.bytes_of[t] for t in tokens)) == tokens
-        return np.fromiter(map(self.judged.__getitem__, codes), bool, len(codes))[where]
-
-    def learn(self, words: list[str]) -> None:
+        new = asked[~_held(asked, self.judged)]
+        if len(new):
+            tokens = np.stack([new >> 32, (new & _TOKEN) - 1], 1).reshape(-1)
+            number = 1 + (tokens[1::2] >= 0)
+            body, at = raw(self.texts.take(pa.array(tokens[tokens >= 0])))
+            flat, count = self.merged(body, at[np.append(0, np.cumsum(number))])
+            last = np.cumsum(count) - 1
+            # With as many tokens as there were, the first and the last are all of them.
+            same = (count == number) & (flat[last - count + 1] == tokens[::2])
+            same &= (number == 1) | (flat[last] == tokens[1::2])
+            self.judged, self.sound = np.append(self.judged, new), np.append(self.sound, same)
+            order = np.argsort(self.judged, kind="stable")
+            self.judged, self.sound = self.judged[order], self.sound[order]
+        return self.sound[np.searchsorted(self.judged, asked)][where]
+
+    def learn(self, words: pa.Array) -> None:
         """Find and remember the tokens of new words, all together."""
-        encoded = [w.encode() for w in words]
-        guesses = [self.longest_match(w) for w in encoded]
-        count = np.fromiter(map(len, guesses), np.int64, len(guesses))
-        flat = np.fromiter(chain.from_iterable(guesses), np.int64, int(count.sum()))
+        body, at = raw(words)
+        body, at = body[at[0] : at[-1]], at - at[0]
+        flat, count = self.longest_match(body, at)
         last = np.cumsum(count) - 1
         follows = np.append(flat[1:], -1)
         follows[last] = -1
@@ -165,47 +313,99 @@ class Vocabulary:
         asked[last] = count == 1
         stands = np.ones(len(flat), bool)
         stands[asked] = self._stands((flat[asked] << 32) + follows[asked] + 1)
-        right = np.minimum.reduceat(stands, last - count + 1).tolist()
-        body, ends = flat.astype("<u4").tobytes(), (4 * (last + 1)).tolist()
-        begin = 0
-        for word, text, end, ok in zip(words, encoded, ends, right, strict=True):
-            self.words[word] = body[begin:end] if ok else array("I", self.merged(text)).tobytes()
-            begin = end
+        right = np.minimum.reduceat(stands, last - count + 1)
+        wrong = np.flatnonzero(~right)
+        size = np.diff(at)[wrong]
+        exact, number = self.merged(
+            body[np.repeat(at[wrong], size) + repeat_index(size)], np.append(0, np.cumsum(size))
+        )
+        total = count.copy()
+        total[wrong] = number
+        tokens, own = np.zeros(int(total.sum()), "<u4"), np.repeat(right, total)
+        tokens[own], tokens[~own] = flat[np.repeat(right, count)], exact
+        ids = _joined(pa.binary(), tokens.view(np.uint8), np.append(0, 4 * np.cumsum(total)))
+        self.words, self.ids = pa.concat_arrays([self.words, words]), pa.concat_arrays([self.ids, ids])
 
     def forget(self) -> None:
         """Drop what was learned of words and pairs."""
-        self.words.clear()
-        self.judged.clear()
+        self.words = self.ids = pa.array([], pa.binary())
+        self._forget_pairs()
+
+    def _forget_pairs(self) -> None:
+        self.judged, self.sound = np.zeros(0, np.int64), np.zeros(0, bool)
 
-    def _plain(self, texts: list[str]) -> list[bytes]:
-        pieces = [WORDS.findall(t) for t in texts]
+    def _plain(self, data: np.ndarray, at: np.ndarray) -> pa.Array:
+        if not len(data):
+            return _joined(pa.binary(), data, at)
+        begin = split_words(data, at)
+        words = _joined(pa.binary(), data, np.append(begin, len(data))).dictionary_encode()
         if len(self.words) > REMEMBERED:
-            self.words.clear()
+            self.words = self.ids = pa.array([], pa.binary())
         if len(self.judged) > REMEMBERED:
-            self.judged.clear()
-        new = set().union(*pieces).difference(self.words)
-        if new:
-            self.learn(list(new))
-        known = self.words.__getitem__
-        return [b"".join(map(known, words)) for words in pieces]
+            self._forget_pairs()
+        place = pc.index_in(words.dictionary, self.words)
+        if place.null_count:
+            known = len(self.words)
+            self.learn(words.dictionary.filter(place.is_null()))
+            new = place.is_null().to_numpy(zero_copy_only=False)
+            place = place.fill_null(0).to_numpy().copy()
+            place[new] = np.arange(known, len(self.words))
+            place = pa.array(place)
+        body, ends = raw(self.ids.take(place.take(words.indices)))
+        return _joined(pa.binary(), body, ends[np.searchsorted(begin, at)])
+
+    def encode_all(self, texts: pa.Array) -> pa.Array:
+        """Ids of each text as little-endian unsigned 32-bit integers; a null has none."""
+        data, at = raw(texts)
+        data, at = data[at[0] : at[-1]], at - at[0]
+        body = data.tobytes() if self.special else b""
+        if not any(special.encode() in body for special in self.special):
+            return self._plain(data, at)
+        parts = [self.split.split(text or "") for text in texts.to_pylist()]
+        plain = self._plain(*raw(pa.array([x for some in parts for x in some[::2]], pa.string()))).to_pylist()
+        out, low = [], 0
+        for some in parts:
+            ids = [b"".join((x, y)) for x, y in zip(
+                plain[low:], [*(np.uint32(self.special[s]).astype("<u4").tobytes() for s in some[1::2]), b""], strict=False
+            )]
+            out.append(b"".join(ids))
+            low += len(some[::2])
+        return pa.array(out, pa.binary())
 
     def encode(self, texts: list[str]) -> list[bytes]:
         """Ids of each text as little-endian unsigned 32-bit integers."""
-        if self.split is None or not any(s in t for s in self.special for t in texts):
-            return self._plain(texts)
-        out = []
-        for text in texts:
-            parts = self.split.split(text)
-            ids = self._plain(parts[::2])
-            for k, special in enumerate(parts[1::2]):
-                ids[k] += np.uint32(self.special[special]).astype("<u4").tobytes()
-            out.append(b"".join(ids))
-        return out
+        return self.encode_all(pa.array(texts, pa.string())).to_pylist()
+
+    def decode_all(self, ids: pa.Array) -> pa.Array:
+        """The texts of ids; bytes that are no UTF-8 become the replacement character."""
+        body, at = raw(ids)
+        tokens = np.frombuffer(body[at[0] : at[-1]].tobytes(), "<u4")
+        body, ends = raw(self.texts.take(pa.array(tokens)))
+        at = ends[(at - at[0]) // 4]
+        texts = _joined(pa.string(), body, at)
+        try:
+            texts.validate(full=True)
+        except pa.ArrowInvalid:
+            data = body.tobytes()
+            texts = pa.array([data[low:high].decode("utf-8", "replace") for low, high in pairwise(at.tolist())], pa.string())
+        return texts
 
     def decode(self, ids: bytes) -> str:
         """The text of ids; bytes that are no UTF-8 become the replacement character."""
-        body = b"".join(map(self.bytes_of.__getitem__, np.frombuffer(ids, "<u4").tolist()))
-        return body.decode("utf-8", "replace")
+        return self.decode_all(pa.array([ids], pa.binary()))[0].as_py()
+
+
+def _held(asked: np.ndarray, of: np.ndarray) -> np.ndarray:
+    """Which of `asked` are among the sorted numbers `of`."""
+    place = np.searchsorted(of, asked)
+    held = place < len(of)
+    held[held] = of[place[held]] == asked[held]
+    return held
+
+
+def _joined(kind: pa.DataType, body: np.ndarray, at: np.ndarray) -> pa.Array:
+    """Texts or binaries that lie one after another in `body`."""
+    return pa.Array.from_buffers(kind, len(at) - 1, [None, pa.py_buffer(at.astype(np.int32)), pa.py_buffer(body)])
 
 
 @lru_cache(maxsize=2)
@@ -227,12 +427,10 @@ def encode(docs: DataFrame, path: str, *, id_col: str = "doc_id", text_col: str
         words.forget()
         for batch in batches:
             _, at = raw(batch.column(1))
-            for low, high in slices(at):
+            for low, high in slices(at, TEXT_BYTES):
                 part = batch.slice(low, high - low)
-                ids = words.encode([t or "" for t in part.column(1).to_pylist()])
-                yield pa.RecordBatch.from_arrays(
-                    [part.column(0), pa.array(ids, pa.binary())], names=["doc_id", "ids"]
-                )
+                ids = words.encode_all(part.column(1))
+                yield pa.RecordBatch.from_arrays([part.column(0), ids], names=["doc_id", "ids"])
         words.forget()
 
     given = docs.select(F.col(id_col).cast("bigint").alias("doc_id"), F.col(text_col).alias("text"))
@@ -250,13 +448,11 @@ def round_trip(docs: DataFrame, path: str, *, id_col: str = "doc_id", text_col:
         words.forget()
         for batch in batches:
             _, at = raw(batch.column(1))
-            for low, high in slices(at):
+            for low, high in slices(at, TEXT_BYTES):
                 part = batch.slice(low, high - low)
-                ids = words.encode([t or "" for t in part.column(1).to_pylist()])
-                texts = pa.array([words.decode(x) for x in ids], pa.string())
-                yield pa.RecordBatch.from_arrays(
-                    [part.column(0), pa.array(ids, pa.binary()), texts], names=["doc_id", "ids", "text"]
-                )
+                ids = words.encode_all(part.column(1))
+                texts = words.decode_all(ids)
+                yield pa.RecordBatch.from_arrays([part.column(0), ids, texts], names=["doc_id", "ids", "text"])
         words.forget()
 
     given = docs.select(F.col(id_col).cast("bigint").alias("doc_id"), F.col(text_col).alias("text"))
@@ -269,13 +465,11 @@ def decode(encoded: DataFrame, path: str) -> DataFrame:
     def run(batches):
         words = vocabulary(path)
         for batch in batches:
-            _, at = raw(batch.column(1).cast(pa.binary()).fill_null(b""))
+            given = batch.column(1).cast(pa.binary()).fill_null(b"")
+            _, at = raw(given)
             for low, high in slices(at):
                 part = batch.slice(low, high - low)
-                texts = [words.decode(x or b"") for x in part.column(1).to_pylist()]
-                yield pa.RecordBatch.from_arrays(
-                    [part.column(0), part.column(1), pa.array(texts, pa.string())],
-                    names=["doc_id", "ids", "text"],
-                )
+                texts = words.decode_all(given.slice(low, high - low))
+                yield pa.RecordBatch.from_arrays([part.column(0), part.column(1), texts], names=["doc_id", "ids", "text"])
 
     return map_batches(encoded.select("doc_id", "ids"), run, "doc_id bigint, ids binary, text string")
