@@ -2,14 +2,14 @@
 
 from __future__ import annotations
 
-import gc
-import time
 import uuid
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ..session import checkpoint_root
+from ..session import checkpoint_root, release
+
+__all__ = ["BROADCAST_ROWS", "Cuts", "by_size", "marked", "release", "unused"]
 
 #: Rows of ids up to which a side is sent to every executor (about 16 MB as a hash table).
 BROADCAST_ROWS = 250_000
@@ -94,15 +94,3 @@ def unused(df: DataFrame, name: str) -> str:
     while name.lower() in taken:
         name += "_"
     return name
-
-
-def release(spark: SparkSession) -> None:
-    """Let the driver collect its garbage, upon which Spark deletes the shuffle files of finished steps.
-
-    Without it they stay until the driver's heap happens to fill, beside those of later steps. What
-    the first round lets go holds references that only the second one clears.
-    """
-    for _ in range(2):
-        gc.collect()
-        spark.sparkContext._jvm.System.gc()
-        time.sleep(0.5)

@@ -2,7 +2,9 @@
 
 from __future__ import annotations
 
+import gc
 import os
+import time
 import uuid
 from collections.abc import Iterator
 from contextlib import contextmanager
@@ -87,3 +89,15 @@ def batch_cuts(spark: SparkSession) -> Iterator[None]:
     finally:
         while len(_CUTS) > before:
             _delete(spark, _CUTS.pop())
+
+
+def release(spark: SparkSession) -> None:
+    """Let the driver collect its garbage, upon which Spark deletes the shuffle files of finished steps.
+
+    Without it they stay until the driver's heap happens to fill, beside those of later steps. What
+    the first round lets go holds references that only the second one clears.
+    """
+    for _ in range(2):
+        gc.collect()
+        spark.sparkContext._jvm.System.gc()
+        time.sleep(0.5)

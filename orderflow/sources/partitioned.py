@@ -5,9 +5,9 @@ folder per part, which a batch that names one of its warehouses replaces. New or
 payments' history rows are appended as a folder of their own per part and batch; a delivery replaces
 the order folders of its warehouses by one.
 
-A batch is staged beside the tables first (`TableVersions`) and then installed. Installing replaces
-whole folders by staged ones, so it can be repeated after a lost driver. One writer at a time;
-readers read between batches.
+A batch is staged beside the tables first (`TableVersions`), in the same folders, and then installed.
+Installing moves whole folders in place of those they replace and writes no row again, so it can be
+repeated after a lost driver. One writer at a time; readers read between batches.
 """
 
 from __future__ import annotations
@@ -18,6 +18,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import IntegerType
 
+from ..session import release
 from .schemas import LAYOUT, TABLE_KEYS
 from .versions import TableVersions
 
@@ -57,6 +58,8 @@ class PartitionedTables:
         for name, df in tables.items():
             df.limit(0).write.parquet(f"{self.root}/schema/{name}")
             self.replace(name, self.placed(name, df, FIRST if name in GROWING else 0))
+            # The files of its shuffle would stay beside those of later tables and batches.
+            release(self.spark)
 
     def replace(self, name: str, rows: DataFrame) -> None:
         """Replace the folders that `rows` fall into."""
@@ -94,7 +97,10 @@ class PartitionedTables:
             else:
                 rows = self.placed(name, df, F.coalesce(BATCH, F.lit(version)))
                 new[name] = rows.filter(F.col(BATCH) == version)
-        staged = versions.stage(version, {f"table_{n}": df for n, df in new.items()})
+        staged = {}
+        for name, df in new.items():
+            staged |= versions.stage(version, {f"table_{name}": df.hint("rebalance", PART)}, by=LAYOUT)
+            release(self.spark)
         out = {}
         for name in changed:
             rows = staged[f"table_{name}"]
@@ -107,10 +113,10 @@ class PartitionedTables:
         fs = versions.files()
         record = self.spark.read.parquet(f"{versions.root}/v={version}/replaced").collect()
         for row in record:
-            staged = f"{versions.root}/v={version}/table_{row['name']}"
-            if not fs.exists(versions.path(f"v={version}", f"table_{row['name']}")):
+            staged = versions.path(f"v={version}", f"table_{row['name']}")
+            if not fs.exists(staged):
                 continue
-            self.replace(row["name"], self.spark.read.parquet(staged))
+            self._move(fs, versions, staged, f"{self.root}/data/{row['name']}")
             if row["rewritten"]:
                 for part in row["parts"]:
                     folder = versions.path_of(f"{self.root}/data/{row['name']}/{PART}={part}")
@@ -121,6 +127,17 @@ class PartitionedTables:
         for row in record:
             fs.delete(versions.path(f"v={version}", f"table_{row['name']}"), True)
 
+    @staticmethod
+    def _move(fs, versions: TableVersions, staged, data: str) -> None:
+        """Put the folders of a staged table in place of those of a table; those moved before are left."""
+        for part in fs.globStatus(versions.path_of(f"{staged}/{PART}=*/{BATCH}=*")):
+            folder = part.getPath()
+            target = versions.path_of(f"{data}/{folder.getParent().getName()}/{folder.getName()}")
+            fs.delete(target, True)
+            fs.mkdirs(target.getParent())
+            if not fs.rename(folder, target):
+                raise OSError(f"could not move {folder} to {target}")
+
     def finish(
         self, versions: TableVersions, version: int, changed: Iterable[str], rewritten: set[str], parts: list[int]
     ) -> None:

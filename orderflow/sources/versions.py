@@ -48,12 +48,12 @@ class TableVersions:
         """The number after the newest complete version."""
         return max(self.complete(), default=-1) + 1
 
-    def stage(self, version: int, tables: dict[str, DataFrame]) -> dict[str, DataFrame]:
-        """Write tables of a version that is not yet complete, and read them back."""
+    def stage(self, version: int, tables: dict[str, DataFrame], by: Iterable[str] = ()) -> dict[str, DataFrame]:
+        """Write tables of a version that is not yet complete, in folders by some columns, and read them back."""
         out = {}
         for name, df in tables.items():
             path = f"{self.root}/v={version}/{name}"
-            df.write.mode("overwrite").parquet(path)
+            df.write.mode("overwrite").partitionBy(*by).parquet(path)
             out[name] = self.spark.read.schema(df.schema).parquet(path)
         return out
 

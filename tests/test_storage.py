@@ -297,6 +297,31 @@ def test_a_batch_staged_whole_is_installed_once(spark, tmp_path):
         assert now.exceptAll(delivery.delivery(start, req, AT).tables[name].select(now.columns)).count() == 0
 
 
+def test_installing_a_batch_moves_its_files_and_writes_no_row_again(spark, tmp_path):
+    start = orders(spark)
+    root = tmp_path / "t"
+    laid = apply.start_tables(spark, str(root), start)
+    versions = TableVersions(spark, f"{root}/batches")
+    req = S.requests(spark, "delivery", {"req_seq": 1, "w_id": 1, "o_carrier_id": 3})
+    tables = laid.open(start, [1])
+    done = delivery.delivery(tables, req, AT)
+    wanted = {n: df.collect() for n, df in laid.stage(versions, 0, done.tables, tables, apply.REWRITTEN).items()}
+    staged = {p.name for p in (root / "batches").rglob("part-*.parquet")}
+    rows = [(n, n in apply.REWRITTEN, [1]) for n in start]
+    versions.stage(0, {"replaced": spark.createDataFrame(rows, "name string, rewritten boolean, parts array<int>")})
+    versions.finish(0)
+    # As far as a driver came that was lost while it moved folders.
+    folder = next((root / "batches" / "v=0" / "table_customer").glob("x_part=*/x_batch=*"))
+    target = root / "tables" / "data" / "customer" / folder.relative_to(root / "batches" / "v=0" / "table_customer")
+    laid._move(versions.files(), versions, versions.path("v=0", "table_customer"), f"{root}/tables/data/customer")
+    assert target.exists() and not folder.exists()
+    laid.recover(versions)
+    found = {p.name for p in (root / "tables" / "data").rglob("part-*.parquet")}
+    assert staged and staged <= found
+    for name, df in laid.open(start).items():
+        assert sorted(map(repr, df.select(*wanted[name][0].__fields__).collect())) == sorted(map(repr, wanted[name]))
+
+
 def test_live_rates_of_two_runs(spark, tmp_path):
     schema = "run int, elapsed bigint, latency bigint, dblatency bigint, ttype string, rbk int, dskipped int, error int"
     rows = [(1 + n % 2, (n * 7919) % 60_000, 5, 5, "NEW_ORDER" if n % 3 else "PAYMENT", 0, 0, 0) for n in range(900)]
